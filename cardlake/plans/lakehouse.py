@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,38 +20,38 @@ from cardlake.sources import orders_adapter, tables
 SAMPLE_PROCESSED_AT = datetime(2026, 1, 2, tzinfo=timezone.utc)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Lakehouse:
-    """Lazy readers of the stored layers."""
+    """Lazy readers of the stored layers. Each table is listed once, then reused."""
 
     spark: SparkSession
     root: str
 
-    @property
+    @cached_property
     def bronze(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/bronze")
 
-    @property
+    @cached_property
     def silver(self) -> DataFrame:
         return silver.read_silver(self.spark, f"{self.root}/silver")
 
-    @property
+    @cached_property
     def quarantine(self) -> DataFrame:
         return silver.read_quarantine(self.spark, f"{self.root}/silver")
 
-    @property
+    @cached_property
     def merchants(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/dim_merchant")
 
-    @property
+    @cached_property
     def dates(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/dim_date")
 
-    @property
+    @cached_property
     def fact(self) -> DataFrame:
         return gold.read_fact(self.spark, f"{self.root}/fact_transaction")
 
-    @property
+    @cached_property
     def serving(self) -> dict[str, DataFrame]:
         """The reporting tables, derived from gold by projection only."""
         return serving.serving_frames(self.merchants, self.dates, self.fact)
