@@ -38,6 +38,7 @@ class _File:
 
     path: str
     name: str
+    scan_name: str
     size: int
     sha256: str
     header: str
@@ -109,7 +110,7 @@ def _ingest(
     new = [
         _File(run_id=str(uuid.uuid4()), **row.asDict())
         for row in marked.where("leader").orderBy(F.lower("name"), "name")
-        .select("path", "name", "size", "sha256", "header").collect()
+        .select("path", "name", "scan_name", "size", "sha256", "header").collect()
     ]
     first = history.where(F.col("status") == ledger.SUCCESS).count()
     for position, file in enumerate(new):
@@ -167,7 +168,7 @@ def _check_values(spark, batch, layout, contract, strict_types, multiline) -> No
     empty = defaultdict(int)
     judge = landing.observed_types if strict_types else landing.acceptable_types
     for file in batch:
-        profile = profiles.get(file.name, empty)
+        profile = profiles.get(file.scan_name, empty)
         file.rows = profile["rows"]
         if profile["overlong"]:
             file.error = (
@@ -188,13 +189,13 @@ def _write(spark, batch, layout, contract, bronze_path, multiline, now) -> None:
     The joined table has one row per file of this job (at most ``FILES_PER_JOB``).
     """
     audit = spark.createDataFrame(
-        [(f.name, f.size, f.sha256, f.run_id, f.sequence) for f in batch],
-        "_source_file_name string, _source_file_size_bytes bigint, "
+        [(f.scan_name, f.name, f.size, f.sha256, f.run_id, f.sequence) for f in batch],
+        "_scan_name string, _source_file_name string, _source_file_size_bytes bigint, "
         "_source_file_sha256 string, _pipeline_run_id string, _source_sequence bigint",
     )
     scanned = landing.scan(spark, [file.path for file in batch], layout, multiline)
     rows = scanned.join(
-        F.broadcast(audit), F.col("_file") == F.col("_source_file_name")
+        F.broadcast(audit), F.col("_file") == F.col("_scan_name")
     ).select(
         *landing.typed(scanned, contract),
         "_source_file_name", "_source_file_size_bytes", "_source_file_sha256",

@@ -24,10 +24,13 @@ def binary(spark: SparkSession, path: str, names: str, recursive: bool = False)
 
 
 def listing(files: DataFrame) -> DataFrame:
-    """Path, name and size, from file metadata alone."""
+    """Path, name and size, from file metadata alone.
+
+    ``scan_name`` is the name as scans report it, with special characters encoded.
+    """
     return files.select(
         "path", F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.col("length").alias("size"),
+        F.col("length").alias("size"), F.col("_metadata.file_name").alias("scan_name"),
     )
 
 

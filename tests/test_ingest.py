@@ -113,7 +113,11 @@ def test_both_suffix_cases_and_nothing_else_are_found(area):
 
 def test_names_with_blanks_and_pattern_characters(area):
     area.put("my file [1] {x}.csv", FIRST_FILE)
-    assert area.run()["rows_written"] == 3
+    area.put("a+b%20c é.csv", SECOND_FILE)
+    result = area.run()
+    assert (result["files_processed"], result["rows_written"]) == (2, 5)
+    assert {r[0] for r in rows(area.bronze_rows(), "_source_file_name")} == {
+        "my file [1] {x}.csv", "a+b%20c é.csv"}
 
 
 def test_bad_file_is_isolated_recorded_and_retried(area):
