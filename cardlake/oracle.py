@@ -546,4 +546,72 @@ FROM (SELECT count(*) AS n FROM landed GROUP BY {every}) AS groups"""
 FROM landed"""
         for name in ("User", "Year", "Zip", "MCC")
     )
+
+    # ------------------------------------------------------- files and ingest
+    fitting = {"bigint": "int64", "double": "float64", "string": "str"}
+    sql["contract_report"] = landed + " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, '{fitting[types[name]]}' AS expected_type, "
+        f"CAST(count(nullif(CAST(\"{name}\" AS VARCHAR), '')) AS BIGINT) AS values_present, "
+        f"CAST(count(nullif(CAST(\"{name}\" AS VARCHAR), '')) AS BIGINT) AS values_fitting "
+        "FROM landed"
+        for name in names
+    )
+    sql["ingest_idempotency"] = """
+SELECT CAST(run AS BIGINT) AS run, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS files_failed,
+  CASE WHEN run = 1 THEN n ELSE 0 END AS rows_read,
+  CASE WHEN run = 1 THEN n ELSE 0 END AS rows_written, n AS bronze_total_rows,
+  run = 1 AS all_processed, run = 2 AS all_skipped
+FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem) AS total,
+  (VALUES (1), (2)) AS runs(run)"""
+    sql["file_route_reasons"] = _with() + f"""
+SELECT reason AS quarantine_reason, {_N} AS rows,
+  CAST(sum(amount) AS DOUBLE) AS total_transaction_amount, {_N} AS positions
+FROM judged GROUP BY reason"""
+    sql["domain_ingest"] = """
+SELECT 'SUCCESS' AS status, CAST(2 AS BIGINT) AS domains_discovered,
+  CAST(2 AS BIGINT) AS domains_succeeded, CAST(0 AS BIGINT) AS domains_failed,
+  CAST(0 AS BIGINT) AS files_failed, CAST(2 * count(*) AS BIGINT) AS rows_read,
+  CAST(2 * count(*) AS BIGINT) AS rows_written
+FROM customer"""
+    sql["domain_bronze_open"] = """
+SELECT domain, CAST(count(*) AS BIGINT) AS rows, open_columns
+FROM customer CROSS JOIN (VALUES
+  ('cards', 'User,CARD INDEX,Card Brand,Card Type,Expires,Has Chip,Cards Issued,'
+    || 'Credit Limit,Acct Open Date,Year PIN last Changed,Card on Dark Web'),
+  ('users', 'Current Age,Retirement Age,Birth Year,Birth Month,Gender,City,State,Zipcode,'
+    || 'Per Capita Income - Zipcode,Yearly Income - Person,Total Debt,FICO Score,'
+    || 'Num Credit Cards')) AS open_part(domain, open_columns)
+GROUP BY domain, open_columns"""
+
+    # -------------------------------------------------- publication and runs
+    sql["publication_check"] = everything + """
+SELECT 'date' AS table_name, CAST(count(*) AS BIGINT) AS published_rows,
+  TRUE AS files_not_empty FROM dim_d
+UNION ALL SELECT 'merchant', CAST(count(*) AS BIGINT), TRUE FROM dim_m
+UNION ALL SELECT 'transaction', CAST(count(*) AS BIGINT), TRUE FROM valid"""
+    sql["run_freshness"] = """
+WITH clock AS (
+  SELECT max(ts) AS now_, date_trunc('day', max(ts)) AS today FROM events
+),
+due AS (
+  SELECT now_, CASE WHEN now_ >= today + INTERVAL 6 HOUR THEN today + INTERVAL 5 HOUR
+    ELSE today - INTERVAL 19 HOUR END AS due_ FROM clock
+),
+last_run AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
+  FROM events
+),
+judged AS (
+  SELECT CAST(user_id AS VARCHAR) AS pipeline_name,
+    lpad(CAST(event_id AS VARCHAR), 12, '0') AS run_id,
+    CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+    epoch(date_trunc('second', now_)) - epoch(date_trunc('second', ts)) AS seconds,
+    ts >= due_ AS on_time
+  FROM last_run CROSS JOIN due WHERE place = 1
+)
+SELECT pipeline_name, run_id, status,
+  CAST(round(CAST(seconds / 3600 AS DECIMAL(18, 6)), 2) AS DOUBLE) AS age_hours,
+  seconds <= 26 * 3600 AS is_fresh, on_time AS meets_schedule, TRUE AS tables_present,
+  status = 'SUCCESS' AND seconds <= 26 * 3600 AND on_time AS is_healthy
+FROM judged"""
     return sql

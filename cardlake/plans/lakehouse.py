@@ -13,9 +13,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlake.operators import gold, serving, silver
+from cardlake.operators import gold, ingest, serving, silver
 from cardlake.session import staging_path
-from cardlake.sources import orders_adapter, tables
+from cardlake.sources import orders_adapter, sample_landing, tables
 
 SAMPLE_PROCESSED_AT = datetime(2026, 1, 2, tzinfo=timezone.utc)
 
@@ -26,6 +26,7 @@ class Lakehouse:
 
     spark: SparkSession
     root: str
+    sf_dir: str
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -56,13 +57,32 @@ class Lakehouse:
         """The reporting tables, derived from gold by projection only."""
         return serving.serving_frames(self.merchants, self.dates, self.fact)
 
+    @cached_property
+    def landing(self) -> str:
+        """Folder with landing CSV files of all domains, written at first use."""
+        folder = staging_path(self.spark, "landing")
+        sample_landing.write(sample_landing.transactions(self.bronze), f"{folder}/transactions")
+        sample_landing.write(sample_landing.cards(self.spark, self.sf_dir), f"{folder}/cards")
+        sample_landing.write(sample_landing.users(self.spark, self.sf_dir), f"{folder}/users")
+        return folder
+
+    def domain_paths(self, *names: str) -> dict[str, ingest.DomainPaths]:
+        """Bronze and ledger locations nobody has used yet, for a first ingest."""
+        folder = staging_path(self.spark, "ingest")
+        return {
+            name: ingest.DomainPaths(
+                f"{self.landing}/{name}", f"{folder}/{name}", f"{folder}/{name}_ledger"
+            )
+            for name in names
+        }
+
 
 _BUILT: dict[tuple[str, str], Lakehouse] = {}
 
 
 def build_sample(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Store bronze, silver and gold for the sample tables in a fresh folder."""
-    house = Lakehouse(spark, staging_path(spark, "lakehouse"))
+    house = Lakehouse(spark, staging_path(spark, "lakehouse"), sf_dir)
     tables.overwrite(
         orders_adapter.bronze_transactions(spark, sf_dir), f"{house.root}/bronze"
     )

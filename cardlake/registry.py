@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardlake import contracts, oracle
-from cardlake.operators import gold, profiling, quality, serving, silver
+from cardlake.operators import (
+    gold, ingest, profiling, publication, quality, serving, silver,
+)
 from cardlake.plans import measures, reports, views
-from cardlake.plans.lakehouse import Lakehouse, lakehouse
+from cardlake.plans.lakehouse import SAMPLE_PROCESSED_AT, Lakehouse, lakehouse
+from cardlake.session import staging_path
+from cardlake.sources import files, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -356,3 +360,137 @@ def numeric_summary(house):
     return profiling.numeric_summary(
         _landed(house), ["User", "Year", "Zip", "MCC"]
     ).drop("std")
+
+
+# ---------------------------------------------------------------- files and ingest
+
+
+@query
+def landing_fingerprints(house):
+    found = landing.discover(house.spark, f"{house.landing}/transactions")
+    return files.fingerprints(found).select("name", "size", "sha256")
+
+
+@query
+def contract_report(house):
+    """Per contract column: values present and values that fit the contract type."""
+    contract = contracts.TRANSACTIONS
+    found = files.listing(landing.discover(house.spark, f"{house.landing}/transactions"))
+    paths = [row["path"] for row in found.select("path").collect()]
+    profile = landing.value_profile(
+        landing.scan(house.spark, paths, contract.fieldNames()), contract
+    )
+    fits = {"int64": "integers", "float64": "numbers", "str": "present"}
+    totals = profile.agg(*[F.sum(name).alias(name) for name in profile.columns[1:]])
+    return totals.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(wanted).alias("expected_type"),
+            F.col(f"present_{i}").alias("values_present"),
+            F.col(f"{fits[wanted]}_{i}").alias("values_fitting"),
+        )
+        for i, (name, wanted) in enumerate(contracts.expected_types(contract).items())
+    ])))
+
+
+@query
+def ingest_idempotency(house):
+    """Totals of a first and a second ingest of the same files."""
+    paths = house.domain_paths("transactions")["transactions"]
+    runs = [ingest.ingest_domain(house.spark, "transactions", paths) for _ in range(2)]
+    names = ("status", "files_failed", "rows_read", "rows_written", "bronze_total_rows")
+    return house.spark.createDataFrame(
+        [
+            (run, *[result[name] for name in names],
+             result["files_processed"] == result["files_discovered"],
+             result["files_skipped"] == result["files_discovered"])
+            for run, result in enumerate(runs, 1)
+        ],
+        "run bigint, status string, files_failed bigint, rows_read bigint, "
+        "rows_written bigint, bronze_total_rows bigint, all_processed boolean, "
+        "all_skipped boolean",
+    )
+
+
+@query
+def file_route_reasons(house):
+    """Landing files through ingest and cleaning: rows and amount per outcome."""
+    paths = house.domain_paths("transactions")["transactions"]
+    ingest.ingest_domain(house.spark, "transactions", paths)
+    bronze = ingest.read_bronze(house.spark, paths.bronze, contracts.TRANSACTIONS)
+    cleaned = silver.clean_transactions(bronze, SAMPLE_PROCESSED_AT)
+    return cleaned.groupBy("quarantine_reason").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("transaction_amount").alias("total_transaction_amount"),
+        F.count_distinct("_source_sequence", "_source_block_start", "_source_row")
+        .alias("positions"),
+    )
+
+
+@query
+def domain_ingest(house):
+    """Card and user domains, ingested together."""
+    result = ingest.ingest_domains(house.spark, house.domain_paths("cards", "users"))
+    names = ("domains_discovered", "domains_succeeded", "domains_failed", "files_failed",
+             "rows_read", "rows_written")
+    return house.spark.createDataFrame(
+        [(result["status"], *[result[name] for name in names])],
+        "status string, " + ", ".join(f"{name} bigint" for name in names),
+    )
+
+
+@query
+def domain_bronze_open(house):
+    """Card and user bronze without sensitive columns: rows and columns left."""
+    paths = house.domain_paths("cards", "users")
+    ingest.ingest_domains(house.spark, paths)
+    parts = []
+    for name, place in paths.items():
+        contract = contracts.REGISTRY[name]
+        table = contracts.without_sensitive(
+            ingest.read_bronze(house.spark, place.bronze, contract), contract
+        )
+        contracts.assert_not_exposed(table, name)
+        kept = [column for column in contract.fieldNames() if column in table.columns]
+        parts.append(table.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("domain"), "rows", F.lit(",".join(kept)).alias("open_columns")
+        ))
+    return parts[0].unionByName(parts[1])
+
+
+# ----------------------------------------------------------- publication and runs
+
+
+@query
+def publication_check(house):
+    """Rows of each table of a published version beside its source and manifest."""
+    source = {"merchant": house.merchants, "date": house.dates, "transaction": house.fact}
+    root = staging_path(house.spark, "published")
+    result = publication.publish(house.spark, source, root, "first", SAMPLE_PROCESSED_AT)
+    listed = house.spark.read.parquet(result["manifest_path"]).groupBy("table_name").agg(
+        (F.min("size") > 0).alias("files_not_empty")
+    )
+    published = publication.read_published(house.spark, root)
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("published_rows"))
+        .select(F.lit(name).alias("table_name"), "published_rows")
+        for name, df in published.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).join(listed, "table_name")
+
+
+@query
+def run_freshness(house):
+    """Health of every pipeline, each event of a user standing for one pipeline run."""
+    events = house.spark.read.parquet(f"{house.sf_dir}/events.parquet")
+    stamp = F.col("ts").cast("timestamp")
+    runs = events.select(
+        F.col("user_id").cast("string").alias("pipeline_name"),
+        F.format_string("%012d", F.col("event_id")).alias("run_id"),
+        F.when(F.col("event_type") == "error", publication.FAILED)
+        .otherwise(publication.SUCCESS).alias("status"),
+        stamp.alias("completed_at_utc"),
+        stamp.alias("recorded_at_utc"),
+    )
+    now = events.agg(F.max("ts").cast("timestamp")).scalar()
+    return publication.run_health(runs, now, F.lit(True))
