@@ -61,6 +61,9 @@ def sequence_key(
     numbered by an ordinary window. Offsets come from the lineage columns alone, which
     makes them independent of how the rows are shuffled or recomputed. ``population``
     may name a cheaper table with the same lineage to count from.
+
+    The offsets are joined on the window's own partitioning, so the rows are shuffled
+    once for both, whether or not the offsets are small enough to be broadcast.
     """
     counts = (
         (population if population is not None else df)
@@ -71,7 +74,7 @@ def sequence_key(
         Window.partitionBy(*block).orderBy(row)
     ))
     return (
-        numbered.join(F.broadcast(offsets), list(block))
+        numbered.join(offsets, list(block))
         .withColumn(key, (F.col("_offset") + F.col("_row_number")).cast("bigint"))
         .drop("_offset", "_row_number")
     )

@@ -31,24 +31,23 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides grow with the data, so their strategy is left to runtime statistics,
     which also split skewed join partitions.
     """
-    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    supplier = (
-        spark.read.parquet(f"{sf_dir}/supplier.parquet")
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "s_nationkey", "n_name", "n_regionkey")
-    )
+    def read(table: str, *columns: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
+
     return (
-        line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        read("lineitem", *ARRIVAL_ORDER)
+        .join(read("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read("part", "p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(read("supplier", "s_suppkey", "s_nationkey"),
+              F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(F.broadcast(read("nation", "n_nationkey", "n_name", "n_regionkey")),
+              F.col("s_nationkey") == F.col("n_nationkey"))
+        .drop("o_orderkey", "p_partkey", "s_suppkey", "n_nationkey")
     )
 
 
 def landing_columns(df: DataFrame) -> DataFrame:
-    """The 15 landing columns, computed from the joined sample columns."""
+    """Add the 15 landing columns, computed from the joined sample columns."""
     part_key = F.col("l_partkey")
     ship = F.col("l_shipdate")
     online = F.col("l_linenumber") % 4 == 2
@@ -95,10 +94,8 @@ def landing_columns(df: DataFrame) -> DataFrame:
         "Errors?": error,
         "Is Fraud?": fraud,
     }
-    return df.select(
-        *[landed[field.name].cast(field.dataType).alias(field.name)
-          for field in contracts.TRANSACTIONS],
-        *ARRIVAL_ORDER,
+    return df.withColumns(
+        {name: landed[name].cast(contracts.TRANSACTIONS[name].dataType) for name in landed}
     )
 
 
@@ -106,16 +103,16 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows in arrival order, with audit and lineage columns.
 
     Range partitioning plus a sort inside each partition is a distributed global
-    sort; the row counter is then increasing and gap-free within each partition.
+    sort; the row counter is then increasing and gap-free within each partition. The
+    landing columns are made after the sort, so the shuffle carries the narrow inputs.
     """
-    landed = landing_columns(payments(spark, sf_dir))
     ordered = (
-        landed.repartitionByRange(*ARRIVAL_ORDER)
+        payments(spark, sf_dir)
+        .repartitionByRange(*ARRIVAL_ORDER)
         .sortWithinPartitions(*ARRIVAL_ORDER)
-        .drop(*ARRIVAL_ORDER)
         .withColumn("_position", F.monotonically_increasing_id())
     )
-    return ordered.select(
+    return landing_columns(ordered).select(
         *contracts.TRANSACTIONS.fieldNames(),
         F.lit("lineitem.parquet").alias("_source_file_name"),
         F.lit(None).cast("bigint").alias("_source_file_size_bytes"),
