@@ -102,8 +102,11 @@ def create_transaction_fact(silver_df: DataFrame, merchants: DataFrame) -> DataF
             keyed, lineage[:2], lineage[2], "transaction_key", population=silver_df
         )
     else:
-        order = [F.col(name).asc_nulls_last() for name in silver_df.columns]
-        numbered = keys.dense_key(keyed, order, "transaction_key")
+        # Copies of a row are told apart, so that they spread over partitions.
+        order = [F.col(name).asc_nulls_last() for name in (*silver_df.columns, "_copy")]
+        numbered = keys.dense_key(
+            keyed.withColumn("_copy", F.monotonically_increasing_id()), order, "transaction_key"
+        )
     return numbered.select([name for name in FACT_COLUMNS if name in numbered.columns])
 
 

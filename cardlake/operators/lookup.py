@@ -50,7 +50,7 @@ def attach(
         keys,
         [*(f"_hot_{name}" for name in values), "_is_hot"],
     )
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(1 << 20)) + 1
+    spread = F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(1 << 20)) + 1
     salted = resolved.withColumn(
         "_salt", F.when(F.col("_is_hot"), spread).otherwise(F.lit(0)).cast("bigint")
     )

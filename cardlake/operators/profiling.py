@@ -151,11 +151,9 @@ def numeric_summary(
     ).orderBy("column_name")
 
 
-def summary(df: DataFrame) -> DataFrame:
-    """Overview of all columns: count, different values, top value and how often it occurs,
-    and for numbers also the numeric summary."""
-    counted = frequencies(df)
-    overview = counted.groupBy("column_name").agg(
+def overview(df: DataFrame) -> DataFrame:
+    """Per column: values present, different values, the most frequent one and its count."""
+    return frequencies(df).groupBy("column_name").agg(
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0))
         .alias("count"),
         F.count("value").alias("unique"),
@@ -166,12 +164,16 @@ def summary(df: DataFrame) -> DataFrame:
         "column_name", "count", "unique",
         F.col("_top.value").alias("top"), F.col("_top.n").alias("freq"),
     )
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """Overview of all columns, with the numeric summary where the column is a number."""
     numeric = [
         field.name for field in df.schema if isinstance(field.dataType, T.NumericType)
     ]
     if not numeric:
-        return overview
-    return overview.join(
+        return overview(df)
+    return overview(df).join(
         numeric_summary(df, numeric).drop("count"), "column_name", "left"
     )
 

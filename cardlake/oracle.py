@@ -394,6 +394,21 @@ SELECT calendar_year, {risk} AS risk_direction,
     || ' | Error rate ' || {_percent('errors / n')} || ' (' || {na(_two(_ERROR_BPS))}
     || ' bps)' AS risk_exceptions_brief
 FROM both_years"""
+    sql["portfolio_selected"] = _with() + f""",
+one AS (
+  SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(amount) AS DOUBLE) AS amount,
+    CAST(count(*) FILTER (is_fraud) AS DOUBLE) AS frauds,
+    CAST(count(*) FILTER (has_error) AS DOUBLE) AS errors,
+    CAST(sum(amount) FILTER (is_fraud) AS DOUBLE) AS exposure
+  FROM valid WHERE {_SELECTED}
+)
+SELECT CAST(n AS BIGINT) AS transaction_count, amount AS total_transaction_amount,
+  amount / n AS average_transaction_amount, CAST(frauds AS BIGINT) AS fraud_transaction_count,
+  frauds / n AS fraud_rate, exposure AS fraud_exposure,
+  exposure / frauds AS average_fraud_transaction_amount,
+  CAST(errors AS BIGINT) AS error_transaction_count, errors / n AS error_rate,
+  1 - errors / n AS error_free_rate, exposure / amount AS fraud_exposure_rate
+FROM one"""
     sql["selected_date_range"] = _with() + """
 SELECT strftime(min(ts), '%b %-d, %Y') || ' - ' || strftime(max(ts), '%b %-d, %Y')
   AS selected_date_range FROM valid"""
@@ -533,6 +548,14 @@ landed AS (
 FROM landed GROUP BY "{name}") AS counted WHERE position <= 20"""
         for name in ("Use Chip", "Merchant State", "Errors?", "Is Fraud?")
     )
+    sql["column_summary"] = landed + " UNION ALL ".join(
+        f"""SELECT '{name}' AS column_name, (SELECT CAST(count("{name}") AS BIGINT) FROM landed)
+  AS count, (SELECT CAST(count(DISTINCT "{name}") AS BIGINT) FROM landed) AS "unique",
+  top, freq FROM (
+    SELECT CAST("{name}" AS VARCHAR) AS top, CAST(count(*) AS BIGINT) AS freq FROM landed
+    WHERE "{name}" IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 1) AS best"""
+        for name in names
+    )
     every = ", ".join(f'"{name}"' for name in names)
     sql["duplicate_rows"] = landed + f"""
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows

@@ -48,7 +48,7 @@ def rollup(fact: DataFrame, key: str) -> DataFrame:
 
 
 def daily(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Rollup per calendar day, with the calendar columns."""
+    """Rollup per calendar day, with the calendar columns (one row per day at any scale)."""
     return rollup(fact, "date_key").join(F.broadcast(dates), "date_key")
 
 

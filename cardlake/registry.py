@@ -245,6 +245,15 @@ def executive_summary(house):
     return measures.executive_briefs(house.serving["transaction"], house.serving["date"])
 
 
+@query
+def portfolio_selected(house):
+    """The core measures in a filter context of years and methods."""
+    selected = reports.select_facts(
+        house.serving["transaction"], house.serving["date"], **SELECTION
+    )
+    return measures.portfolio(selected)
+
+
 @query
 def selected_date_range(house):
     return measures.selected_date_range(house.serving["date"])
@@ -350,6 +359,11 @@ def value_counts(house):
     )
 
 
+@query
+def column_summary(house):
+    return profiling.overview(_landed(house))
+
+
 @query
 def duplicate_rows(house):
     return profiling.duplicate_rows(_landed(house))

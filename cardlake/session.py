@@ -17,6 +17,8 @@ def local_session(cores: str | int = "*", app_name: str = "cardlake") -> SparkSe
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Directory-partitioned writes keep a few files open instead of sorting first.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,17 +7,19 @@ the cleaning and quarantine rules have work to do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardlake import contracts
 
-# The order in which the sample's payments "arrive". All columns take part, so the
-# order is total: two rows never compare equal.
-ARRIVAL_ORDER = (
+# The order in which the sample's payments "arrive".
+_PAYMENT = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
     "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     "l_shipdate",
 )
+# Exact copies of a row follow their place in the source files. That makes the order
+# total, so however many copies there are, they spread over partitions.
+ARRIVAL_ORDER = (*_PAYMENT, "_copy_file", "_copy_row")
 
 FIRST_MERCHANT_ID = 8_000_000_000_000_000_000
 FIRST_ZIP = 10000.0
@@ -31,11 +33,15 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides grow with the data, so their strategy is left to runtime statistics,
     which also split skewed join partitions.
     """
-    def read(table: str, *columns: str) -> DataFrame:
+    def read(table: str, *columns: str | Column) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
     return (
-        read("lineitem", *ARRIVAL_ORDER)
+        read(
+            "lineitem", *_PAYMENT,
+            F.col("_metadata.file_path").alias("_copy_file"),
+            F.col("_metadata.row_index").alias("_copy_row"),
+        )
         .join(read("orders", "o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part", "p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("supplier", "s_suppkey", "s_nationkey"),
