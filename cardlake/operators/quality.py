@@ -6,7 +6,9 @@ before the shuffle, so a merchant with a third of all transactions is one row he
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlake.functions.columns import count_where
 from cardlake.operators.rows import one_row
@@ -33,11 +35,24 @@ def key_controls(
     )
 
 
-def orphan_controls(fact: DataFrame, dimension: DataFrame, key: str, name: str) -> DataFrame:
-    """One row: fact rows whose key is absent from the dimension."""
-    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    orphans = per_key.join(dimension.select(key), key, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias(name))
+def orphan_controls(
+    fact: DataFrame, dimension: DataFrame, key: str, name: str,
+    totals: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """One row: fact rows whose key is absent from the dimension.
+
+    ``totals`` (sums or counts by name) are taken along in the same pass.
+    """
+    totals = totals or {}
+    per_key = fact.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), *[value.alias(total) for total, value in totals.items()]
+    )
+    known = dimension.select(key).distinct().withColumn("_known", F.lit(True))
+    orphan = F.when(F.col("_known").isNull(), F.col("n"))
+    return per_key.join(known, key, "left").agg(
+        F.coalesce(F.sum(orphan), F.lit(0)).cast("bigint").alias(name),
+        *[F.coalesce(F.sum(total), F.lit(0)).alias(total) for total in totals],
+    )
 
 
 def gold_controls(

@@ -68,13 +68,12 @@ def serving_frames(
     }
 
 
-def _totals(fact: DataFrame, prefix: str, error: Column) -> DataFrame:
-    return fact.agg(
-        F.coalesce(F.sum(C.money(F.col("transaction_amount"))), F.lit(0))
-        .alias(f"{prefix}transaction_amount_total"),
-        C.count_where(F.col("is_fraud")).alias(f"{prefix}fraud_transaction_count"),
-        C.count_where(error).alias(f"{prefix}error_transaction_count"),
-    )
+def _totals(prefix: str, error: Column) -> dict[str, Column]:
+    return {
+        f"{prefix}transaction_amount_total": F.sum(C.money(F.col("transaction_amount"))),
+        f"{prefix}fraud_transaction_count": C.count_where(F.col("is_fraud")),
+        f"{prefix}error_transaction_count": C.count_where(error),
+    }
 
 
 def serving_controls(
@@ -82,10 +81,16 @@ def serving_controls(
 ) -> DataFrame:
     """One row comparing the reporting tables with the gold tables behind them."""
     dates, merchants, fact = (published[name] for name in ("date", "merchant", "transaction"))
-    rows = {
-        f"source_{name}_rows": df.agg(F.count(F.lit(1)).alias(f"source_{name}_rows"))
-        for name, df in source.items()
-    }
+    source_totals = _totals("source_", C.has_error(F.col("transaction_error")))
+    sources = [
+        source[name].agg(F.count(F.lit(1)).alias(f"source_{name}_rows"))
+        for name in ("date", "merchant")
+    ] + [
+        source["transaction"].agg(
+            F.count(F.lit(1)).alias("source_transaction_rows"),
+            *[F.coalesce(value, F.lit(0)).alias(name) for name, value in source_totals.items()],
+        )
+    ]
     # Text identifiers are compared per merchant key, both sides being one row per key.
     texts = merchants.select("merchant_key", "merchant_id_text").join(
         source["merchant"].select("merchant_key", "merchant_id"), "merchant_key", "left"
@@ -95,7 +100,7 @@ def serving_controls(
         quality.key_controls(dates, "date_key", "date_rows", "date_keys"),
         quality.key_controls(merchants, "merchant_key", "merchant_rows", "merchant_keys"),
         quality.key_controls(fact, "transaction_key", "transaction_rows", "transaction_keys"),
-        *rows.values(),
+        *sources,
         texts.agg(
             C.count_where(F.col("merchant_id_text").isNull()).alias("missing_merchant_id_text"),
             C.count_where(
@@ -108,10 +113,9 @@ def serving_controls(
         ),
         quality.orphan_controls(fact, dates, "date_key", "invalid_date_foreign_keys"),
         quality.orphan_controls(
-            fact, merchants, "merchant_key", "invalid_merchant_foreign_keys"
+            fact, merchants, "merchant_key", "invalid_merchant_foreign_keys",
+            _totals("", F.col("has_error")),
         ),
-        _totals(fact, "", F.col("has_error")),
-        _totals(source["transaction"], "source_", C.has_error(F.col("transaction_error"))),
         dates.agg(
             C.count_where(
                 F.col("calendar_year_month").isNull()

@@ -105,18 +105,31 @@ def prior_year_dates(selected: DataFrame, group: Iterable[str] = ()) -> DataFram
 
 
 def _year_over_year(days: DataFrame, dates: DataFrame) -> DataFrame:
-    """Per calendar year: sums of its days and of its days moved back one year."""
-    current = days.groupBy("calendar_year").agg(*_sums())
-    shifted = prior_year_dates(dates.select("calendar_year", "full_date"), ["calendar_year"])
-    prior = (
-        days.drop("calendar_year").join(shifted, "full_date")
-        .groupBy("calendar_year").agg(*_sums())
+    """Per calendar year: sums of its days and of its days moved back one year.
+
+    Every day counts for its own year and, as a prior-year day, for the year whose
+    shifted days include it. Both come from one pass, so the fact is scanned once.
+    """
+    shifted = prior_year_dates(
+        dates.select(F.col("calendar_year").alias("_later_year"), "full_date"), ["_later_year"]
     )
-    renamed = prior.select(
-        "calendar_year",
-        *[F.col(name).alias(f"prior_{name}") for name in prior.columns[1:]],
+    uses = F.array(
+        F.struct(F.col("calendar_year").alias("year"), F.lit(True).alias("own")),
+        F.struct(F.col("_later_year").alias("year"), F.lit(False).alias("own")),
+    )
+    names = ("n", "amount", "frauds", "errors", "exposure")
+    return (
+        days.join(F.broadcast(shifted), "full_date", "left")
+        .select(F.inline(uses), "full_date", *names)
+        .where(F.col("year").isNotNull())
+        .groupBy(F.col("year").alias("calendar_year"))
+        .agg(
+            *[F.sum(F.when(F.col("own"), F.col(name))).alias(name) for name in names],
+            *[F.sum(F.when(~F.col("own"), F.col(name))).alias(f"prior_{name}") for name in names],
+            F.max(F.when(F.col("own"), F.col("full_date"))).alias("covered"),
+        )
+        .where(F.col("n").isNotNull())
     )
-    return current.join(renamed, "calendar_year", "left")
 
 
 def kpi_controls(
@@ -128,13 +141,22 @@ def kpi_controls(
     to it.
     """
     selected = dates if selected is None else selected
-    days = daily(fact, dates)
-    current = days.join(selected.select("full_date"), "full_date", "left_semi").agg(*_sums())
-    prior = days.join(prior_year_dates(selected), "full_date").agg(
-        F.sum("amount").alias("prior_amount")
+    chosen = selected.select("full_date", F.lit(True).alias("_chosen"))
+    earlier = prior_year_dates(selected).withColumn("_earlier", F.lit(True))
+    days = (
+        daily(fact, dates)
+        .join(F.broadcast(chosen), "full_date", "left")
+        .join(F.broadcast(earlier), "full_date", "left")
+    )
+    row = days.agg(
+        *[
+            F.sum(F.when(F.col("_chosen"), F.col(name))).alias(name)
+            for name in ("n", "amount", "frauds", "errors", "exposure")
+        ],
+        F.sum(F.when(F.col("_earlier"), F.col("amount"))).alias("prior_amount"),
     )
     amount, before = F.col("amount"), F.col("prior_amount")
-    return one_row(current, prior).select(
+    return row.select(
         F.col("n").alias("transaction_count"),
         dbl("amount").alias("total_transaction_amount"),
         C.ratio(amount, F.col("n")).alias("average_transaction_amount"),
@@ -207,9 +229,7 @@ def data_coverage(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 def executive_briefs(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Per year: the decision summary and the risk brief as text, with their inputs."""
-    days = daily(fact, dates)
-    both = _year_over_year(days, dates)
-    covered = days.groupBy("calendar_year").agg(F.max("full_date").alias("covered"))
+    both = _year_over_year(daily(fact, dates), dates)
     fraud, error = (C.ratio(F.col(name), F.col("n")) for name in ("frauds", "errors"))
     fraud_change = (fraud - C.ratio(F.col("prior_frauds"), F.col("prior_n"))) * 10000
     error_change = (error - C.ratio(F.col("prior_errors"), F.col("prior_n"))) * 10000
@@ -219,7 +239,7 @@ def executive_briefs(fact: DataFrame, dates: DataFrame) -> DataFrame:
     def or_none(text: Column) -> Column:
         return F.coalesce(text, F.lit("n/a"))
 
-    return both.join(F.broadcast(covered), "calendar_year").select(
+    return both.select(
         "calendar_year",
         risk.alias("risk_direction"),
         F.concat(
@@ -339,20 +359,19 @@ def top_fraud_merchants(
 
 def exposure_concentration(fact: DataFrame, rows: int = TOP_MERCHANTS) -> DataFrame:
     """One row: merchants with fraud, total and top exposure, share, and a summary text."""
-    fraudulent = _fraud_merchants(fact)
-    total = fraudulent.agg(
-        F.count(F.lit(1)).alias("fraudulent_merchant_count"),
+    total = rollup(fact, "merchant_key").agg(
+        C.count_where(F.col("frauds") > 0).alias("fraudulent_merchant_count"),
         F.sum("exposure").alias("total_exposure"),
         F.sum("frauds").alias("frauds"),
+        F.sum("n").alias("n"),
     )
     top = (
-        fraudulent.orderBy(F.desc("exposure"), "merchant_key").limit(rows)
+        _fraud_merchants(fact).orderBy(F.desc("exposure"), "merchant_key").limit(rows)
         .agg(F.sum("exposure").alias("top_exposure"))
     )
-    count = fact.agg(F.count(F.lit(1)).alias("n"))
     share = C.ratio(F.col("top_exposure"), F.col("total_exposure"))
-    rate = C.ratio(F.coalesce("frauds", F.lit(0)), F.col("n"))
-    return one_row(total, top, count).select(
+    rate = C.ratio(F.col("frauds"), F.col("n"))
+    return one_row(total, top).select(
         "fraudulent_merchant_count",
         dbl("total_exposure").alias("fraud_exposure"),
         dbl("top_exposure").alias("top_10_fraud_exposure"),
