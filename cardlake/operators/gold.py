@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardlake import contracts
 from cardlake.functions import columns as C
 from cardlake.operators import keys, lookup, quality, silver
+from cardlake.session import shuffles_sized_for
 from cardlake.sources import tables
 
 SILVER_REQUIRED = silver.SILVER_COLUMNS[:12]
@@ -121,6 +122,16 @@ def write_fact(fact: DataFrame, path: str) -> None:
     tables.overwrite(fact.withColumn(FACT_YEAR, year), path, (FACT_YEAR,))
 
 
+def write_gold(
+    silver_df: DataFrame, merchant_path: str, date_path: str, fact_path: str
+) -> None:
+    """Write the three tables; the merchant index is computed once for two of them."""
+    index = merchant_index(silver_df)
+    tables.overwrite(index.drop(_WEIGHT), merchant_path)
+    tables.overwrite(create_date_dimension(silver_df), date_path)
+    write_fact(create_transaction_fact(silver_df, index), fact_path)
+
+
 def build_gold(
     spark: SparkSession, silver_path: str, merchant_path: str, date_path: str, fact_path: str
 ) -> dict:
@@ -131,17 +142,16 @@ def build_gold(
     """
     tables.require_paths(spark, {"Silver transactions": silver_path}, "The gold model")
     silver_df = silver.read_silver(spark, silver_path)
-    index = merchant_index(silver_df)
-    tables.overwrite(index.drop(_WEIGHT), merchant_path)
-    tables.overwrite(create_date_dimension(silver_df), date_path)
-    write_fact(create_transaction_fact(silver_df, index), fact_path)
-
-    merchants = spark.read.parquet(merchant_path)
-    dates = spark.read.parquet(date_path)
-    fact = read_fact(spark, fact_path)
-    validation = quality.validate_gold(
-        merchants, dates, fact, silver_df.agg(F.count(F.lit(1)).alias("expected_fact_rows"))
-    )
+    with shuffles_sized_for(spark, tables.stored_bytes(spark, silver_path)):
+        write_gold(silver_df, merchant_path, date_path, fact_path)
+
+        merchants = spark.read.parquet(merchant_path)
+        dates = spark.read.parquet(date_path)
+        fact = read_fact(spark, fact_path)
+        validation = quality.validate_gold(
+            merchants, dates, fact,
+            silver_df.agg(F.count(F.lit(1)).alias("expected_fact_rows")),
+        )
     return {
         "status": "SUCCESS",
         "silver_rows_read": validation["expected_fact_rows"],

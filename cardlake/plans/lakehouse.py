@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.operators import gold, ingest, serving, silver
-from cardlake.session import staging_path
+from cardlake.session import shuffles_sized_for, staging_path
 from cardlake.sources import orders_adapter, sample_landing, tables
 
 SAMPLE_PROCESSED_AT = datetime(2026, 1, 2, tzinfo=timezone.utc)
@@ -83,19 +83,18 @@ _BUILT: dict[tuple[str, str], Lakehouse] = {}
 def build_sample(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Store bronze, silver and gold for the sample tables in a fresh folder."""
     house = Lakehouse(spark, staging_path(spark, "lakehouse"), sf_dir)
-    tables.overwrite(
-        orders_adapter.bronze_transactions(spark, sf_dir), f"{house.root}/bronze"
-    )
-    silver.write_silver(
-        silver.clean_transactions(house.bronze, F.lit(SAMPLE_PROCESSED_AT)),
-        f"{house.root}/silver",
-    )
-    index = gold.merchant_index(house.silver)
-    tables.overwrite(index.drop("_transactions"), f"{house.root}/dim_merchant")
-    tables.overwrite(gold.create_date_dimension(house.silver), f"{house.root}/dim_date")
-    gold.write_fact(
-        gold.create_transaction_fact(house.silver, index), f"{house.root}/fact_transaction"
-    )
+    with shuffles_sized_for(spark, tables.stored_bytes(spark, sf_dir)):
+        tables.overwrite(
+            orders_adapter.bronze_transactions(spark, sf_dir), f"{house.root}/bronze"
+        )
+        silver.write_silver(
+            silver.clean_transactions(house.bronze, F.lit(SAMPLE_PROCESSED_AT)),
+            f"{house.root}/silver",
+        )
+        gold.write_gold(
+            house.silver,
+            *[f"{house.root}/{name}" for name in ("dim_merchant", "dim_date", "fact_transaction")],
+        )
     return house
 
 

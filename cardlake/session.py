@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +67,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# A shuffle partition should hold about this much, and stored columns grow by about
+# this factor when their rows are shuffled. More partitions than the limit cost more
+# in bookkeeping than they save.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+SHUFFLE_GROWTH = 4
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Raise the number of shuffle partitions to suit the input, for the jobs inside.
+
+    Adaptive execution can merge partitions that turn out small but not split a sort
+    or an aggregation that has too few of them. A higher configured number is kept.
+    """
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    wanted = min(
+        MAX_SHUFFLE_PARTITIONS,
+        math.ceil(input_bytes * SHUFFLE_GROWTH / SHUFFLE_PARTITION_BYTES),
+    )
+    if not configured.isdigit() or wanted <= int(configured):
+        yield
+        return
+    spark.conf.set(name, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)

@@ -23,6 +23,12 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return file_system.exists(jvm_path) and file_system.getFileStatus(jvm_path).isDirectory()
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes below a path, from file system metadata."""
+    jvm_path, file_system = hadoop_path(spark, path)
+    return file_system.getContentSummary(jvm_path).getLength()
+
+
 def require_paths(spark: SparkSession, inputs: Mapping[str, str], consumer: str) -> None:
     """One error that names every missing input."""
     missing = [f"{name} ({path})" for name, path in inputs.items() if not exists(spark, path)]

@@ -235,3 +235,19 @@ def test_quantiles_equal_numpy(spark, many, no_coalescing):
         wanted = np.quantile(data[name].dropna(), probabilities)
         got = [found[name][f"p{round(p * 100)}"] for p in probabilities]
         assert got == pytest.approx(list(wanted))
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    from cardlake.session import MAX_SHUFFLE_PARTITIONS, shuffles_sized_for
+
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with shuffles_sized_for(spark, 0):
+        assert spark.conf.get(name) == before
+    with pytest.raises(KeyError):
+        with shuffles_sized_for(spark, 100 * 1024 ** 3):
+            assert spark.conf.get(name) == "3200"
+            raise KeyError
+    with shuffles_sized_for(spark, 100 * 1024 ** 4):
+        assert spark.conf.get(name) == str(MAX_SHUFFLE_PARTITIONS)
+    assert spark.conf.get(name) == before
