@@ -112,16 +112,21 @@ def _ingest(
         for row in marked.where("leader").orderBy(F.lower("name"), "name")
         .select("path", "name", "scan_name", "size", "sha256", "header").collect()
     ]
+    batches = [
+        (layout, group[start:start + FILES_PER_JOB])
+        for layout, group in _by_layout(new, contract).items()
+        for start in range(0, len(group), FILES_PER_JOB)
+    ]
+    for layout, batch in batches:
+        _check_values(spark, batch, layout, contract, strict_types, multiline)
+    # Accepted files are numbered on from those accepted before, in order of name.
     first = history.where(F.col("status") == ledger.SUCCESS).count()
-    for position, file in enumerate(new):
-        file.sequence = first + position
-    for layout, group in _by_layout(new, contract).items():
-        for start in range(0, len(group), FILES_PER_JOB):
-            batch = group[start:start + FILES_PER_JOB]
-            _check_values(spark, batch, layout, contract, strict_types, multiline)
-            good = [file for file in batch if file.error is None]
-            if good:
-                _write(spark, good, layout, contract, bronze_path, multiline, now)
+    for sequence, file in enumerate((f for f in new if f.error is None), first):
+        file.sequence = sequence
+    for layout, batch in batches:
+        good = [file for file in batch if file.error is None]
+        if good:
+            _write(spark, good, layout, contract, bronze_path, multiline, now)
 
     results = _results(spark, marked, new)
     ledger.append(

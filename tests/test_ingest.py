@@ -134,6 +134,16 @@ def test_bad_file_is_isolated_recorded_and_retried(area):
     assert area.statuses() == ["FAILED", "FAILED", "SUCCESS"]
 
 
+def test_failed_files_take_no_place_in_the_order(area):
+    area.put("a.csv", [row[:-1] for row in FIRST_FILE], TRANSACTION_HEADER[:-1])
+    area.put("b.csv", FIRST_FILE)
+    area.run()
+    area.put("c.csv", SECOND_FILE)
+    area.run()
+    places = area.bronze_rows().select("_source_file_name", "_source_sequence").distinct()
+    assert sorted(rows(places)) == [("b.csv", 0), ("c.csv", 1)]
+
+
 def test_all_files_bad_fails_the_batch_and_copies_fail_too(area):
     bad = [["x", *row[1:]] for row in FIRST_FILE]
     area.put("a.csv", bad)

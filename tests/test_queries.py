@@ -26,7 +26,11 @@ def house(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duckdb, name):
-    found = compare.spark_result(QUERIES[name](spark, SF_DIR))
+    df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
+        assert operator not in plan
+    found = compare.spark_result(df)
     assert found[1], "no rows"
     if name in SQL:
         assert compare.difference(found, compare.duckdb_result(duckdb, SQL[name])) is None
