@@ -17,20 +17,23 @@ def attach(
     keys: Sequence[str],
     values: Sequence[str],
     weight: str,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left join ``lookup`` to ``facts`` on null-safe ``keys`` and add its ``values``.
 
     ``lookup`` holds one row per key and, in ``weight``, the number of fact rows with
     that key. That number bounds what is broadcast:
 
-    * A lookup of at most ``broadcast_rows`` rows is broadcast as a whole.
+    * A lookup of at most ``broadcast_rows`` rows (default ``BROADCAST_ROWS``) is
+      broadcast as a whole.
     * Otherwise only keys that own more than ``1 / broadcast_rows`` of all fact rows
       are; there can be no more than ``broadcast_rows`` of them. Their rows get their
       values from the broadcast, and then travel through the second, shuffled join
       under a salt that spreads them evenly and matches nothing. No remaining key is
       large enough to overload a task.
     """
+    if broadcast_rows is None:
+        broadcast_rows = BROADCAST_ROWS
     size = lookup.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(weight), F.lit(0)).alias("weight")
     ).first()

@@ -70,3 +70,20 @@ def test_top_values_are_limited_before_the_shuffle(house):
 def test_silver_scan_reads_one_directory(house):
     plan = house.silver._jdf.queryExecution().executedPlan().toString()
     assert "record_status" in plan and "PartitionFilters" in plan
+
+
+def test_fact_is_the_same_when_merchants_are_too_many_to_broadcast(house, monkeypatch):
+    """The shuffled, salted merchant lookup gives the rows of the broadcast one."""
+    from cardlake.operators import gold, lookup
+
+    limit = 600
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", limit)
+    index = gold.merchant_index(house.silver)
+    hot = index.where(F.col("_transactions") * limit > house.silver.count())
+    assert index.count() > limit and 0 < hot.count() < limit
+    fact = gold.create_transaction_fact(house.silver, index)
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "CartesianProduct" not in plan
+    columns = list(gold.FACT_COLUMNS)
+    assert fact.select(columns).exceptAll(house.fact.select(columns)).isEmpty()
+    assert fact.count() == house.fact.count()
