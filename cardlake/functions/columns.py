@@ -45,8 +45,12 @@ def parse_int64(column: Column, data_type: T.DataType) -> Column:
     """Whole number as bigint; text that is not a whole number becomes null."""
     if isinstance(data_type, T.IntegralType):
         return column.cast("bigint")
+    text = strip_text(column)
+    plain = F.regexp_extract(text, r"^([+-]?\d+)(?:\.0*)?$", 1)
+    if isinstance(data_type, T.StringType):
+        return F.when(plain != "", plain.try_cast("bigint"))
     exact = column.try_cast("decimal(38,6)")
-    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+    return F.when(column == F.floor(column), exact.try_cast("bigint"))
 
 
 def parse_money(column: Column) -> Column:
@@ -116,8 +120,28 @@ def money(column: Column) -> Column:
 
 
 def round2(column: Column) -> Column:
-    """Round half up on the decimal value; binary doubles round differently per engine."""
-    return F.round(column.cast("decimal(38,6)"), 2).cast("double")
+    """An exact decimal rounded half up, as double."""
+    return F.round(column, 2).cast("double")
+
+
+def whole(column: Column) -> Column:
+    """A count or an amount in ten-thousandths, as a whole number."""
+    return (column.cast("decimal(24,4)") * 10000).cast("decimal(28,0)")
+
+
+def quotient2(numerator: Column, denominator: Column) -> Column:
+    """Quotient of two whole numbers with two decimals, rounded half up exactly once.
+
+    Null when the denominator is zero or missing. No intermediate value is rounded: the
+    remainder of the whole-number division decides.
+    """
+    top = (F.abs(numerator).cast("decimal(36,0)") * 200).cast("decimal(38,0)")
+    below = F.abs(denominator).cast("decimal(36,0)")
+    bottom = (below * 2).cast("decimal(38,0)")
+    top = (top + below).cast("decimal(38,0)")
+    steps = ((top - top % bottom) / bottom).cast("decimal(30,0)")
+    signed = F.when((numerator < 0) != (denominator < 0), -steps).otherwise(steps)
+    return F.when(denominator != 0, (signed / 100).cast("decimal(32,2)"))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cardlake import contracts
+from cardlake.functions import columns as C
 from cardlake.operators import keys
 
 
@@ -41,13 +42,12 @@ def missing_values(df: DataFrame) -> DataFrame:
         F.struct(F.lit(name).alias("column_name"), F.col(f"c{i}").alias("missing_count"))
         for i, name in enumerate(df.columns)
     ])
-    percent = F.try_divide(100 * F.col("missing_count").cast("double"), F.col("rows"))
+    percent = C.quotient2(100 * F.col("missing_count"), F.col("rows"))
     return (
         counts.select("rows", F.inline(pairs))
         .select(
             "column_name", "missing_count",
-            F.round(percent.cast("decimal(38,6)"), 2).cast("double")
-            .alias("missing_percentage"),
+            percent.cast("double").alias("missing_percentage"),
         )
         .orderBy(F.desc("missing_percentage"), "column_name")
     )

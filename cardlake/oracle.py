@@ -158,25 +158,53 @@ def _with(*parts: str) -> str:
     return "WITH " + _CLEAN + "".join(parts)
 
 
-def _r2(expression: str) -> str:
-    return f"CAST(round(CAST({expression} AS DECIMAL(38, 6)), 2) AS DOUBLE)"
+def _r2(amount: str) -> str:
+    """An exact decimal, rounded half away from zero."""
+    return f"CAST(round({amount}, 2) AS DOUBLE)"
 
 
-def _two(expression: str) -> str:
-    rounded = f"round(CAST({expression} AS DECIMAL(38, 8)), 2)"
-    return f"CAST(CAST({rounded} AS DECIMAL(38, 2)) AS VARCHAR)"
+def _cents(numerator: str, denominator: str) -> str:
+    """100 times a quotient of whole numbers: quotient and remainder, carried from half."""
+    n, d = f"abs(CAST(100 * ({numerator}) AS HUGEINT))", f"abs(CAST(nullif({denominator}, 0) AS HUGEINT))"
+    sign = f"(CASE WHEN ({numerator} < 0) <> ({denominator} < 0) THEN -1 ELSE 1 END)"
+    return f"({sign} * ({n} // {d} + CASE WHEN {n} % {d} * 2 >= {d} THEN 1 ELSE 0 END))"
 
 
-def _percent(expression: str) -> str:
-    return f"({_two(f'({expression}) * 100')} || '%')"
+def _quotient(numerator: str, denominator: str) -> str:
+    return f"(CAST({_cents(numerator, denominator)} AS DOUBLE) / 100)"
+
+
+def _text(cents: str) -> str:
+    return f"CAST(CAST(CAST({cents} AS DOUBLE) / 100 AS DECIMAL(32, 2)) AS VARCHAR)"
+
+
+def _two(amount: str) -> str:
+    return f"CAST(CAST(round(CAST({amount} AS DECIMAL(38, 4)), 2) AS DECIMAL(38, 2)) AS VARCHAR)"
+
+
+def _units(amount: str) -> str:
+    """An amount or a count in ten-thousandths, as a whole number."""
+    return f"CAST(CAST({amount} AS DECIMAL(28, 4)) * 10000 AS HUGEINT)"
+
+
+def _percent(part: str, total: str) -> str:
+    return f"({_text(_cents(f'100 * {_units(part)}', _units(total)))} || '%')"
+
+
+def _bps(part: str) -> str:
+    """Text of the change of a share of counts in basis points."""
+    whole = "CAST({} AS HUGEINT)".format
+    change = f"({whole(part)} * {whole('pn')} - {whole('p' + part)} * {whole('n')}) * 10000"
+    return _text(_cents(f"({change})", f"({whole('n')} * {whole('pn')})"))
 
 
 _STAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 _N = "CAST(count(*) AS BIGINT)"
 _TOTAL = f"{_r2('sum(amount)')} AS total_transaction_amount"
-_AVERAGE = f"{_r2('CAST(sum(amount) AS DOUBLE) / count(*)')} AS average_transaction_amount"
+_MEAN = _quotient(_units("sum(amount)"), "(10000 * count(*))")
+_AVERAGE = f"{_MEAN} AS average_transaction_amount"
 _FRAUDS = "CAST(count(*) FILTER (is_fraud) AS BIGINT)"
-_RATE = _r2("100.0 * CAST(count(*) FILTER (is_fraud) AS DOUBLE) / nullif(count(*), 0)")
+_RATE = _quotient("100 * count(*) FILTER (is_fraud)", "count(*)")
 
 # The selection used by the filtered dashboard queries.
 YEARS = (1997, 1998, 1999)
@@ -312,7 +340,7 @@ SELECT {key_checks}, (SELECT count(*) FROM fact) AS transaction_rows,
     sql["kpis_filtered"] = _with() + f"""
 SELECT {_N} AS total_transactions,
   {zero(_r2('sum(amount)'))} AS total_transaction_amount,
-  {zero(_r2('CAST(sum(amount) AS DOUBLE) / nullif(count(*), 0)'))} AS average_transaction_amount,
+  {zero(_MEAN)} AS average_transaction_amount,
   {_FRAUDS} AS fraudulent_transactions, {zero(_RATE)} AS fraud_transaction_rate_percent
 FROM valid WHERE {_SELECTED}"""
     sql["kpis_empty_selection"] = sql["kpis_filtered"].replace(
@@ -385,13 +413,13 @@ FROM both_years"""
     risk = f"coalesce({_direction(_FRAUD_BPS)}, 'No prior year')"
     sql["executive_summary"] = _with(_DATES, _YEARS) + f"""
 SELECT calendar_year, {risk} AS risk_direction,
-  'Risk ' || {risk} || ' | Amount growth ' || {na(_percent('damount / pamount'))}
-    || ' | Fraud rate ' || {na(_two(_FRAUD_BPS))} || ' bps | Error rate '
-    || {na(_two(_ERROR_BPS))} || ' bps | Data through '
+  'Risk ' || {risk} || ' | Amount growth ' || {na(_percent('(amount - pamount)', 'pamount'))}
+    || ' | Fraud rate ' || {na(_bps('frauds'))} || ' bps | Error rate '
+    || {na(_bps('errors'))} || ' bps | Data through '
     || strftime(covered, '%Y-%m-%d') AS executive_decision_summary,
-  'Risk ' || {risk} || ' | Fraud rate ' || {_percent('frauds / n')} || ' ('
-    || {na(_two(_FRAUD_BPS))} || ' bps) | Exposure $' || {na(_two('exposure'))}
-    || ' | Error rate ' || {_percent('errors / n')} || ' (' || {na(_two(_ERROR_BPS))}
+  'Risk ' || {risk} || ' | Fraud rate ' || {_percent('frauds', 'n')} || ' ('
+    || {na(_bps('frauds'))} || ' bps) | Exposure $' || {na(_two('exposure'))}
+    || ' | Error rate ' || {_percent('errors', 'n')} || ' (' || {na(_bps('errors'))}
     || ' bps)' AS risk_exceptions_brief
 FROM both_years"""
     sql["portfolio_selected"] = _with() + f""",
@@ -449,8 +477,8 @@ SELECT CAST(count(*) FILTER (frauds > 0) AS BIGINT) AS fraudulent_merchant_count
   CAST((SELECT sum(exposure) FROM ten) AS DOUBLE) AS top_10_fraud_exposure,
   {share} AS top_10_fraud_exposure_share, {rate} AS portfolio_fraud_rate,
   CAST(count(*) FILTER (frauds > 0) AS VARCHAR) || ' merchants with fraud | Top 10 hold '
-    || {_percent(share)} || ' of $' || {_two('sum(exposure)')}
-    || ' exposure | Portfolio fraud rate ' || {_percent(rate)} AS merchant_risk_summary
+    || {_percent('(SELECT sum(exposure) FROM ten)', 'sum(exposure)')} || ' of $' || {_two('sum(exposure)')}
+    || ' exposure | Portfolio fraud rate ' || {_percent('sum(frauds)', 'sum(n)')} AS merchant_risk_summary
 FROM by_merchant"""
     sql["merchant_risk"] = merchants + f""",
 scored AS (
@@ -472,7 +500,7 @@ SELECT merchant_display_label, CAST(n AS BIGINT) AS transaction_count,
   CAST(exposure AS DOUBLE) AS fraud_exposure, share AS exposure_share,
   CAST(place AS BIGINT) AS exposure_rank, tier AS risk_tier,
   CASE WHEN frauds > 0 THEN tier || ' | Rank ' || CAST(place AS VARCHAR) || ' | Fraud rate '
-    || {_percent('fraud_rate')} || ' | Exposure share ' || {na(_percent('share'))}
+    || {_percent('frauds', 'n')} || ' | Exposure share ' || {na(_percent('exposure', '(SELECT sum(exposure) FROM by_merchant)'))}
     ELSE 'No fraud recorded' END AS risk_insight
 FROM tiered JOIN dim_m USING (merchant_key)"""
     sql["merchant_vs_portfolio"] = merchants + """
@@ -532,7 +560,7 @@ landed AS (
     sql["missing_profile"] = landed + " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, CAST(count(*) - count(\"{name}\") AS BIGINT) "
         f"AS missing_count, "
-        + _r2(f'100.0 * CAST(count(*) - count("{name}") AS DOUBLE) / count(*)')
+        + _quotient(f'(100 * (count(*) - count("{name}")))', 'count(*)')
         + " AS missing_percentage FROM landed"
         for name in names
     )
@@ -633,7 +661,7 @@ judged AS (
   FROM last_run CROSS JOIN due WHERE place = 1
 )
 SELECT pipeline_name, run_id, status,
-  CAST(round(CAST(seconds / 3600 AS DECIMAL(18, 6)), 2) AS DOUBLE) AS age_hours,
+  """ + _quotient("CAST(seconds AS BIGINT)", "3600") + """ AS age_hours,
   seconds <= 26 * 3600 AS is_fresh, on_time AS meets_schedule, TRUE AS tables_present,
   status = 'SUCCESS' AND seconds <= 26 * 3600 AND on_time AS is_healthy
 FROM judged"""

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cardlake.functions import columns as C
 from cardlake.operators import keys, serving
 from cardlake.operators.rows import one_row
+from cardlake.session import stage
 
 TOP_MERCHANTS = 10
 
@@ -56,13 +57,22 @@ def dbl(name: str | Column) -> Column:
     return (F.col(name) if isinstance(name, str) else name).cast("double")
 
 
-def percent_text(fraction: Column) -> Column:
-    """``12.34%``; rounding acts on the decimal value."""
-    return F.concat(_two_digits(fraction * 100), F.lit("%"))
+def percent_text(part: Column, total: Column) -> Column:
+    """``12.34%`` of two counts or two amounts, rounded once on the exact quotient."""
+    return F.concat(C.quotient2(100 * C.whole(part), C.whole(total)).cast("string"), F.lit("%"))
 
 
-def _two_digits(value: Column) -> Column:
-    return F.round(value.cast("decimal(38,8)"), 2).cast("decimal(38,2)").cast("string")
+def _change_text(part: Column, total: Column, prior_part: Column, prior_total: Column) -> Column:
+    """Change of a share of counts in basis points, rounded once."""
+    counts = [c.cast("decimal(18,0)") for c in (part, total, prior_part, prior_total)]
+    part, total, prior_part, prior_total = counts
+    change = (part * prior_total - prior_part * total).cast("decimal(32,0)") * 10000
+    return C.quotient2(change, (total * prior_total).cast("decimal(36,0)")).cast("string")
+
+
+def _two_digits(amount: Column) -> Column:
+    """An exact decimal amount with two decimals."""
+    return F.round(amount, 2).cast("decimal(38,2)").cast("string")
 
 
 def direction(change: Column) -> Column:
@@ -233,7 +243,11 @@ def executive_briefs(fact: DataFrame, dates: DataFrame) -> DataFrame:
     fraud, error = (C.ratio(F.col(name), F.col("n")) for name in ("frauds", "errors"))
     fraud_change = (fraud - C.ratio(F.col("prior_frauds"), F.col("prior_n"))) * 10000
     error_change = (error - C.ratio(F.col("prior_errors"), F.col("prior_n"))) * 10000
-    growth = C.ratio(F.col("amount") - F.col("prior_amount"), F.col("prior_amount"))
+    growth = F.col("amount") - F.col("prior_amount"), F.col("prior_amount")
+    fraud_text, error_text = (
+        _change_text(*[F.col(c) for c in (name, "n", f"prior_{name}", "prior_n")])
+        for name in ("frauds", "errors")
+    )
     risk = F.coalesce(direction(fraud_change), F.lit("No prior year"))
 
     def or_none(text: Column) -> Column:
@@ -244,18 +258,18 @@ def executive_briefs(fact: DataFrame, dates: DataFrame) -> DataFrame:
         risk.alias("risk_direction"),
         F.concat(
             F.lit("Risk "), risk,
-            F.lit(" | Amount growth "), or_none(percent_text(growth)),
-            F.lit(" | Fraud rate "), or_none(_two_digits(fraud_change)),
-            F.lit(" bps | Error rate "), or_none(_two_digits(error_change)),
+            F.lit(" | Amount growth "), or_none(percent_text(*growth)),
+            F.lit(" | Fraud rate "), or_none(fraud_text),
+            F.lit(" bps | Error rate "), or_none(error_text),
             F.lit(" bps | Data through "), F.date_format("covered", "yyyy-MM-dd"),
         ).alias("executive_decision_summary"),
         F.concat(
             F.lit("Risk "), risk,
-            F.lit(" | Fraud rate "), percent_text(fraud),
-            F.lit(" ("), or_none(_two_digits(fraud_change)),
+            F.lit(" | Fraud rate "), percent_text(F.col("frauds"), F.col("n")),
+            F.lit(" ("), or_none(fraud_text),
             F.lit(" bps) | Exposure $"), or_none(_two_digits(F.col("exposure"))),
-            F.lit(" | Error rate "), percent_text(error),
-            F.lit(" ("), or_none(_two_digits(error_change)), F.lit(" bps)"),
+            F.lit(" | Error rate "), percent_text(F.col("errors"), F.col("n")),
+            F.lit(" ("), or_none(error_text), F.lit(" bps)"),
         ).alias("risk_exceptions_brief"),
     ).orderBy("calendar_year")
 
@@ -380,10 +394,10 @@ def exposure_concentration(fact: DataFrame, rows: int = TOP_MERCHANTS) -> DataFr
         F.concat(
             F.col("fraudulent_merchant_count").cast("string"),
             F.lit(" merchants with fraud | Top 10 hold "),
-            F.coalesce(percent_text(share), F.lit("n/a")),
+            F.coalesce(percent_text(F.col("top_exposure"), F.col("total_exposure")), F.lit("n/a")),
             F.lit(" of $"), F.coalesce(_two_digits(F.col("total_exposure")), F.lit("0.00")),
             F.lit(" exposure | Portfolio fraud rate "),
-            F.coalesce(percent_text(rate), F.lit("n/a")),
+            F.coalesce(percent_text(F.col("frauds"), F.col("n")), F.lit("n/a")),
         ).alias("merchant_risk_summary"),
     )
 
@@ -401,15 +415,15 @@ def risk_tier(rate: Column, share: Column) -> Column:
 def merchant_risk(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     """Every merchant with fraud rate, exposure, share of exposure, rank, tier and insight.
 
+    The fact is read once: the rollup is stored, and total, ranks and rows come from it.
     Ranks come from a distributed ranking, not from a window over all merchants.
     """
-    per_merchant = rollup(fact, "merchant_key")
-    total = fact.agg(
-        F.sum(F.when(F.col("is_fraud"), C.money(F.col("transaction_amount"))))
-    ).scalar()
+    per_merchant = stage(rollup(fact, "merchant_key"), "merchant-rollup")
+    total = per_merchant.agg(F.sum("exposure")).scalar()
     ranked = keys.competition_rank(per_merchant, "exposure", "exposure_rank")
     rate = C.ratio(F.col("frauds"), F.col("n"))
     share = C.ratio(F.col("exposure"), total)
+    share_text = percent_text(F.col("exposure"), total)
     scored = ranked.select(
         "merchant_key",
         F.col("n").alias("transaction_count"),
@@ -417,21 +431,23 @@ def merchant_risk(fact: DataFrame, merchants: DataFrame) -> DataFrame:
         rate.alias("fraud_rate"),
         dbl("exposure").alias("fraud_exposure"),
         share.alias("exposure_share"),
+        share_text.alias("share_text"),
         "exposure_rank",
     ).withColumn("risk_tier", risk_tier(F.col("fraud_rate"), F.col("exposure_share")))
     insight = F.when(
         F.col("fraud_transaction_count") > 0,
         F.concat(
             F.col("risk_tier"), F.lit(" | Rank "), F.col("exposure_rank").cast("string"),
-            F.lit(" | Fraud rate "), percent_text(F.col("fraud_rate")),
+            F.lit(" | Fraud rate "),
+            percent_text(F.col("fraud_transaction_count"), F.col("transaction_count")),
             F.lit(" | Exposure share "),
-            F.coalesce(percent_text(F.col("exposure_share")), F.lit("n/a")),
+            F.coalesce("share_text", F.lit("n/a")),
         ),
     ).otherwise("No fraud recorded")
     return (
         scored.join(merchants.select("merchant_key", "merchant_display_label"), "merchant_key")
         .withColumn("risk_insight", insight)
-        .drop("merchant_key")
+        .drop("merchant_key", "share_text")
     )
 
 

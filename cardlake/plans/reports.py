@@ -49,7 +49,9 @@ def total_amount() -> Column:
 
 
 def average_amount() -> Column:
-    return C.round2(F.avg(amount())).alias("average_transaction_amount")
+    units = C.whole(F.sum(amount()))
+    average = C.quotient2(units, F.count(amount()).cast("decimal(20,0)") * 10000)
+    return average.cast("double").alias("average_transaction_amount")
 
 
 def transactions(name: str = "transaction_count") -> Column:
@@ -61,8 +63,8 @@ def frauds() -> Column:
 
 
 def fraud_percent(name: str = "fraud_rate_percent") -> Column:
-    share = C.ratio(100 * C.count_where(F.col("is_fraud")), F.count(F.lit(1)))
-    return C.round2(share).alias(name)
+    share = C.quotient2(100 * C.count_where(F.col("is_fraud")), F.count(F.lit(1)))
+    return share.cast("double").alias(name)
 
 
 def years(dates: DataFrame) -> DataFrame:
