@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
+import json
 from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from cardlake import contracts
-from cardlake.session import stage
+from cardlake.session import stage, staging_path
 from cardlake.sources import files, landing, ledger, tables
 
 # Files handled by one Spark job. It bounds the file table that is broadcast to the
@@ -34,20 +34,23 @@ _RESULT = T.StructType([
 
 @dataclass
 class _File:
-    """A new file: its listing entry and what became of it."""
+    """A file of one job: its listing entry and what became of it."""
 
     path: str
     name: str
     scan_name: str
     size: int
     sha256: str
-    header: str
     run_id: str
     rows: int = 0
     error: str | None = None
     sequence: int = 0
 
 
+_LISTED = ("path", "name", "scan_name", "size", "sha256", "run_id")
+_OUTCOME = "path string, rows bigint, error string"
+
+
 def bronze_schema(contract: T.StructType) -> T.StructType:
     return T.StructType([*contract, *contracts.AUDIT, *contracts.LINEAGE])
 
@@ -102,33 +105,45 @@ def _ingest(
 ) -> dict:
     now = now or datetime.now(timezone.utc)
     history = ledger.load(spark, ledger_path)
-    listed = stage(
-        ledger.mark_processed(files.fingerprints(found), history), "landing"
+    listed = _fingerprinted(spark, found)
+    marked = stage(
+        _mark_leaders(ledger.mark_processed(listed, history))
+        .withColumn("_header", landing.layouts(F.col("header"), contract))
+        .select(
+            "*", F.col("_header.layout").alias("layout"), F.expr("uuid()").alias("run_id"),
+            F.when(F.col("sha256").isNull(), F.coalesce("problem", F.lit("OSError: The file cannot be read")))
+            .when(~F.col("is_utf8"), "ValueError: The file is not valid UTF-8")
+            .otherwise(F.col("_header.error")).alias("error"),
+        ).drop("_header", "header", "problem", "is_utf8"),
+        "landing",
     )
-    marked = _mark_leaders(listed)
-
-    new = [
-        _File(run_id=str(uuid.uuid4()), **row.asDict())
-        for row in marked.where("leader").orderBy(F.lower("name"), "name")
-        .select("path", "name", "scan_name", "size", "sha256", "header").collect()
-    ]
-    batches = [
-        (layout, group[start:start + FILES_PER_JOB])
-        for layout, group in _by_layout(new, contract).items()
-        for start in range(0, len(group), FILES_PER_JOB)
-    ]
-    for layout, batch in batches:
+    jobs = _jobs(marked)
+    outcomes = staging_path(spark, "outcomes")
+    spark.createDataFrame([], _OUTCOME).write.parquet(outcomes)
+    for layout, of_job in jobs:
+        batch = _collect(of_job)
         _check_values(spark, batch, layout, contract, strict_types, multiline)
-    # Accepted files are numbered on from those accepted before, in order of name.
+        _record(spark, batch, outcomes)
+    # Accepted files are numbered on from those accepted before, in order of name. The
+    # window holds one narrow row per new file.
     first = history.where(F.col("status") == ledger.SUCCESS).count()
-    for sequence, file in enumerate((f for f in new if f.error is None), first):
-        file.sequence = sequence
-    for layout, batch in batches:
-        good = [file for file in batch if file.error is None]
-        if good:
-            _write(spark, good, layout, contract, bronze_path, multiline, now)
-
-    results = _results(spark, marked, new)
+    checked = spark.read.schema(_OUTCOME).parquet(outcomes)
+    numbered = stage(
+        marked.join(checked.where("error IS NULL").select("path"), "path", "left_semi").select(
+            "path", (F.row_number().over(Window.orderBy(F.lower("name"), "name", "path")) - 1 + first)
+            .cast("bigint").alias("sequence")),
+        "numbers",
+    )
+    written = staging_path(spark, "outcomes")
+    spark.createDataFrame([], _OUTCOME).write.parquet(written)
+    for layout, of_job in jobs:
+        batch = _collect(of_job.join(numbered, "path"), "sequence")
+        _write(spark, batch, layout, contract, bronze_path, multiline, now)
+        _record(spark, [f for f in batch if f.error is not None], written)
+    failed_late = spark.read.schema(_OUTCOME).parquet(written).select("path", F.col("error").alias("late_error"))
+
+    results = _results(marked, checked.join(failed_late, "path", "left").select(
+        "path", "rows", F.coalesce("error", "late_error").alias("value_error")))
     ledger.append(
         spark, ledger_path,
         results.where(F.col("status") != ledger.SKIPPED)
@@ -137,6 +152,62 @@ def _ingest(
     return _roll_up(spark, source, results, bronze_path, contract)
 
 
+def _fingerprinted(spark: SparkSession, found: files.Files) -> DataFrame:
+    """Hashed listing, with a row without a hash for each file that scans leave out."""
+    listed = files.fingerprints(found).drop("scan_path").withColumn("problem", F.lit(None).cast("string"))
+    hidden = landing.hidden_files(spark, found)
+    if not hidden:
+        return listed
+    problem = "ValueError: Names that start with an underscore or a dot cannot be scanned"
+    rows = spark.createDataFrame(hidden, "path string, name string, size bigint").withColumn(
+        "problem", F.lit(problem))
+    return listed.unionByName(rows, allowMissingColumns=True)
+
+
+def _jobs(marked: DataFrame) -> list[tuple[tuple, DataFrame]]:
+    """New files with a good header by column order, in jobs of about ``FILES_PER_JOB``.
+
+    Only layouts and their counts come to the driver here.
+    """
+    good = marked.where(F.col("leader") & F.col("error").isNull())
+    jobs = []
+    for row in good.groupBy("layout").agg(F.count("*").alias("n")).orderBy("layout").collect():
+        parts = -(-row["n"] // FILES_PER_JOB)
+        own = good.where(F.col("layout") == row["layout"])
+        job = F.pmod(F.xxhash64("path"), F.lit(parts))
+        jobs += [(tuple(json.loads(row["layout"])), own.where(job == k)) for k in range(parts)]
+    return jobs
+
+
+def _collect(of_job: DataFrame, *more: str) -> list[_File]:
+    return [_File(**row.asDict()) for row in of_job.select(*_LISTED, *more).orderBy("path").collect()]
+
+
+def _record(spark: SparkSession, batch: list[_File], path: str) -> None:
+    spark.createDataFrame(
+        [(f.path, f.rows, f.error) for f in batch], _OUTCOME
+    ).coalesce(1).write.mode("append").parquet(path)
+
+
+def _isolated(batch: list[_File], job) -> None:
+    """Run a job over files; when it fails, over halves, until the file at fault is alone.
+
+    That file gets the error; all others are worked through.
+    """
+    if not batch:
+        return
+    try:
+        job(batch)
+    except Exception as problem:  # recorded for the file, as the others must go on
+        if len(batch) == 1:
+            lines = str(problem).strip().splitlines() or [""]
+            batch[0].error = f"{type(problem).__name__}: {lines[0]}"[:4000]
+            return
+        middle = len(batch) // 2
+        _isolated(batch[:middle], job)
+        _isolated(batch[middle:], job)
+
+
 def _mark_leaders(listed: DataFrame) -> DataFrame:
     """Of new files with equal content only the first by name is read."""
     new = ~F.col("already_processed")
@@ -145,94 +216,93 @@ def _mark_leaders(listed: DataFrame) -> DataFrame:
     )
     return (
         listed.join(leaders, "sha256", "left")
-        .withColumn("leader", new & (F.col("path") == F.col("_leader")))
+        .withColumn("leader", new & F.coalesce(F.col("path") == F.col("_leader"), F.col("sha256").isNull()))
         .drop("_leader")
     )
 
 
-def _by_layout(new: list[_File], contract: T.StructType) -> dict[tuple, list[_File]]:
-    """Group files by column order; files with other columns get their error here."""
-    groups: dict[tuple, list[_File]] = defaultdict(list)
-    for file in new:
-        columns = landing.header_columns(file.header)
-        check = contracts.check_columns(columns, contract.fieldNames())
-        if check["is_valid"]:
-            groups[tuple(columns)].append(file)
-        else:
-            file.error = f"ValueError: Column validation failed: {check}"
-    return groups
-
-
 def _check_values(spark, batch, layout, contract, strict_types, multiline) -> None:
-    """Check the values of all files in one job; one small row per file comes back."""
-    scanned = landing.scan(spark, [file.path for file in batch], layout, multiline)
-    profiles = {
-        row["_file"]: row.asDict()
-        for row in landing.value_profile(scanned, contract).collect()
-    }
-    empty = defaultdict(int)
+    """Check the values of all files of a job; one small row per file comes back."""
     judge = landing.observed_types if strict_types else landing.acceptable_types
-    for file in batch:
-        profile = profiles.get(file.scan_name, empty)
-        file.rows = profile["rows"]
-        if profile["overlong"]:
-            file.error = (
-                f"ValueError: {profile['overlong']} records have more than "
-                f"{len(contract)} fields"
+    empty = defaultdict(int)
+
+    def check(part: list[_File]) -> None:
+        scanned = landing.scan(spark, [file.path for file in part], layout, multiline)
+        profiles = {
+            row["_file"]: row.asDict()
+            for row in landing.value_profile(scanned, contract).collect()
+        }
+        for file in part:
+            profile = profiles.get(file.scan_name, empty)
+            file.rows = profile["rows"]
+            types = contracts.check_types(
+                judge(profile, contract), contracts.expected_types(contract)
             )
-            continue
-        check = contracts.check_types(
-            judge(profile, contract), contracts.expected_types(contract)
-        )
-        if not check["is_valid"]:
-            file.error = f"TypeError: Data-type validation failed: {check}"
+            if profile["overlong"]:
+                file.error = (
+                    f"ValueError: {profile['overlong']} records have more than "
+                    f"{len(contract)} fields"
+                )
+            elif profile["unclosed"]:
+                file.error = f"ValueError: {profile['unclosed']} records have a quote that is not closed"
+            elif not types["is_valid"]:
+                file.error = f"TypeError: Data-type validation failed: {types}"
+
+    _isolated(batch, check)
 
 
 def _write(spark, batch, layout, contract, bronze_path, multiline, now) -> None:
     """Write checked files to their own bronze partitions.
 
-    The joined table has one row per file of this job (at most ``FILES_PER_JOB``).
+    The joined table has one row per file of this job (about ``FILES_PER_JOB``).
     """
-    audit = spark.createDataFrame(
-        [(f.scan_name, f.name, f.size, f.sha256, f.run_id, f.sequence) for f in batch],
-        "_scan_name string, _source_file_name string, _source_file_size_bytes bigint, "
-        "_source_file_sha256 string, _pipeline_run_id string, _source_sequence bigint",
-    )
-    scanned = landing.scan(spark, [file.path for file in batch], layout, multiline)
-    rows = scanned.join(
-        F.broadcast(audit), F.col("_file") == F.col("_scan_name")
-    ).select(
-        *landing.typed(scanned, contract),
-        "_source_file_name", "_source_file_size_bytes", "_source_file_sha256",
-        F.lit(now).cast("timestamp").alias("_ingestion_timestamp_utc"),
-        "_pipeline_run_id", "_source_sequence",
-        F.col("_block_start").alias("_source_block_start"),
-        F.col("_row").alias("_source_row"),
-    )
-    tables.append_by_partition(rows, bronze_path, PARTITION)
+    def write(part: list[_File]) -> None:
+        audit = spark.createDataFrame(
+            [(f.scan_name, f.name, f.size, f.sha256, f.run_id, f.sequence) for f in part],
+            "_scan_name string, _source_file_name string, _source_file_size_bytes bigint, "
+            "_source_file_sha256 string, _pipeline_run_id string, _source_sequence bigint",
+        )
+        scanned = landing.scan(spark, [file.path for file in part], layout, multiline)
+        rows = scanned.join(
+            F.broadcast(audit), F.col("_file") == F.col("_scan_name")
+        ).select(
+            *landing.typed(scanned, contract),
+            "_source_file_name", "_source_file_size_bytes", "_source_file_sha256",
+            F.lit(now).cast("timestamp").alias("_ingestion_timestamp_utc"),
+            "_pipeline_run_id", "_source_sequence",
+            F.col("_block_start").alias("_source_block_start"),
+            F.col("_row").alias("_source_row"),
+        )
+        tables.append_by_partition(rows, bronze_path, PARTITION)
+
+    _isolated(batch, write)
 
 
-def _results(spark: SparkSession, marked: DataFrame, new: list[_File]) -> DataFrame:
+def _results(marked: DataFrame, checked: DataFrame) -> DataFrame:
     """One row per listed file. Copies of a read file share its fate: skipped when it
     was good, failed when it was not."""
-    outcome = spark.createDataFrame(
-        [(f.sha256, f.run_id, f.rows, f.error) for f in new],
-        "sha256 string, run_id string, rows bigint, error string",
-    )
-    failed = F.col("error").isNotNull()
+    own = marked.join(checked, "path", "left").withColumn("error", F.coalesce("error", "value_error"))
+    read_once = own.where(F.col("leader") & F.col("sha256").isNotNull()).select(
+        "sha256", F.col("run_id").alias("read_by"), F.col("rows").alias("read_rows"),
+        F.col("error").alias("read_error"))
+    joined = own.join(read_once, "sha256", "left")
+    new = ~F.col("already_processed")
+    error = F.when(new, F.coalesce("read_error", F.when(F.col("sha256").isNull(), F.col("error"))))
+    failed = error.isNotNull()
     read = F.col("leader") & ~failed
     status = (
         F.when(failed, ledger.FAILED).when(read, ledger.SUCCESS).otherwise(ledger.SKIPPED)
     )
-    joined = marked.join(outcome, "sha256", "left").select(
+    rows = F.coalesce("read_rows", F.lit(0))
+    joined = joined.select(
         F.col("name").alias("source_file_name"),
         F.col("size").alias("source_file_size_bytes"),
         F.col("sha256").alias("source_file_sha256"),
-        F.when(failed | read, F.col("run_id")).alias("pipeline_run_id"),
+        F.when(failed | read, F.coalesce("read_by", "run_id")).alias("pipeline_run_id"),
         status.alias("status"),
-        F.when(failed | read, F.col("rows")).otherwise(0).alias("rows_read"),
-        F.when(read, F.col("rows")).otherwise(0).alias("rows_written"),
-        F.col("error").alias("error_message"),
+        F.when(failed | read, rows).otherwise(0).cast("bigint").alias("rows_read"),
+        F.when(read, rows).otherwise(0).cast("bigint").alias("rows_written"),
+        error.alias("error_message"),
     )
     return stage(joined.select(*_RESULT.fieldNames()), "ingest-results")
 

@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import csv
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cardlake import contracts
 from cardlake.functions import columns as C
 from cardlake.sources import files, tables
 
 _CSV_NAMES = "*.[cC][sS][vV]"
-_EXTRA = "_extra_field"
+_CORRUPT = "_corrupt_record"
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
-def discover(spark: SparkSession, landing_path: str) -> DataFrame:
-    """CSV files directly in the landing directory, as binary file rows.
+def discover(spark: SparkSession, landing_path: str) -> files.Files:
+    """CSV files directly in the landing directory.
 
     A missing directory, a file in its place and a directory without CSV files are errors.
     """
@@ -32,13 +34,21 @@ def discover(spark: SparkSession, landing_path: str) -> DataFrame:
     pattern = f"{glob_literal(directory)}/{_CSV_NAMES}"
     if not file_system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern)):
         raise FileNotFoundError(f"No CSV files were found in {landing_path}")
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.binary(spark, pattern, _CSV_NAMES).where(
-        F.col("path") == F.concat(F.lit(directory + "/"), name)
-    )
+    return files.Files(spark, pattern, _CSV_NAMES, directory=directory)
+
+
+def hidden_files(spark: SparkSession, found: files.Files) -> list[tuple[str, str, int]]:
+    """Path, name and size of CSV files whose names Spark's scans leave out."""
+    if found.directory is None:
+        return []
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{glob_literal(found.directory)}/[_.]{_CSV_NAMES}")
+    statuses = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return [
+        (s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in statuses if s.isFile()
+    ]
 
 
-def single_file(spark: SparkSession, source_file: str) -> DataFrame:
+def single_file(spark: SparkSession, source_file: str) -> files.Files:
     """The one file given, after checking that it is an existing CSV file."""
     if not tables.exists(spark, source_file):
         raise FileNotFoundError(f"The source CSV file does not exist: {source_file}")
@@ -46,7 +56,7 @@ def single_file(spark: SparkSession, source_file: str) -> DataFrame:
         raise ValueError(f"The source path is not a file: {source_file}")
     if not source_file.lower().endswith(".csv"):
         raise ValueError(f"Only CSV files can be ingested: {source_file}")
-    return files.binary(spark, glob_literal(source_file), _CSV_NAMES)
+    return files.Files(spark, glob_literal(source_file), _CSV_NAMES)
 
 
 def glob_literal(path: str) -> str:
@@ -56,28 +66,55 @@ def glob_literal(path: str) -> str:
 
 def header_columns(header: str | None) -> list[str]:
     """Column names of a header line."""
-    text = (header or "").removeprefix("\ufeff").rstrip("\r")
+    text = (header or "").removeprefix("\ufeff")
+    csv.field_size_limit(2**31 - 1)
     return next(csv.reader([text]), [])
 
 
+def layouts(header: Column, contract: T.StructType) -> Column:
+    """Column order of a header line as JSON, or what is wrong with it.
+
+    Headers are parsed where their files were read: the driver sees one value per layout,
+    however many files there are and however long their first lines.
+    """
+    names = contract.fieldNames()
+
+    @F.pandas_udf("struct<layout: string, error: string>")
+    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for headers in batches:
+            out = []
+            for text in headers:
+                try:
+                    columns = header_columns(text)
+                    check = contracts.check_columns(columns, names)
+                    error = None if check["is_valid"] else f"ValueError: Column validation failed: {check}"[:4000]
+                except csv.Error as problem:
+                    columns, error = [], f"ValueError: The header cannot be parsed: {problem}"
+                out.append((json.dumps(columns) if error is None else None, error))
+            yield pd.DataFrame(out, columns=["layout", "error"], dtype=object)
+
+    return parse(header)
+
+
 def scan(
     spark: SparkSession, paths: Sequence[str], layout: Sequence[str], multiline: bool = False
 ) -> DataFrame:
     """All fields as text, with the file, block and row each record came from.
 
-    ``layout`` is the column order of these files. One column more is read so that a
-    record with too many fields shows. Words that stand for "no value" become null.
+    ``layout`` is the column order of these files. Records with too many or too few fields
+    keep their text in one column more. Words that stand for "no value" become null.
     ``multiline`` allows line breaks inside quotes, at the price of unsplittable files.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*layout, _EXTRA)])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*layout, _CORRUPT)])
     raw = (
         spark.read.schema(schema)
         .option("header", True).option("escape", '"').option("multiLine", multiline)
+        .option("columnNameOfCorruptRecord", _CORRUPT).option("columnPruning", False)
         .csv([glob_literal(path) for path in paths])
     )
     return raw.select(
         *[C.null_words_to_null(F.col(f"`{name}`")).alias(name) for name in layout],
-        F.col(_EXTRA),
+        F.col(_CORRUPT),
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row"),
@@ -85,13 +122,19 @@ def scan(
 
 
 def value_profile(scanned: DataFrame, contract: T.StructType) -> DataFrame:
-    """Per file: rows, rows with too many fields, and value counts per column.
+    """Per file: rows, broken records, and value counts per column.
 
-    Counts are combined before the shuffle, so the size of a file does not matter.
+    Broken are records with more fields than columns, empty ones included, and records with
+    a quote that is not closed. Counts are combined before the shuffle, so the size of a
+    file does not matter.
     """
+    # What is left of a record without its quoted parts has one comma between two fields.
+    bare = F.regexp_replace(_CORRUPT, r'"(?:[^"]|"")*+"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     parts = [
         F.count(F.lit(1)).alias("rows"),
-        F.count(_EXTRA).alias("overlong"),
+        C.count_where(fields > len(contract)).alias("overlong"),
+        C.count_where(F.contains(bare, F.lit('"'))).alias("unclosed"),
     ]
     for i, field in enumerate(contract):
         column = F.col(f"`{field.name}`")
@@ -127,9 +170,12 @@ def acceptable_types(profile: dict, contract: T.StructType) -> dict[str, str]:
     """Observed types, with a column counted as its contract type when every value fits it.
 
     Values decide and gaps are allowed: a text column that happens to hold numbers, a
-    number column with missing values and an empty column all fit.
+    number column with missing values and an empty column all fit. A file without records
+    shows no types and fits nothing.
     """
     accepted = observed_types(profile, contract)
+    if not profile["rows"]:
+        return accepted
     for i, (name, wanted) in enumerate(contracts.expected_types(contract).items()):
         fits = {
             "int64": profile[f"present_{i}"] == profile[f"integers_{i}"],
