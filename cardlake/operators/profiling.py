@@ -135,7 +135,8 @@ def numeric_summary(
             F.try_divide(
                 F.sum(_quoted(name).cast(exact)).cast("double"), F.count(_quoted(name))
             ).alias("mean"),
-            F.stddev_samp(_quoted(name).cast("double")).alias("std"),
+            # Nine digits: behind them the order in which rows are added shows.
+            F.format_string("%.8e", F.stddev_samp(_quoted(name).cast("double"))).cast("double").alias("std"),
             F.min(_quoted(name)).cast("double").alias("min"),
             F.max(_quoted(name)).cast("double").alias("max"),
         ).alias(f"c{i}")

