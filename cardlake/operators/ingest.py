@@ -155,13 +155,11 @@ def _ingest(
 def _fingerprinted(spark: SparkSession, found: files.Files) -> DataFrame:
     """Hashed listing, with a row without a hash for each file that scans leave out."""
     listed = files.fingerprints(found).drop("scan_path").withColumn("problem", F.lit(None).cast("string"))
-    hidden = landing.hidden_files(spark, found)
-    if not hidden:
+    unscanned = landing.unscanned_files(spark, found)
+    if not unscanned:
         return listed
-    problem = "ValueError: Names that start with an underscore or a dot cannot be scanned"
-    rows = spark.createDataFrame(hidden, "path string, name string, size bigint").withColumn(
-        "problem", F.lit(problem))
-    return listed.unionByName(rows, allowMissingColumns=True)
+    rows = spark.createDataFrame(unscanned, "path string, name string, size bigint, problem string")
+    return listed.join(rows.select("path"), "path", "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
 def _jobs(marked: DataFrame) -> list[tuple[tuple, DataFrame]]:

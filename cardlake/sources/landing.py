@@ -37,15 +37,25 @@ def discover(spark: SparkSession, landing_path: str) -> files.Files:
     return files.Files(spark, pattern, _CSV_NAMES, directory=directory)
 
 
-def hidden_files(spark: SparkSession, found: files.Files) -> list[tuple[str, str, int]]:
-    """Path, name and size of CSV files whose names Spark's scans leave out."""
+def unscanned_files(spark: SparkSession, found: files.Files) -> list[tuple[str, str, int, str]]:
+    """Path, name, size and reason of CSV files that Spark's scans leave out.
+
+    Those are names that start with an underscore or a dot, and files without a byte.
+    """
     if found.directory is None:
         return []
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{glob_literal(found.directory)}/[_.]{_CSV_NAMES}")
-    statuses = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return [
-        (s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in statuses if s.isFile()
-    ]
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{glob_literal(found.directory)}/{_CSV_NAMES}")
+    out = []
+    for status in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        name = status.getPath().getName()
+        hidden = name.startswith(("_", "."))
+        if status.isFile() and (hidden or not status.getLen()):
+            reason = (
+                "ValueError: Names that start with an underscore or a dot cannot be scanned"
+                if hidden else "ValueError: Column validation failed: the file is empty"
+            )
+            out.append((status.getPath().toString(), name, status.getLen(), reason))
+    return out
 
 
 def single_file(spark: SparkSession, source_file: str) -> files.Files:

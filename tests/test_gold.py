@@ -22,16 +22,16 @@ def row(user, card, when, amount, method, merchant, fraud=False, error=None):
     from decimal import Decimal
 
     return (user, card, when, Decimal(amount), method, *merchant, error, fraud,
-            "sample.csv", NOW, "test-run-001", NOW)
+            "rows.csv", NOW, "a-run", NOW)
 
 
-TORONTO = (100, "Toronto", "ON", "M5V", 5411)
-OTTAWA = (200, "Ottawa", "ON", "K1P", 5812)
-WEB = (100, "ONLINE", None, None, 5812)
+BRNO = (7001, "Brno", "JM", "60200", 5094)
+OSLO = (7002, "Oslo", None, "0150", 4111)
+WEB = (7001, "ONLINE", None, None, 4111)
 SAMPLE = [
-    row(1, 10, datetime(2024, 1, 1, 10), "25.50", "Chip", TORONTO),
-    row(1, 10, datetime(2024, 1, 3, 12, 30), "40.00", "Online", OTTAWA, error="Timeout"),
-    row(2, 20, datetime(2024, 1, 3, 14, 45), "15.75", "Online", OTTAWA, fraud=True),
+    row(5, 51, datetime(2023, 2, 27, 8, 15), "12.10", "SWIPE", OSLO),
+    row(5, 52, datetime(2023, 3, 1, 23, 59), "99.99", "CHIP", BRNO, error="Bad PIN"),
+    row(6, 61, datetime(2023, 3, 1), "-7.45", "CHIP", BRNO, fraud=True),
 ]
 
 
@@ -46,18 +46,18 @@ def test_merchants_are_distinct_sorted_and_numbered(spark):
          row(4, 1, datetime(2024, 1, 2), "1", "Online", WEB)], SCHEMA)
     merchants = gold.create_merchant_dimension(frame).orderBy("merchant_key")
     assert rows(merchants, "merchant_key", "merchant_id", "merchant_city") == [
-        (1, 100, "ONLINE"), (2, 100, "Toronto"), (3, 200, "Ottawa")]
+        (1, 7001, "Brno"), (2, 7001, "ONLINE"), (3, 7002, "Oslo")]
     assert merchants.columns == ["merchant_key", *gold.MERCHANT_COLUMNS]
 
 
 def test_calendar_fills_gaps(sample):
     dates = gold.create_date_dimension(sample).orderBy("date_key")
-    assert [r["date_key"] for r in dates.collect()] == [20240101, 20240102, 20240103]
+    assert [r["date_key"] for r in dates.collect()] == [20230227, 20230228, 20230301]
     first = dates.first()
-    assert first["full_date"] == date(2024, 1, 1)
-    assert (first["calendar_month_name"], first["calendar_day_name"]) == ("January", "Monday")
+    assert first["full_date"] == date(2023, 2, 27)
+    assert (first["calendar_month_name"], first["calendar_day_name"]) == ("February", "Monday")
     assert (first["calendar_day_of_week_number"], first["is_weekend"]) == (1, False)
-    assert (first["calendar_year"], first["calendar_quarter"]) == (2024, 1)
+    assert (first["calendar_year"], first["calendar_quarter"]) == (2023, 1)
 
 
 def test_weekend_days(spark):
@@ -82,7 +82,7 @@ def test_fact_keys_and_columns(sample):
     assert fact.columns == list(gold.FACT_COLUMNS)
     fact = fact.orderBy("transaction_key")
     assert rows(fact, "transaction_key", "date_key", "merchant_key") == [
-        (1, 20240101, 1), (2, 20240103, 2), (3, 20240103, 2)]
+        (1, 20230227, 2), (2, 20230301, 1), (3, 20230301, 1)]
 
 
 def test_fact_leaves_out_absent_audit_columns(sample):
@@ -132,7 +132,7 @@ def test_model_faults_are_counted(spark, sample):
         quality.validate_gold(merchants, dates, fact, expect(spark, 4))
     with pytest.raises(ValueError, match="'invalid_date_foreign_keys': 2"):
         quality.validate_gold(
-            merchants, dates.where("date_key < 20240103"), fact, expect(spark, 3))
+            merchants, dates.where("date_key < 20230301"), fact, expect(spark, 3))
     unkeyed = fact.withColumn("transaction_key", F.lit(None).cast("bigint"))
     with pytest.raises(ValueError, match="'missing_transaction_keys': 3"):
         quality.validate_gold(merchants, dates, unkeyed, expect(spark, 3))

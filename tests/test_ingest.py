@@ -59,12 +59,12 @@ def test_first_run_reads_and_second_run_skips(area):
     assert second["bronze_total_rows"] == 3
     assert area.statuses() == ["SUCCESS"]  # a skipped file leaves no ledger row
 
-    row = area.bronze_rows().where("Day = 1").first()
+    row = area.bronze_rows().where("Day = 29").first()
     assert row["_source_file_sha256"] == hashlib.sha256(path.read_bytes()).hexdigest()
     assert row["_source_file_size_bytes"] == path.stat().st_size
     assert row["_source_file_name"] == "a.csv"
     assert row["_ingestion_timestamp_utc"].isoformat().startswith("2026-08-01T12:00")
-    assert row["Merchant Name"] == 111111111111111111 and row["Zip"] == 10001.0
+    assert row["Merchant Name"] == -4411 and row["Zip"] == 60200.0
     assert row["Errors?"] is None
 
 
@@ -76,7 +76,7 @@ def test_later_file_is_appended_and_history_kept(area):
     assert (result["files_processed"], result["files_skipped"]) == (1, 1)
     assert result["bronze_total_rows"] == 5
     order = area.bronze_rows().orderBy(*contracts.LINEAGE.fieldNames())
-    assert [row["Day"] for row in order.collect()] == [1, 3, 3, 4, 5]
+    assert [row["Day"] for row in order.collect()] == [29, 1, 1, 2, 3]
 
 
 def test_renamed_copy_is_skipped_within_and_across_runs(area):
@@ -93,7 +93,7 @@ def test_changed_content_under_same_name_and_size_is_read(area):
     area.put("a.csv", FIRST_FILE)
     area.run()
     changed = [[*row] for row in FIRST_FILE]
-    changed[0][6] = "$99.99"
+    changed[0][6] = "$9.95"
     assert len(changed[0][6]) == len(FIRST_FILE[0][6])
     area.put("a.csv", changed)
     result = area.run()
@@ -193,7 +193,7 @@ def test_column_order_does_not_matter(area):
     area.put("b.csv", [[row[i] for i in order] for row in SECOND_FILE],
              [TRANSACTION_HEADER[i] for i in order])
     assert area.run()["status"] == "SUCCESS"
-    assert rows(area.bronze_rows().where("Day = 5"), "User", "`Is Fraud?`") == [(4, "No")]
+    assert rows(area.bronze_rows().where("Day = 3"), "User", "`Is Fraud?`") == [(12, "No")]
 
 
 def test_null_words_quotes_and_blank_lines(area):
@@ -203,7 +203,7 @@ def test_null_words_quotes_and_blank_lines(area):
     path.write_text(path.read_text() + "\n\n")
     assert area.run()["rows_read"] == 3
     cities = dict(rows(area.bronze_rows(), "`Time`", "`Merchant City`"))
-    assert cities["10:00"] == 'Say "hi", all' and cities["12:30"] is None
+    assert cities["22:05"] == 'Say "hi", all' and cities["00:00"] is None
     assert area.bronze_rows().where("`Errors?` IS NULL").count() == 2
 
 
@@ -246,12 +246,22 @@ def test_single_file_checks_and_failure(area, tmp_path):
     assert (again["status"], again["rows_read"], again["bronze_total_rows"]) == ("SKIPPED", 0, 3)
 
 
-def test_hash_streaming_equals_in_memory_hash(area):
-    path = area.put("a.csv", FIRST_FILE)
+@pytest.mark.parametrize("data", [
+    b"a,b\n1,2\n", b"a,b\n1,2", b"a,b\r\n1,2\r\n\r\n", b"\n\n\n\n\n\n\n\n\n\n\n\n", b"a,b\n\xe9\xff,2\n", b"x" * 5000,
+    "h\u00e9ader\r".encode() * 40,
+])
+def test_hash_of_pieces_equals_hash_of_the_whole(area, data):
+    (area.landing / "a b%.csv").write_bytes(data)
     found = landing_source.discover(area.spark, str(area.landing))
-    streamed = files.fingerprints(found, in_memory_bytes=10).first()
-    assert streamed["sha256"] == hashlib.sha256(path.read_bytes()).hexdigest()
-    assert streamed == files.fingerprints(found).first()
+    pieces = files.fingerprints(found, in_memory_bytes=10).first()
+    assert pieces["sha256"] == hashlib.sha256(data).hexdigest()
+    assert pieces == files.fingerprints(found).first()
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        assert not pieces["is_utf8"]
+    else:
+        assert pieces["is_utf8"]
 
 
 # ------------------------------------------------------------------------- ledger
@@ -349,3 +359,65 @@ def test_missing_domain_leaves_the_other_running(spark, tmp_path):
     assert result["status"] == "PARTIAL_SUCCESS"
     assert (result["domains_failed"], result["files_failed"], result["rows_written"]) == (1, 1, 2)
     assert result["domain_results"]["users"]["error_message"].startswith("FileNotFoundError")
+
+
+# ------------------------------------------------------- files that must not pass or stop others
+
+
+def line(**changes):
+    values = dict(zip(TRANSACTION_HEADER, FIRST_FILE[0])) | changes
+    return ",".join(values.values())
+
+
+HEAD = ",".join(TRANSACTION_HEADER)
+
+
+@pytest.mark.parametrize("name, data, error", [
+    ("surplus.csv", f"{HEAD}\n{line()},,junk\n", "more than 15 fields"),
+    ("empty_surplus.csv", f"{HEAD}\n{line()},\n", "more than 15 fields"),
+    ("open_quote.csv", HEAD + "\n" + line(**{"Merchant City": '"Brno'}) + "\n", "quote that is not closed"),
+    ("only_header.csv", HEAD + "\n", "Data-type validation"),
+    ("nothing.csv", "", "Column validation"),
+    ("_hidden.csv", f"{HEAD}\n{line()}\n", "cannot be scanned"),
+    (".hidden.CSV", f"{HEAD}\n{line()}\n", "cannot be scanned"),
+    ("long_header.csv", "x" * 3_000_000 + "\n1\n", "Column validation"),
+    ("latin.csv", (HEAD + "\n" + line(**{"Merchant City": "Montr\u00e9al"}) + "\n").encode("latin-1"), "UTF-8"),
+])
+def test_a_broken_file_fails_alone(area, name, data, error):
+    (area.landing / name).write_bytes(data if isinstance(data, bytes) else data.encode())
+    area.put("good.csv", FIRST_FILE)
+    result = area.run()
+    assert outcome(result) == {"good.csv": "SUCCESS", name: "FAILED"}
+    assert (result["status"], result["rows_written"]) == ("PARTIAL_SUCCESS", 3)
+    failed = ledger.load(area.spark, area.ledger).where("status = 'FAILED'").collect()
+    assert len(failed) == 1 and error in failed[0]["error_message"]
+
+
+def test_bare_carriage_returns_end_lines(area):
+    (area.landing / "old.csv").write_bytes("\r".join([HEAD, line(), line(Day="30")]).encode() + b"\r")
+    assert area.run()["rows_written"] == 2
+
+
+def test_short_records_quoted_commas_and_literal_quotes_pass(area):
+    rows_ = [line(**{"Merchant City": '"Brno, ""old"" town"'}), line(**{"Merchant City": 'the 5" shop'}), "11,3,2023,11,29"]
+    (area.landing / "a.csv").write_text("\n".join([HEAD, *rows_]) + "\n")
+    assert area.run()["rows_written"] == 3
+    assert area.bronze_rows().where("`Merchant City` = 'Brno, \"old\" town'").count() == 1
+
+
+def test_a_job_that_fails_is_repeated_without_the_file_at_fault(area, monkeypatch):
+    for name in ("a.csv", "b.csv", "c.csv", "d.csv"):
+        area.put(name, [[*FIRST_FILE[0][:-2], name, "No"]])
+    scan = landing_source.scan
+
+    def fragile(spark, paths, *rest):
+        if any(path.endswith("b.csv") for path in paths):
+            raise OSError("lost block")
+        return scan(spark, paths, *rest)
+
+    monkeypatch.setattr(landing_source, "scan", fragile)
+    result = area.run()
+    assert outcome(result) == {"a.csv": "SUCCESS", "b.csv": "FAILED", "c.csv": "SUCCESS", "d.csv": "SUCCESS"}
+    monkeypatch.undo()
+    assert outcome(area.run())["b.csv"] == "SUCCESS"
+    assert area.bronze_rows().count() == 4

@@ -28,8 +28,8 @@ def test_two_runs(spark, landing):
     published = publication.read_published(spark, layout.published)
     assert rows(published["transaction"].orderBy("transaction_key"),
                 "transaction_key", "date_key", "merchant_key") == [
-        (1, 20240101, 1), (2, 20240103, 2), (3, 20240103, 2), (4, 20240104, 3),
-        (5, 20240105, 1)]
+        (1, 20231129, 1), (2, 20231201, 3), (3, 20231201, 3), (4, 20231202, 2),
+        (5, 20231203, 1)]
 
     second = run_pipeline(spark, str(landing), now=NOW)
     assert (second["bronze"]["files_processed"], second["bronze"]["files_skipped"],

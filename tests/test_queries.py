@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import compare
+from cardlake import oracle, registry
 from cardlake.plans.lakehouse import lakehouse
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry_point.oracle_sql()
-QUERIES = entry_point.queries()
+SQL = oracle.statements()
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,8 @@ def test_query_equals_its_sql(spark, duckdb, name):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):

@@ -19,12 +19,12 @@ SCHEMA = (
 )
 AUDIT = ("sample.csv", NOW, "run-1")
 GOOD = [
-    (0, 0, 2026, 8, 1, "10:00", "$25.50", "Chip Transaction", 1, " Toronto ", "ON", 10001.0,
+    (0, 0, 2026, 8, 1, "10:00", "$31.90", "Chip Transaction", 1, " Brno ", "JM", 60200.0,
      5411, None, "No", *AUDIT),
     (1, 1, 2026, 8, 1, "11:30", "$100.00", "Online Transaction", 2, "Vancouver", "BC", None,
      5812, "Technical Glitch", "Yes", *AUDIT),
 ]
-BAD = (None, 0, 2026, 8, 1, "99:99", "UNKNOWN", "Chip Transaction", 1, "Toronto", "ON", 10001.0,
+BAD = (None, 0, 2026, 8, 1, "99:99", "UNKNOWN", "Chip Transaction", 1, "Brno", "JM", 60200.0,
        5411, None, "Maybe", *AUDIT)
 
 
@@ -36,14 +36,14 @@ def test_clean_rows(spark):
     out = silver.silver_rows(clean(spark, GOOD)).orderBy("user_id")
     assert out.columns == list(silver.SILVER_COLUMNS)
     first, second = out.collect()
-    assert first["transaction_amount"] == Decimal("25.50")
+    assert first["transaction_amount"] == Decimal("31.90")
     assert first["transaction_timestamp"] == datetime(2026, 8, 1, 10)
     assert (first["transaction_method"], second["transaction_method"]) == ("CHIP", "ONLINE")
     assert (first["is_fraud"], second["is_fraud"]) == (False, True)
-    assert (first["merchant_zip_code"], second["merchant_zip_code"]) == ("10001", None)
+    assert (first["merchant_zip_code"], second["merchant_zip_code"]) == ("60200", None)
     assert (first["transaction_error"], second["transaction_error"]) == (
         "NO_ERROR", "Technical Glitch")
-    assert first["merchant_city"] == "Toronto"
+    assert first["merchant_city"] == "Brno"
 
 
 def test_all_reasons_in_rule_order(spark):
