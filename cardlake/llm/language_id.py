@@ -106,7 +106,7 @@ def fit(
     labelled: DataFrame,
     per_language: int = 400,
     centroids: int = 4,
-    reject_share: float = 0.5,
+    reject_share: float = 0.25,
     id_column: str = "doc_id",
     text_column: str = "text",
     language_column: str = "lang",
