@@ -8,15 +8,16 @@
    ``n - ceil(t n) + 1`` of both. Equal sets are represented by one document, and prefix
    n-grams that only one set has are dropped after counting, as are those that stand too
    late in a set for the sizes it meets (positional filter).
-3. Documents that share prefix n-grams, directly or over others, form a candidate group.
-   Groups are dealt to tasks in blocks of bounded size, and pairs of blocks that share a
-   prefix n-gram meet once. There the length filter, the positional filter (as its bound
-   on the common part) and the suffix filter (a bound on the difference from 128 ranges
-   of hash values) leave few pairs to verify on the sets themselves. A task verifies a pair
-   once, and skips it when both ends are known to be linked already.
-4. Links become components.
-
-Texts move only for documents in a candidate group. No step emits the pairs of a group.
+3. Documents that share a prefix n-gram with few others give candidate pairs, which are made
+   distinct and pass the length filter in the join. N-grams with more documents than
+   ``SHORT_LIST`` mark large groups of near copies: their documents are dealt in blocks of
+   bounded size, and blocks that share such an n-gram meet once, so no pairs are emitted.
+   There a pair is skipped when both ends are known to be linked already.
+4. Both ways a pair passes the suffix filter (a bound on the difference of the sets from
+   the numbers in 128 ranges of hash values) and is verified once on the sets themselves.
+   Links become components.
+
+Texts move only for documents with a candidate.
 """
 
 from __future__ import annotations
@@ -39,7 +40,9 @@ SLICES = 64
 BLOCK_DOCUMENTS = 512
 BLOCK_NGRAMS = 2_000_000
 RANGES = 128
+SHORT_LIST = 64
 ID_BUCKETS = 1 << 20
+BROADCAST_ROWS = 500_000
 
 
 def ngram_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
@@ -128,15 +131,38 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, size: int, percent: int) -> D
     return docs.mapInArrow(build, "doc_id long, n long, digest binary, prefix array<long>")
 
 
+def _ranges(ngrams: np.ndarray) -> np.ndarray:
+    """How many n-grams of a set fall into each range of hash values."""
+    return np.bincount((ngrams >> np.uint64(57)).astype(np.int64), minlength=RANGES).astype(np.int32)
+
+
+def _hopeful(n: int, ranges: np.ndarray, others: np.ndarray, other_ranges: np.ndarray, percent: int) -> np.ndarray:
+    """Which other sets pass the length and suffix filters, the likeliest first."""
+    # Length: the common part is at most the smaller set.
+    near = np.flatnonzero((100 * others >= percent * n) & (100 * n >= percent * others))
+    both = n + others[near]
+    needed = -(-percent * both // (100 + percent))
+    # Suffix: what differs in number per range cannot be common.
+    apart = np.abs(other_ranges[near] - ranges).sum(axis=1)
+    good = np.flatnonzero(both - apart >= 2 * needed)
+    return near[good[np.argsort(apart[good], kind="stable")]]
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Exact test of two sets."""
+    place = np.searchsorted(b, a)
+    place[place == len(b)] = 0
+    common = int(np.count_nonzero(b[place] == a))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
 class _Sets:
-    """Sets of one side of a block pair, with their counts per range of hash values."""
+    """Sets of one side of a block pair."""
 
     def __init__(self, ids: list[int], texts: list[str | None], size: int) -> None:
         self.ids, self.sets = ids, list(ngram_sets(texts, size))
         self.n = np.array([len(x) for x in self.sets], dtype=np.int64)
-        self.ranges = np.zeros((len(ids), RANGES), dtype=np.int32)
-        for row, ngrams in zip(self.ranges, self.sets):
-            row += np.bincount((ngrams >> np.uint64(57)).astype(np.int64), minlength=RANGES)
+        self.ranges = np.stack([_ranges(x) for x in self.sets]) if ids else np.zeros((0, RANGES), np.int32)
 
 
 def _links(left: _Sets, right: _Sets, same: bool, percent: int) -> list[tuple[int, int]]:
@@ -152,32 +178,15 @@ def _links(left: _Sets, right: _Sets, same: bool, percent: int) -> list[tuple[in
     found = []
     for i, (a, ngrams) in enumerate(zip(left.ids, left.sets)):
         start = i + 1 if same else 0
-        n, others = len(ngrams), right.n[start:]
-        # Length: the common part is at most the smaller set.
-        near = np.flatnonzero((100 * others >= percent * n) & (100 * n >= percent * others))
-        if not len(near):
-            continue
-        both = n + others[near]
-        needed = -(-percent * both // (100 + percent))
-        apart = np.abs(right.ranges[start + near] - left.ranges[i]).sum(axis=1)
-        # Position and suffix: what differs in number per range cannot be common.
-        hopeful = np.flatnonzero(both - apart >= 2 * needed)
-        for k in hopeful[np.argsort(apart[hopeful], kind="stable")].tolist():
-            j = start + int(near[k])
-            b = right.ids[j]
-            if root(a) == root(b):
-                continue
-            other = right.sets[j]
-            place = np.searchsorted(other, ngrams)
-            place[place == len(other)] = 0
-            common = int(np.count_nonzero(other[place] == ngrams))
-            if 100 * common >= percent * (n + len(other) - common):
+        for k in _hopeful(len(ngrams), left.ranges[i], right.n[start:], right.ranges[start:], percent).tolist():
+            b = right.ids[start + k]
+            if root(a) != root(b) and _linked(ngrams, right.sets[start + k], percent):
                 parent[max(root(a), root(b))] = min(root(a), root(b))
                 found.append((a, b))
     return found
 
 
-def _verify(blocks: DataFrame, size: int, percent: int) -> DataFrame:
+def _verify_blocks(blocks: DataFrame, size: int, percent: int) -> DataFrame:
     """Links within dealt-out block pairs. Rows are sorted by block pair, so each is one run."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,12 +209,35 @@ def _verify(blocks: DataFrame, size: int, percent: int) -> DataFrame:
         if held:
             yield solve(held)
 
-    return (
-        blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), "task")
-        .sortWithinPartitions("task")
-        .select("task", "side", "doc_id", "text")
-        .mapInArrow(link, "a long, b long")
-    )
+    return _sorted_into_tasks(blocks, "task").select("task", "side", "doc_id", "text").mapInArrow(link, "a long, b long")
+
+
+def _verify_pairs(pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links among candidate pairs. Rows are sorted by the first document of the pairs, with
+    its own text before those of its partners, so two sets are held at a time."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own, ranges = None, None, None
+        for batch in batches:
+            left, right = [], []
+            task, side, doc, texts = (column.to_pylist() for column in batch.columns)
+            for a, later, b, ngrams in zip(task, side, doc, ngram_sets(texts, size)):
+                if not later:
+                    key, own, ranges = a, ngrams, _ranges(ngrams)
+                elif key == a:
+                    others = np.array([len(ngrams)]), _ranges(ngrams)[None, :]
+                    if len(_hopeful(len(own), ranges, *others, percent)) and _linked(own, ngrams, percent):
+                        left.append(a)
+                        right.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return _sorted_into_tasks(pairs, "task", "side").select("task", "side", "doc_id", "text").mapInArrow(
+        link, "a long, b long")
+
+
+def _sorted_into_tasks(rows: DataFrame, *order: str) -> DataFrame:
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, "task").sortWithinPartitions(*order)
 
 
 def jaccard_components(
@@ -228,20 +260,48 @@ def jaccard_components(
     heads = stage(
         described.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("head")),
         "heads")
-    postings = described.join(heads.select(F.col("head").alias("doc_id")), "doc_id", "left_semi").select(
+    # Prefixes stay where they are: the fewer ids of copies are sent to them, if few enough.
+    copies = stage(
+        described.where("doc_id IS NOT NULL").select("doc_id", "digest").join(heads, "digest")
+        .where("doc_id <> head").select("doc_id").distinct(), "copies")
+    known = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    postings = described.where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").select(
         "doc_id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("position", "ngram"))
     several = postings.groupBy("ngram").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("n").alias("least_n")
-    ).where("first < last").drop("last")
+        F.count("*").alias("members"), F.min("doc_id").alias("first"), F.min("n").alias("least_n")
+    ).where("members > 1")
     # Positional filter: a pair that first agrees at this position has at most n - position
     # n-grams in common, too few for any partner but a small one.
     partner = (F.col("n") - F.col("position")) * (100 + percent) - F.col("n").cast("long") * percent
     shared = stage(
-        postings.join(several, "ngram").where(partner >= F.col("least_n") * percent).select("doc_id", "ngram", "first"),
+        postings.join(several, "ngram").where(partner >= F.col("least_n") * percent).select(
+            "doc_id", "n", "ngram", "first", "members"),
         "postings")
+    ids = described.select("doc_id", "n").distinct()
+    members, crowded = _blocks(shared.where(F.col("members") > SHORT_LIST), ids)
+    groups, pairs = _pairs(shared.where(F.col("members") <= SHORT_LIST), members, ids, percent)
+
+    # Who goes where is settled on ids, before any text moves.
+    links = None
+    for addressed, verify in ((stage(crowded.union(groups), "groups"), _verify_blocks), (pairs, _verify_pairs)):
+        part = verify(_with_texts(rows, addressed), size, percent)
+        links = part if links is None else links.union(part)
+    classes = connected_components(links)
 
-    groups = connected_components(shared.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
-    sized = groups.join(described.select(F.col("doc_id").alias("node"), "n").distinct(), "node")
+    return (
+        described.select("doc_id", "n", "digest")
+        .join(heads, "digest", "left")
+        .join(classes.withColumnRenamed("node", "head"), "head", "left")
+        .select(F.col("doc_id").alias(id_column), F.col("n").alias("n_ngrams"),
+                F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "head", "doc_id")).alias("component_id"))
+    )
+
+
+def _blocks(shared: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of crowded n-grams with their cluster and block, and who meets in which task."""
+    clusters = connected_components(
+        shared.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
+    sized = clusters.join(ids.withColumnRenamed("doc_id", "node"), "node")
     totals = sized.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("ngrams"))
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK_DOCUMENTS, F.col("ngrams") / BLOCK_NGRAMS))
     members = stage(
@@ -249,8 +309,7 @@ def jaccard_components(
             F.col("node").alias("doc_id"), F.col("component").alias("cluster"),
             F.pmod(F.xxhash64("node"), "blocks").alias("block"), "blocks"),
         "members")
-    placed = members.select("doc_id", F.struct("cluster", "block").alias("place"))
-    # Blocks meet where they share a prefix n-gram; a block meets itself anyway.
+    # Blocks meet where they share a crowded n-gram; a block meets itself anyway.
     seen = shared.join(members.where("blocks > 1").select("doc_id", "cluster", "block"), "doc_id").select(
         "ngram", "cluster", "block").distinct()
     meetings = (
@@ -263,28 +322,59 @@ def jaccard_components(
         F.struct(F.lit(0).alias("side"), F.struct("task.cluster", "task.block").alias("place")),
         F.struct(F.lit(1).alias("side"), F.struct(F.col("task.cluster"), F.col("task.other").alias("block")).alias("place")),
     )).alias("s")).select("task", "s.side", "s.place").where("side = 0 OR task.block < task.other")
-
-    texts = _texts_of(rows, placed.select("doc_id"))
-    dealt = placed.join(texts, "doc_id").join(sides, "place").select("task", "side", "doc_id", "text")
-    links = _verify(dealt, size, percent)
-    classes = connected_components(links)
-
-    return (
-        described.select("doc_id", "n", "digest")
-        .join(heads, "digest", "left")
-        .join(classes.withColumnRenamed("node", "head"), "head", "left")
-        .select(F.col("doc_id").alias(id_column), F.col("n").alias("n_ngrams"),
-                F.coalesce("component", "head", "doc_id").alias("component_id"))
-    )
+    placed = members.select("doc_id", F.struct("cluster", "block").alias("place"))
+    return members, placed.join(sides, "place").select("doc_id", "task", "side")
 
 
-def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of the wanted ids.
+def _pairs(shared: DataFrame, members: DataFrame, ids: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of uncrowded n-grams: small groups as block tasks, and all other pairs.
 
-    Ids first pass a filter of at most ``ID_BUCKETS`` hash buckets (8 MB), so that only few
-    other texts are shuffled; the join then is exact.
+    An n-gram brings at most ``SHORT_LIST`` documents together, so pairs grow with the
+    postings. Pairs whose ends stand in one block are left out, as they meet there. Pairs that
+    hang together in a group no larger than a block are one task, so each text goes there
+    once; the others are one row per document that meets a first one.
+    """
+    one = shared.select("ngram", F.col("doc_id").alias("a"), F.col("n").alias("n_a"))
+    other = shared.select("ngram", F.col("doc_id").alias("b"), F.col("n").alias("n_b"))
+    found = (
+        one.join(other, "ngram")
+        .where((F.col("a") < F.col("b")) & (F.col("n_a") * 100 >= F.col("n_b") * percent)
+               & (F.col("n_b") * 100 >= F.col("n_a") * percent))
+        .select("a", "b").distinct()
+    )
+    known = members.select("doc_id", F.struct("cluster", "block").alias("place"))
+    found = (
+        found.join(known.withColumnsRenamed({"doc_id": "a", "place": "place_a"}), "a", "left")
+        .join(known.withColumnsRenamed({"doc_id": "b", "place": "place_b"}), "b", "left")
+        .where("place_a IS NULL OR place_b IS NULL OR place_a <> place_b")
+        .select("a", "b")
+    )
+    found = stage(found, "candidates")
+    groups = connected_components(found).join(ids.withColumnRenamed("doc_id", "node"), "node")
+    fits = groups.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("ngrams")).where(
+        (F.col("members") <= BLOCK_DOCUMENTS) & (F.col("ngrams") <= BLOCK_NGRAMS)).select("component")
+    grouped = stage(groups.join(fits, "component").select(F.col("node").alias("doc_id"), "component"), "grouped")
+    alone = F.lit(-1).cast("long")
+    tasks = grouped.select(
+        "doc_id", F.struct(F.col("component").alias("cluster"), alone.alias("block"), alone.alias("other")).alias("task"),
+        F.lit(0).alias("side"))
+    found = found.join(grouped.select(F.col("doc_id").alias("a")), "a", "left_anti")
+    first = found.select(F.col("a").alias("doc_id"), F.col("a").alias("task"), F.lit(0).alias("side")).distinct()
+    return tasks, stage(first.union(found.select("b", "a", F.lit(1))), "pairs")
+
+
+def _with_texts(rows: DataFrame, addressed: DataFrame) -> DataFrame:
+    """Documents with their tasks and texts.
+
+    A list of at most ``BROADCAST_ROWS`` addresses (a few dozen MB) goes to the texts. A longer one
+    is joined by a shuffle, in which texts take part whose ids pass a filter of
+    ``ID_BUCKETS`` hash buckets (8 MB) of the wanted ids.
     """
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
-    buckets = wanted.select(bucket.alias("bucket")).distinct()
-    narrowed = rows.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket", "left_semi")
-    return narrowed.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    if addressed.count() <= BROADCAST_ROWS:
+        dealt = rows.join(F.broadcast(addressed), "doc_id")
+    else:
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS))
+        buckets = addressed.select(bucket.alias("bucket")).distinct()
+        near = rows.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket", "left_semi")
+        dealt = near.drop("bucket").join(addressed, "doc_id")
+    return dealt.select("task", "side", "doc_id", "text")
