@@ -50,7 +50,7 @@ def rollup(fact: DataFrame, key: str) -> DataFrame:
 
 def daily(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Rollup per calendar day, with the calendar columns (one row per day at any scale)."""
-    return rollup(fact, "date_key").join(F.broadcast(dates), "date_key")
+    return rollup(fact, "date_key").join(dates, "date_key")
 
 
 def dbl(name: str | Column) -> Column:
@@ -129,7 +129,7 @@ def _year_over_year(days: DataFrame, dates: DataFrame) -> DataFrame:
     )
     names = ("n", "amount", "frauds", "errors", "exposure")
     return (
-        days.join(F.broadcast(shifted), "full_date", "left")
+        days.join(shifted, "full_date", "left")
         .select(F.inline(uses), "full_date", *names)
         .where(F.col("year").isNotNull())
         .groupBy(F.col("year").alias("calendar_year"))
@@ -155,8 +155,8 @@ def kpi_controls(
     earlier = prior_year_dates(selected).withColumn("_earlier", F.lit(True))
     days = (
         daily(fact, dates)
-        .join(F.broadcast(chosen), "full_date", "left")
-        .join(F.broadcast(earlier), "full_date", "left")
+        .join(chosen, "full_date", "left")
+        .join(earlier, "full_date", "left")
     )
     row = days.agg(
         *[
@@ -523,7 +523,7 @@ def evidence_ledger(
     merchant = merchants.where(F.col("merchant_key") == F.lit(key).cast("bigint"))
     return (
         own.join(F.broadcast(merchant), "merchant_key")
-        .join(F.broadcast(dates.select("date_key", "full_date")), "date_key")
+        .join(dates.select("date_key", "full_date"), "date_key")
         .select(
             "merchant_display_label", "transaction_key", "full_date",
             "transaction_timestamp", dbl("transaction_amount").alias("transaction_amount"),

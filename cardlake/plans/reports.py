@@ -25,9 +25,10 @@ def select_facts(
 ) -> DataFrame:
     """Fact rows in the selection, with their calendar year.
 
-    The calendar has one row per day, so it is always small enough to broadcast. A
-    year also fixes the directory of a fact row; adding that condition lets the scan
-    skip the other directories, which the calendar filter alone could not.
+    Whether the calendar is broadcast is left to its size: one wrong year among the
+    timestamps can make it millions of days long. A year also fixes the directory of a
+    fact row; adding that condition lets the scan skip the other directories, which the
+    calendar filter alone could not.
     """
     years, methods = list(years), list(methods)
     calendar = dates.select("date_key", "calendar_year")
@@ -37,7 +38,7 @@ def select_facts(
             fact = fact.where(F.col(FACT_YEAR).isin(years))
     if methods:
         fact = fact.where(F.col("transaction_method").isin(methods))
-    return fact.join(F.broadcast(calendar), "date_key")
+    return fact.join(calendar, "date_key")
 
 
 def amount() -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ def shared_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError(
             "spark.checkpoint.dir must name a shared folder when running on a cluster"
         )

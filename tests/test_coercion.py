@@ -103,3 +103,27 @@ def test_null_words_equal_pandas(spark, tmp_path):
     wanted = pd.read_csv(tmp_path / "a.csv")["v"].isna().tolist()
     scanned = landing.scan(spark, [str(tmp_path / "a.csv")], ["v", "w"])
     assert [row["v"] is None for row in scanned.orderBy("_row").collect()] == wanted
+
+
+def test_quotients_are_rounded_once(spark):
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    pairs = [(100, 20001), (1, 8), (-1, 8), (1, -8), (5, 1000), (4999999, 10**9), (0, 7), (7, 0), (10**15, 3),
+             (1, 3), (2, 3), (-2005, 1000), (123456789012345, 1000)]
+    found = spark.createDataFrame(pairs, "n bigint, d bigint").select(
+        "n", "d", C.quotient2(F.col("n"), F.col("d")).alias("q")).collect()
+    for row in found:
+        if not row["d"]:
+            assert row["q"] is None
+            continue
+        with localcontext() as context:
+            context.prec = 60
+            wanted = (Decimal(row["n"]) / Decimal(row["d"])).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert row["q"] == wanted, row
+
+
+def test_near_whole_text_is_no_id(spark):
+    texts = ["3", "3.0", " 3. ", "+3", "-3.000", "3.0000001", "0.0000001", "3.5", "1e3", "x", "", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        C.parse_int64(F.col("t"), T.StringType()).alias("v")).collect()
+    assert [row["v"] for row in found] == [3, 3, 3, 3, -3, None, None, None, None, None, None, None]
