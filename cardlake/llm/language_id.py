@@ -137,19 +137,19 @@ def fit(
             for text in batch.column(1).to_pylist():
                 vector = text_vector(text)
                 used = np.flatnonzero(vector) if vector is not None else np.zeros(0, dtype=np.int64)
-                slots.append(used.tolist())
-                counts.append(vector[used].tolist() if len(used) else [])
+                slots.append(used.astype(np.int32).tobytes())
+                counts.append(vector[used].astype(np.int32).tobytes() if len(used) else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(slots, pa.list_(pa.int32())),
-                 pa.array(counts, pa.list_(pa.int32()))], names=["place", "lang", "slots", "counts"])
+                [batch.column(0), batch.column(2), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())],
+                names=["place", "lang", "slots", "counts"])
 
     sample = drawn.select("place", "text", "lang").mapInArrow(
-        vectorise, "place long, lang string, slots array<int>, counts array<int>").toPandas()
-    sample = sample[sample["slots"].map(len) > 0].sort_values("place", kind="stable")
+        vectorise, "place long, lang string, slots binary, counts binary").collect()
+    sample = sorted((r for r in sample if r["slots"]), key=lambda r: (r["place"], r["lang"], r["slots"]))
     vectors = np.zeros((len(sample), FEATURES), dtype=np.int32)
-    for row, slots, counts in zip(vectors, sample["slots"], sample["counts"]):
-        row[slots] = counts
-    spoken = sample["lang"].to_numpy()
+    for row, r in zip(vectors, sample):
+        row[np.frombuffer(r["slots"], dtype=np.int32)] = np.frombuffer(r["counts"], dtype=np.int32)
+    spoken = np.array([r["lang"] for r in sample], dtype=object)
     present = (vectors > 0).sum(axis=0)
     idf = np.log((1 + len(vectors)) / (1 + present)).astype(np.float32) + np.float32(1)
     weighted = weigh(vectors, idf)

@@ -132,34 +132,36 @@ def fit(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = [[] for _ in range(batch.num_rows)]
+            slots = [b""] * batch.num_rows
             for first, group in hashing.chunks(_lowered(batch.column(1).to_pylist())):
                 found, owner = _terms(group)
                 pairs = np.unique(owner * SLOTS + found)
                 starts = np.searchsorted(pairs, np.arange(len(group) + 1) * SLOTS)
                 for i in range(len(group)):
-                    slots[first + i] = (pairs[starts[i]:starts[i + 1]] % SLOTS).astype(np.int32)
+                    slots[first + i] = (pairs[starts[i]:starts[i + 1]] % SLOTS).astype(np.int32).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(slots, pa.list_(pa.int32()))],
+                [batch.column(0), batch.column(2), pa.array(slots, pa.binary())],
                 names=["place", "label", "slots"])
 
     sample = (
         docs.select(id_column, F.col(text_column).cast("string").alias("text"))
         .join(F.broadcast(drawn), id_column)
         .select(place.alias("place"), "text", F.col("label").cast("int"))
-        .mapInArrow(extract, "place long, label int, slots array<int>")
-        .toPandas()
-        .sort_values("place", kind="stable")
+        .mapInArrow(extract, "place long, label int, slots binary")
+        .collect()
     )
-    labels = sample["label"].to_numpy(dtype=np.float64)
-    lengths = sample["slots"].map(len).to_numpy()
-    slots = np.concatenate(sample["slots"].to_list()).astype(np.int64) if lengths.sum() else np.zeros(0, np.int64)
-    rows = np.repeat(np.arange(len(labels)), lengths)
-    seen = [np.bincount(slots[labels[rows] == label], minlength=SLOTS).astype(np.float64) for label in (1, 0)]
-    chosen = _select(*seen, (int(labels.sum()), int((1 - labels).sum())), terms)
+    sample.sort(key=lambda r: (r["place"], r["slots"]))
+    labels = np.array([r["label"] for r in sample], dtype=np.float64)
+    seen = np.zeros((2, SLOTS))
+    for r in sample:  # the slots of a text are distinct
+        seen[r["label"], np.frombuffer(r["slots"], dtype=np.int32)] += 1
+    chosen = _select(seen[1], seen[0], (int(labels.sum()), int((1 - labels).sum())), terms)
     feature[chosen] = np.arange(len(chosen), dtype=np.int32)
-    used = feature[slots] >= 0
-    rows, features = rows[used], feature[slots[used]].astype(np.int64)
+    found = [feature[np.frombuffer(r["slots"], dtype=np.int32)] for r in sample]
+    found = [f[f >= 0].astype(np.int64) for f in found]
+    rows = np.repeat(np.arange(len(labels)), [len(f) for f in found])
+    features = np.concatenate(found) if found else np.zeros(0, np.int64)
+    del sample, seen, found
 
     random = np.random.default_rng(seed)
     machine = FactorizationMachine(
