@@ -3,8 +3,9 @@
 A text is a vector of hashed character n-grams (1 to 4 letters within words), weighted by
 TF-IDF and scaled to length one. Per language a few centroids are clustered (spherical
 k-means) on a bounded labelled sample; a text gets the language of the centroid with the
-largest cosine, and is rejected where that cosine falls below what nearly all training
-texts of the language reach.
+largest cosine, and is rejected where that cosine is far below what training texts of the
+language with as many distinct n-grams reach. Short texts have few n-grams and so small
+cosines; random letters and foreign text stay below clean text at every length.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ from cardlake.llm.shipping import ship_package
 FEATURES = 1 << 13
 GRAM_LETTERS = (1, 2, 3, 4)
 UNKNOWN = "und"
+# Runs of so many words of a training text show what short texts reach.
+PIECE_WORDS = (1, 2, 4, 8, 16, 32, 64, 128)
+CLASS_EDGES = np.append(0.0, 2.0 ** np.arange(4.0, 13.5, 0.5))
+CLASS_PIECES = 20
 
 _LETTER = re.compile(r"[^\W\d_]")
 _GAPS = re.compile(r"[\W\d_]+")
@@ -66,12 +71,16 @@ def text_vector(text: str) -> np.ndarray | None:
 
 @dataclass
 class LanguageModel:
-    """Inverse document frequencies, and per centroid its vector, language and limit."""
+    """Inverse document frequencies, and per centroid its vector, language and limits.
+
+    ``limits`` has per centroid the numbers of distinct n-grams (as logarithms) and the least
+    cosines there; between them limits are interpolated.
+    """
 
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
-    limits: np.ndarray
+    limits: list[tuple[np.ndarray, np.ndarray]]
 
     def classify(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroid and its cosine, per row of counts."""
@@ -82,6 +91,10 @@ class LanguageModel:
         best = cosines.argmax(axis=1)
         return best, np.clip(cosines[np.arange(len(best)), best].astype(np.float64), 0.0, 1.0)
 
+    def limit(self, centroid: int, vector: np.ndarray) -> float:
+        """The least cosine of a text with these counts that is not rejected."""
+        return float(np.interp(np.log(max(1, np.count_nonzero(vector))), *self.limits[centroid]))
+
 
 def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF vectors of length one; sublinear in the counts."""
@@ -102,11 +115,31 @@ def _clusters(vectors: np.ndarray, wanted: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def pieces(text: str, place: int) -> list[str]:
+    """Runs of 1 to 128 words of a text, one of each length, from a place that is a hash."""
+    words = _GAPS.sub(" ", text).split()
+    starts = np.random.default_rng(place & (2**63 - 1)).random(len(PIECE_WORDS))
+    return [" ".join(words[(low := int(x * (len(words) - n + 1))):low + n])
+            for n, x in zip(PIECE_WORDS, starts) if n < len(words)]
+
+
+def _medians(sizes: np.ndarray, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Median cosines over classes of distinct n-grams, at the middle of each class.
+
+    Classes with fewer than ``CLASS_PIECES`` members are left out, unless all are so small.
+    """
+    classes = np.digitize(sizes, CLASS_EDGES)
+    held, counts = np.unique(classes, return_counts=True)
+    enough = held[counts >= CLASS_PIECES]
+    groups = [classes == k for k in enough] if len(enough) else [np.ones(len(sizes), dtype=bool)]
+    return (np.array([np.log(np.median(sizes[g])) for g in groups]), np.array([np.median(cosines[g]) for g in groups]))
+
+
 def fit(
     labelled: DataFrame,
     per_language: int = 400,
     centroids: int = 4,
-    reject_share: float = 0.25,
+    reject_share: float = 0.45,
     id_column: str = "doc_id",
     text_column: str = "text",
     language_column: str = "lang",
@@ -114,10 +147,11 @@ def fit(
     """Fits centroids on at most about ``per_language`` labelled texts of each language.
 
     The sample is drawn by a hash of the id, the same at every run. Rows with null or
-    letterless text or null language take no part. The limit of a centroid is
-    ``reject_share`` times the smallest cosine that all but 1 in 200 of its own training
-    texts reach. Memory on the driver: ``per_language`` sparse vectors of ``FEATURES`` counts
-    per language (32 KB each at most).
+    letterless text or null language take no part. The limits of a language are ``reject_share``
+    times the median cosine of its training texts and of runs of their words, per class of
+    distinct n-grams. Either half of the texts is measured with centroids of the other half,
+    so that limits hold for unseen texts. Memory on the driver: ``per_language`` sparse vectors
+    of ``FEATURES`` counts per language (32 KB each at most), and those of their runs.
     """
     ship_package(labelled.sparkSession)
     rows = labelled.where(F.col(text_column).isNotNull() & F.col(language_column).isNotNull()).select(
@@ -125,7 +159,7 @@ def fit(
         F.col(text_column).cast("string").alias("text"), F.col(language_column).alias("lang"))
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not totals:
-        return LanguageModel(np.zeros(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), [], np.zeros(0))
+        return LanguageModel(np.zeros(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), [], [])
     share = F.lit(1.0)
     for language, n in totals.items():
         share = F.when(F.col("lang") == language, min(1.0, per_language / n)).otherwise(share)
@@ -133,22 +167,32 @@ def fit(
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots, counts = [], []
-            for text in batch.column(1).to_pylist():
-                vector = text_vector(text)
-                used = np.flatnonzero(vector) if vector is not None else np.zeros(0, dtype=np.int64)
-                slots.append(used.astype(np.int32).tobytes())
-                counts.append(vector[used].astype(np.int32).tobytes() if len(used) else b"")
+            places, spoken, whole, slots, counts = [], [], [], [], []
+            for place, text, language in zip(*(c.to_pylist() for c in batch.columns)):
+                for number, part in enumerate([text, *pieces(text, place)]):
+                    vector = text_vector(part)
+                    used = np.flatnonzero(vector) if vector is not None else np.zeros(0, dtype=np.int64)
+                    places.append(place)
+                    spoken.append(language)
+                    whole.append(number == 0)
+                    slots.append(used.astype(np.int32).tobytes())
+                    counts.append(vector[used].astype(np.int32).tobytes() if len(used) else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())],
-                names=["place", "lang", "slots", "counts"])
-
-    sample = drawn.select("place", "text", "lang").mapInArrow(
-        vectorise, "place long, lang string, slots binary, counts binary").collect()
-    sample = sorted((r for r in sample if r["slots"]), key=lambda r: (r["place"], r["lang"], r["slots"]))
-    vectors = np.zeros((len(sample), FEATURES), dtype=np.int32)
-    for row, r in zip(vectors, sample):
-        row[np.frombuffer(r["slots"], dtype=np.int32)] = np.frombuffer(r["counts"], dtype=np.int32)
+                [pa.array(places, pa.int64()), pa.array(spoken, pa.string()), pa.array(whole, pa.bool_()),
+                 pa.array(slots, pa.binary()), pa.array(counts, pa.binary())],
+                names=["place", "lang", "whole", "slots", "counts"])
+
+    def dense(rows: list) -> np.ndarray:
+        vectors = np.zeros((len(rows), FEATURES), dtype=np.int32)
+        for row, r in zip(vectors, rows):
+            row[np.frombuffer(r["slots"], dtype=np.int32)] = np.frombuffer(r["counts"], dtype=np.int32)
+        return vectors
+
+    found = drawn.select("place", "text", F.col("lang").cast("string")).mapInArrow(
+        vectorise, "place long, lang string, whole boolean, slots binary, counts binary").collect()
+    found = sorted((r for r in found if r["slots"]), key=lambda r: (r["place"], r["lang"], r["slots"], r["counts"]))
+    sample, parts = [r for r in found if r["whole"]], [r for r in found if not r["whole"]]
+    vectors = dense(sample)
     spoken = np.array([r["lang"] for r in sample], dtype=object)
     present = (vectors > 0).sum(axis=0)
     idf = np.log((1 + len(vectors)) / (1 + present)).astype(np.float32) + np.float32(1)
@@ -157,12 +201,23 @@ def fit(
     for language in sorted(set(spoken)):
         own = weighted[spoken == language]
         centres = _clusters(own, centroids)
-        reached = (own @ centres.T).max(axis=1)
+        places = np.array([r["place"] for r in sample])[spoken == language]
+        half = (places & 1).astype(bool)
+        others = [_clusters(own[half != side], centroids) if (half != side).any() else centres for side in (False, True)]
+        measured = [r for r in sample + parts if r["lang"] == language]
+        sizes, reached = [], []
+        for low in range(0, len(measured), 256):
+            some = measured[low:low + 256]
+            counts = dense(some)
+            cosines = [(weigh(counts, idf) @ c.T).max(axis=1) for c in others]
+            sizes.append(np.count_nonzero(counts, axis=1))
+            reached.append(np.where([r["place"] & 1 for r in some], cosines[1], cosines[0]))
+        at, medians = _medians(np.concatenate(sizes), np.concatenate(reached))
         kept.append(centres)
         languages += [language] * len(centres)
-        limits += [reject_share * float(np.quantile(reached, 0.005))] * len(centres)
+        limits += [(at, reject_share * medians)] * len(centres)
     return LanguageModel(
-        idf, np.concatenate(kept) if kept else np.zeros((0, FEATURES), np.float32), languages, np.array(limits))
+        idf, np.concatenate(kept) if kept else np.zeros((0, FEATURES), np.float32), languages, limits)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
@@ -187,8 +242,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
                 if not found or not known.languages:
                     continue
                 best, score = known.classify(np.stack([v for _, v in found]))
-                for (i, _), k, s in zip(found, best.tolist(), score.tolist()):
-                    out[i] = known.languages[k], s, s < known.limits[k]
+                for (i, v), k, s in zip(found, best.tolist(), score.tolist()):
+                    out[i] = known.languages[k], s, s < known.limit(k, v)
             yield pd.DataFrame(out, columns=["language", "score", "rejected"])
 
     result = docs.withColumn("_language", predict(F.col(text_column).cast("string")))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import datetime
 import math
 import random
+import string
 
 import numpy as np
 import pytest
@@ -238,6 +240,30 @@ def test_odd_texts_are_rejected_and_clean_ones_kept(spark):
     assert {r["lang_nearest"] for r in language_id.identify(asked, empty).collect()} == {"und"}
 
 
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem "
+    "i powinni postępować wobec innych w duchu braterstwa.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, "
+    "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı "
+    "kardeşlik zihniyeti ile hareket etmelidirler.",
+]
+
+
+def test_foreign_text_and_letter_junk_are_rejected_at_any_length(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    draw = random.Random(3)
+    made = lambda letters, n: " ".join("".join(draw.choices(letters, k=draw.randint(3, 9))) for _ in range(n))
+    junk = [made(letters, n) for letters in ("0123456789abcdef", "bcdfghjklmnpqrstvwxz", string.ascii_lowercase) for n in (15, 60, 600)]
+    junk += [base64.b64encode(draw.randbytes(n)).decode() for n in (60, 600, 6000)]
+    asked = frame(spark, [" ".join(t.split()[:n]) for t in FOREIGN for n in (8, 15, 100)] + junk)
+    assert language_id.identify(asked, model).where("NOT lang_rejected").count() == 0
+    for n in (1, 3, 10, 30):  # beginnings of clean texts
+        short = docs.withColumn("text", F.array_join(F.slice(F.split("text", " "), 1, n), " ")).where("text rlike '[a-zA-Z]'")
+        assert language_id.identify(short, model).where("lang_rejected").count() <= 0.02 * short.count(), n
+
+
 # --- 7 toxicity -----------------------------------------------------------------------
 
 def test_the_machine_learns_what_no_sum_can(spark):
