@@ -65,6 +65,7 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    row_column: str | None = None,
 ) -> DataFrame:
     """How often the mix takes each document.
 
@@ -72,24 +73,29 @@ def mix(
     ``target``, ``copies`` and ``taken`` (``copies * size``), one row per input row.
     Null sources form a source of their own. A source without words has target 0 and
     copies 0. Rows with equal size are ordered by a hash of the id, then the id; equal rows
-    are interchangeable. The same input and seed give the same copies.
+    are interchangeable. The same input and seed give the same copies. ``row_column`` may name
+    a column that tells rows apart (ids can be null or repeated); it is returned first.
 
     Ranks come from one range shuffle of narrow rows on (source, size, hash, id): a hot
     source spreads over many partitions. The sorted rows are stored once; partition counts
     per source give the offsets of ranks.
     """
+    carried = [] if row_column is None else ["row_key"]
+    # Rows without an id, or with the same, are ordered by their text, not by their place.
+    marked = [F.xxhash64(F.col(text_column).cast("string")).alias("mark") for _ in carried]
     rows = docs.select(
-        F.col(id_column).alias("mix_id"),
+        *[F.col(row_column).alias(c) for c in carried], *marked, F.col(id_column).alias("mix_id"),
         F.col(source_column).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_column).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     ).withColumn("tie", F.substring(F.md5(F.coalesce(F.col("mix_id").cast("string"), F.lit(""))), 1, 8))
-    ordering = [F.col("source").asc_nulls_last(), F.col("size"), F.col("tie"), F.col("mix_id")]
+    ordering = [F.col("source").asc_nulls_last(), F.col("size"), F.col("tie"), F.col("mix_id"),
+                *[F.col("mark") for _ in carried]]
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = F.monotonically_increasing_id()
     sorted_rows = stage(
         rows.repartitionByRange(partitions, *ordering).sortWithinPartitions(*ordering)
         .withColumn("place", place)
-        .select("mix_id", "source", "size", F.shiftright("place", 33).alias("block"),
+        .select(*carried, "mix_id", "source", "size", F.shiftright("place", 33).alias("block"),
                 F.expr("place & 8589934591L").alias("place")),
         "mix",
     )
@@ -109,6 +115,6 @@ def mix(
     rank = F.col("place") + F.col("earlier")
     crossed = lambda end: F.floor(end * rate + offset(F.col("source"), seed))
     return joined.select(
-        F.col("mix_id").alias(id_column), "source", "size", "source_size", "target",
+        *[F.col(c).alias(row_column) for c in carried], F.col("mix_id").alias(id_column), "source", "size", "source_size", "target",
         (crossed(rank + 1) - crossed(rank)).alias("copies"),
     ).withColumn("taken", F.col("copies") * F.col("size"))

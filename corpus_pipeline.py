@@ -30,14 +30,31 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of every class of near duplicates.
 
-    Documents without words are classes of their own. Of rows that repeat an id one stays.
+    Documents without words are classes of their own. Of rows that repeat an id one stays,
+    the first in order of text (null last) and then of a hash of the other columns; rows with
+    a null id all stay.
     """
+    docs = _one_per_id(spark, docs)
     classes = ngram_join.jaccard_components(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
     dropped = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
     kept = docs.join(dropped, F.col("doc_id") == F.col("dropped"), "left_anti")
     return kept.select(docs.columns)
 
 
+def _one_per_id(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with one row for each id; only rows of repeated ids are shuffled whole."""
+    repeated = stage(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("repeated")), "repeated")
+    if repeated.isEmpty():
+        return docs
+    apart = docs.join(repeated, F.col("doc_id") == F.col("repeated"), "left_anti")
+    rest = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    several = docs.join(repeated, F.col("doc_id") == F.col("repeated"), "left_semi").groupBy("doc_id").agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
+                 F.struct(F.col("text").isNull(), F.col("text"), rest)).alias("row"))
+    return stage(apart.union(several.select("row.*")), "one_per_id")
+
+
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents in which no benchmark item was found."""
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -51,11 +68,20 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, once per copy taken (``copy`` counts from 1)."""
-    taken = mixing.mix(docs, MIX_WEIGHTS).where("copies > 0").select(
-        F.col("doc_id").alias("mix_id"), F.col("copies").cast("int").alias("copies"))
-    return docs.join(taken, F.col("doc_id") == F.col("mix_id")).select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    """The documents of the mix, once per copy taken (``copy`` counts from 1).
+
+    Every row meets its own copies: rows are told apart by their place, so ids may be null
+    or repeated. Places are stored with the rows, as another scan may deal rows anew.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    placed = stage(docs.toDF(*names).withColumn("row_key", F.monotonically_increasing_id()), "placed")
+    own = {c: placed[n] for c, n in zip(docs.columns, names)}
+    asked = placed.select("row_key", *[own[c].alias(c) for c in ("doc_id", "text", "source")])
+    taken = mixing.mix(asked, MIX_WEIGHTS, row_column="row_key").where("copies > 0").select(
+        F.col("row_key").alias("mix_key"), F.col("copies").cast("int").alias("copies"))
+    return placed.join(taken, F.col("row_key") == F.col("mix_key")).select(
+        *[F.col(n).alias(c) for n, c in zip(names, docs.columns)],
+        F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
 
 
 STAGES = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import compare
 import numpy as np
@@ -143,6 +144,34 @@ def test_pipeline_equals_a_brute_force_run(spark, duckdb, documents):
     assert sorted((r["doc_id"], r["copy"], r["text"], r["lang"]) for r in rows) == wanted
 
 
+def test_pipeline_keeps_rows_without_id_and_counts_repeated_ids_once(spark, tmp_path):
+    F = queries.F
+    docs = queries.table(spark, SF_DIR, "documents").withColumn(
+        "doc_id", F.when(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 1, F.col("doc_id")))
+    docs.union(docs.where("doc_id % 3 = 0")).union(docs.where("doc_id % 3 = 0")).write.parquet(f"{tmp_path}/documents.parquet")
+    queries.table(spark, SF_DIR, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
+    given = queries.table(spark, str(tmp_path), "documents")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        given = corpus_pipeline.stage(step(spark, given, str(tmp_path)), "given")
+    kept = given.collect()
+    named = [r["doc_id"] for r in kept if r["doc_id"] is not None]
+    assert len(named) == len(set(named)) and len(named) < len(kept)
+    # The mix alone takes repeated ids too: each row by itself.
+    for rows in (kept, kept + [r for r in kept if r["doc_id"] is not None]):
+        docs = spark.createDataFrame(rows, given.schema)
+        shares = {r["source"]: r["target"] / r["source_size"] for r in mixing.mix(docs, queries.MIX_WEIGHTS).collect()}
+        lines, taken = Counter((r["doc_id"], r["text"], r["source"]) for r in rows), Counter()
+        for r in corpus_pipeline.mix_sources(spark, docs, SF_DIR).collect():
+            taken[r["doc_id"], r["text"], r["source"]] += 1
+        assert any(i is None for i, *_ in taken)
+        for line, n in lines.items():
+            rate = shares[line[2]]
+            assert n * np.floor(rate) <= taken[line] <= n * np.ceil(rate)
+    final = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    once = corpus_pipeline.mix_sources(spark, spark.createDataFrame(kept, given.schema), SF_DIR)
+    assert final == Counter((r["doc_id"], r["text"]) for r in once.collect())
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = queries.table(spark, SF_DIR, "documents").withColumn("_pii", queries.F.lit(1)).withColumn("leaks", queries.F.lit("x"))
     for name, step in corpus_pipeline.STAGES[:-1]:
