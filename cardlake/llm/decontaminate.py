@@ -31,7 +31,15 @@ SHARD_BYTES = 32 << 20
 LEAST_STRIDE = 64
 GRAM = 4
 
-_LAST_SENTENCE = re.compile(r"(?s)^(.*[.?!\n])\s*(\S.*?)\s*$")
+# Words are runs of letters and digits.
+NON_WORDS = hashing.NON_LETTERS.copy()
+NON_WORDS[ord("0"):ord("9") + 1] = False
+
+# A point within a number ends no sentence.
+_LAST_SENTENCE = re.compile(r"(?s)^(.*(?:[?!\n]|(?<!\d)\.|\.(?!\d)))\s*(\S.*?)\s*$")
+# Symbols before or within numbers are words, told apart by bytes that no UTF-8 text has.
+_SYMBOLS = re.compile(rb"[-+*/=<>^%]+(?= *[0-9])|(?<=[0-9])\.(?=[0-9])")
+_SYMBOL_BYTES = bytes.maketrans(b"-+*/=<>^%.", b"\xf8\xf9\xfa\xfb\xfc\xfd\xfe\xff\xc0\xc1")
 
 
 def split_item(text: str) -> tuple[str, str]:
@@ -46,8 +54,19 @@ def _grams(words: np.ndarray) -> tuple[np.ndarray, int]:
     return (np.unique(hashing.sequence_hashes(words, size)) if size else words), size
 
 
+def _batch_words(group: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and number symbols of a group of texts, and the bounds of each text."""
+    marked = [_SYMBOLS.sub(lambda m: b" " + m[0].translate(_SYMBOL_BYTES) + b" ", text) for text in group]
+    return hashing.batch_words(marked, NON_WORDS)[:2]
+
+
 def _words(text: str) -> np.ndarray:
-    return hashing.batch_words([text.lower().encode("utf-8", "surrogatepass")], hashing.NON_LETTERS)[0]
+    return _batch_words([text.lower().encode("utf-8", "surrogatepass")])[0]
+
+
+def _numeric(text: str) -> bool:
+    """Whether a text has digits but no letters."""
+    return any(c.isdigit() for c in text) and not any(c.isalpha() for c in text)
 
 
 @dataclass
@@ -66,6 +85,7 @@ class ItemIndex:
     posting_item: np.ndarray
     posting_weight: np.ndarray
     grams: list[tuple[tuple[np.ndarray, int], ...]]
+    numeric: list[bool]
 
 
 def build_index(items: list[tuple[int, str]], frequencies: dict[int, int], total: int, mean_length: float) -> ItemIndex:
@@ -105,6 +125,7 @@ def build_index(items: list[tuple[int, str]], frequencies: dict[int, int], total
         block_max=np.maximum.reduceat(weight, heads) if len(term) else weight,
         posting_start=posting_start, posting_item=owner, posting_weight=weight,
         grams=[(_grams(_words(q)), _grams(_words(a)), _grams(w)) for (q, a), (_, _, w) in zip(split, rows)],
+        numeric=[_numeric(a) for _, a in split],
     )
 
 
@@ -122,7 +143,7 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def retrieve(index: ItemIndex, window: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
     """(window, item, score) of all scores from ``threshold``, for distinct (window, term)."""
-    slack = threshold - 1e-9
+    slack = threshold - 1e-9  # for the bounds, whose sums are rounded otherwise
     # Passages by the maxima of their terms.
     bound = np.bincount(window, weights=index.term_max[term])
     kept = bound[window] >= slack
@@ -138,13 +159,13 @@ def retrieve(index: ItemIndex, window: np.ndarray, term: np.ndarray, threshold:
     posting, pair = _expand(index.posting_start[entry], index.posting_start[entry + 1])
     key = window[pair] * len(index.items) + index.posting_item[posting]
     unique, score, _ = _sums(key, index.posting_weight[posting])
-    good = score >= slack
+    good = score >= threshold
     return unique[good] // max(1, len(index.items)), unique[good] % max(1, len(index.items)), score[good]
 
 
 def _share(grams: np.ndarray, size: int, passage: np.ndarray) -> float:
-    """Share of an item's runs of words that a passage has; none to look for: all."""
-    return float(np.isin(grams, hashing.sequence_hashes(passage, size)).mean()) if len(grams) else 1.0
+    """Share of an item's runs of words that a passage has; none to look for: 0."""
+    return float(np.isin(grams, hashing.sequence_hashes(passage, size)).mean()) if len(grams) else 0.0
 
 
 def search(index: ItemIndex, texts: list, threshold: float, overlap: float) -> list[list[tuple]]:
@@ -155,7 +176,7 @@ def search(index: ItemIndex, texts: list, threshold: float, overlap: float) -> l
     stride = index.stride
     lowered = [t.lower() if isinstance(t, str) else "" for t in texts]
     for first, group in hashing.chunks(lowered):
-        words, bounds, _ = hashing.batch_words(group, hashing.NON_LETTERS)
+        words, bounds = _batch_words(group)
         at = np.flatnonzero(index.likely[(words & np.uint64((1 << 20) - 1)).astype(np.int64)])
         term = np.searchsorted(index.terms, words[at])
         term[term == len(index.terms)] = 0
@@ -176,6 +197,8 @@ def search(index: ItemIndex, texts: list, threshold: float, overlap: float) -> l
             begin = int(bounds[text]) + (w - int(base[text])) * stride
             passage = words[begin:min(begin + 2 * stride, int(bounds[text + 1]))]
             question, answer, whole = (_share(grams, size, passage) for grams, size in index.grams[item])
+            if index.numeric[item] and answer < 1.0:
+                continue
             if (question >= overlap and answer >= overlap) or whole >= (1 + overlap) / 2:
                 out[first + text].append((int(index.items[item]), begin - int(bounds[text]), score, question, answer))
     return out
@@ -195,7 +218,10 @@ def find_leaks(
     Each leak has ``item_id``, ``first_word`` (where the passage starts, in words), ``score``
     (the best BM25 share), ``question_overlap`` and ``answer_overlap`` (shares of word
     4-grams). An item is verified where both overlaps reach ``overlap``, or where the whole
-    item's reaches halfway from there to 1. Null, empty and wordless texts and items match
+    item's reaches halfway from there to 1; a question or answer without words has overlap 0,
+    so there the whole item counts. An answer of numbers alone has to be in the passage
+    whole in any case, as texts of one template differ in their numbers. Words are runs of letters
+    and digits, and symbols before or within numbers. Null, empty and wordless texts and items match
     nothing. All columns pass through; one called ``leaks`` is replaced. Every text is searched
     whole, in overlapping passages that are long enough for any item of the shard.
 

@@ -340,6 +340,19 @@ def test_leaks_in_odd_rows(spark, monkeypatch):
     assert all(not r["leaks"] for r in decontaminate.find_leaks(docs, benchmark.where("false")).collect())
 
 
+def test_numbers_are_compared(spark):
+    template = "A farmer keeps {} hens and buys {} more at the market on the way home. How many hens does the farmer keep now? {}"
+    items = ["What is 12 plus 30? 42", template.format(14, 17, 31), "12 + 30 = 42", "Round the number of Archimedes to two places. 3.14",
+             "Which river flows through the old town of Passau? ???"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    clean = ["What is 15 plus 20? 35", "What is 12 plus 30? 43", template.format(25, 11, 36), template.format(14, 17, 32),
+             "12 - 30 = 42", "12 + 30 = 52", "Round the number of Archimedes to two places. 3.15", "Which river flows through the new town of Linz?"]
+    odd = "of the and to in it is was that for on with as by at from " * 20
+    docs = frame(spark, [odd + t + " " + odd for t in items + ["12+30=42"] + clean])
+    found = {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert found == {i: [i] for i in range(len(items))} | {5: [2]} | {i + 6: [] for i in range(len(clean))}
+
+
 # --- 9 n-gram join --------------------------------------------------------------------
 
 def brute_classes(texts, size, percent):
