@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardlake.llm import (
-    chat, decontaminate, embedding_dedup, language_id, mixing, ngram_join, pii, token_counts, toxicity, url_filters,
+    centroid_search, chat, decontaminate, embedding_dedup, fill_in_middle, language_id, main_text, mixing, ngram_join, pii,
+    token_counts, toxicity, url_filters,
 )
 
 TOKEN_LIMIT = 512
@@ -167,10 +168,44 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), QUERY_KEY)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every document is cut into prefix, middle and suffix, and that it can be restored."""
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7)
+    return made.select(
+        "doc_id", F.col("fim_units").alias("n"), F.col("fim_form").alias("form"),
+        F.col("fim_prefix_chars").alias("prefix_chars"), F.col("fim_middle_chars").alias("middle_chars"),
+        F.sha2("fim_output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("fim_output"), F.col("fim_form")), 256).alias("restored_sha256"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the embeddings, with the inertia of each cluster and of all."""
+    found = centroid_search.cluster(
+        table(spark, sf_dir, "embeddings"), k=8, rounds=10, dimension=64, scale=1024, seed=3)
+    sums = found.assigned.where("cluster IS NOT NULL").groupBy("cluster").agg(
+        F.sum(F.col("distance").cast("decimal(19,0)")).alias("sum"))
+    written = [(number, ",".join(map(str, c))) for number, c in enumerate(found.centroids.tolist())]
+    digests = spark.createDataFrame(written, "number int, written string").select(
+        "number", F.sha2("written", 256).alias("centroid_sha256"))
+    # One row per centroid, no more than the operator accepts.
+    clusters = digests.join(sums, F.col("number") == F.col("cluster"), "left").select(
+        "number", "centroid_sha256", F.col("sum").cast("long").alias("cluster_inertia"),
+        F.sum("sum").over(Window.partitionBy(F.lit(0))).cast("long").alias("inertia"))
+    return found.assigned.join(F.broadcast(clusters), F.col("cluster") == F.col("number"), "left").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_counts, op2_source_mix, op3_embedding_dedup, op4_url_filters, op5_preference_format,
-        op6_language_id, op7_toxicity, op8_decontaminate, op9_ngram_join, op10_pii_pseudonyms)}
+        op6_language_id, op7_toxicity, op8_decontaminate, op9_ngram_join, op10_pii_pseudonyms,
+        op11_fill_in_middle, op12_centroid_clusters, op13_main_text)}
 
 
 _SOURCE_MIX = r"""
@@ -292,6 +327,58 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.node = d.d
 """
 
 
+_MIDDLES = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines FROM documents
+), r AS (
+  SELECT *, len(lines) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(lines) + 1) AS x,
+    ('0x' || substr(h, 9, 8))::BIGINT % (len(lines) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+         WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d
+), c AS (
+  SELECT *, array_to_string(lines[1:least(x, y)], '') AS prefix, array_to_string(lines[least(x, y) + 1:greatest(x, y)], '') AS middle,
+    array_to_string(lines[greatest(x, y) + 1:n], '') AS suffix FROM r
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
+"""
+
+
+def _clusters(rounds: int = 10) -> str:
+    """Rounds of assignment and means, written out one after the other."""
+    steps = ["""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64 AND len(embedding) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS n, v FROM (
+    SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept ORDER BY h, v LIMIT 8))"""]
+    assign = """
+a{i} AS MATERIALIZED (
+  SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min(d) AS distance, arg_min(n, d * 8 + n) AS n FROM (
+    SELECT k.*, c.n, list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, c.v) + list_inner_product(c.v, c.v) AS d
+    FROM kept k, c{i} c) GROUP BY row)"""
+    mean = """
+c{j} AS MATERIALIZED (
+  SELECT c.n, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT n, list(mean ORDER BY p) AS v FROM (
+      SELECT n, p, floor(sum(v[p]) / count(*)) AS mean FROM a{i}, range(1, 65) t(p) GROUP BY n, p) GROUP BY n) m USING (n))"""
+    for i in range(rounds):
+        steps += [assign.format(i=i), mean.format(i=i, j=i + 1)]
+    steps.append(assign.format(i=rounds))
+    return ",".join(steps) + f"""
+SELECT a.vec_id, a.n::INTEGER AS cluster, a.distance::BIGINT AS distance,
+  sum(a.distance) OVER (PARTITION BY a.n)::BIGINT AS cluster_inertia, sum(a.distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(c.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c USING (n)
+"""
+
+
 def statements() -> dict[str, str]:
     """DuckDB SQL for the queries whose method comes down to a query over the tables."""
     return {
@@ -300,4 +387,6 @@ def statements() -> dict[str, str]:
         "op4_url_filters": _URLS,
         "op5_preference_format": _PREFERENCES,
         "op9_ngram_join": _NGRAMS,
+        "op11_fill_in_middle": _MIDDLES,
+        "op12_centroid_clusters": _clusters(),
     }
