@@ -60,11 +60,10 @@ def unit_lengths(text: str, unit: re.Pattern) -> np.ndarray:
 
 def _check_sentinels(sentinels: tuple[str, str, str]) -> None:
     """Marks must be found again without doubt wherever they are put between texts without them."""
-    for a in sentinels:
-        for b in sentinels:
-            overlap = any(a[-n:] == b[:n] for n in range(1, min(len(a), len(b))))
-            if not a or overlap or (a is not b and a in b):
-                raise ValueError(f"sentinels must be different and must not overlap: {sentinels}")
+    overlap = any(a[-n:] == b[:n] for a in sentinels for b in sentinels for n in range(1, min(len(a), len(b))))
+    inside = any(a in b for i, a in enumerate(sentinels) for j, b in enumerate(sentinels) if i != j)
+    if overlap or inside or not all(sentinels):
+        raise ValueError(f"sentinels must be different and must not overlap: {sentinels}")
 
 
 def fill_in_middle(
