@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cardlake import contracts
-from cardlake.session import stage, staging_path
+from cardlake.session import stage, staged_tables, staging_path
 from cardlake.sources import files, landing, ledger, tables
 
 # Files handled by one Spark job. It bounds the file table that is broadcast to the
@@ -20,6 +22,25 @@ FILES_PER_JOB = 10_000
 
 PARTITION = "_source_file_sha256"
 
+# A job that fails for a reason outside its files is tried so many times in all.
+ATTEMPTS = 3
+# So many files in a row that cannot be read, right after all of them were hashed, mean that
+# the store is gone and not that the files are bad.
+SUSPECT_FILES = 8
+
+# Words in the errors of jobs (fixed values): what tells that reading a file failed, and what
+# tells that disk, memory, network or executors did.
+_READING = re.compile(
+    r"FAILED_READ_FILE|FILE_NOT_EXIST|MALFORMED_|TextParsingException|CANNOT_PARSE|UNTERMINATED")
+_OUTSIDE = re.compile(
+    r"TASK_WRITE_FAILED|No space left|Disk quota|OutOfMemoryError|ExecutorLost|Lost executor|ConnectException|Connection refused|"
+    r"Connection reset|SocketTimeout|UnknownHost|Read-only file system|SparkContext was shut down|Py4JNetworkError|"
+    r"FetchFailed|MetadataFetchFailed|safe mode")
+
+
+class IngestAborted(RuntimeError):
+    """Disk, network or cluster failed: no file is to blame, and none is recorded as failed."""
+
 _RESULT = T.StructType([
     T.StructField("source_file_name", T.StringType()),
     T.StructField("source_file_size_bytes", T.LongType()),
@@ -45,10 +66,11 @@ class _File:
     rows: int = 0
     error: str | None = None
     sequence: int = 0
+    copy: str | None = None
 
 
 _LISTED = ("path", "name", "scan_name", "size", "sha256", "run_id")
-_OUTCOME = "path string, rows bigint, error string"
+_OUTCOME = "path string, rows bigint, error string, copy string"
 
 
 def bronze_schema(contract: T.StructType) -> T.StructType:
@@ -103,7 +125,18 @@ def ingest_file(
 def _ingest(
     spark, source, found, bronze_path, ledger_path, contract, strict_types, multiline, now
 ) -> dict:
-    now = now or datetime.now(timezone.utc)
+    withdraw_unfinished(spark, bronze_path, ledger_path)
+    with staged_tables(spark):  # listings and copies of records; the results outlive them
+        results = _ingest_new(
+            spark, found, bronze_path, ledger_path, contract, strict_types, multiline,
+            now or datetime.now(timezone.utc),
+        )
+    return _roll_up(spark, source, results, bronze_path, contract)
+
+
+def _ingest_new(
+    spark, found, bronze_path, ledger_path, contract, strict_types, multiline, now
+) -> DataFrame:
     history = ledger.load(spark, ledger_path)
     listed = _fingerprinted(spark, found)
     marked = stage(
@@ -124,21 +157,20 @@ def _ingest(
         batch = _collect(of_job)
         _check_values(spark, batch, layout, contract, strict_types, multiline)
         _record(spark, batch, outcomes)
-    # Accepted files are numbered on from those accepted before, in order of name. The
-    # window holds one narrow row per new file.
-    first = history.where(F.col("status") == ledger.SUCCESS).count()
     checked = spark.read.schema(_OUTCOME).parquet(outcomes)
+    accepted = marked.join(checked.where("error IS NULL").select("path"), "path", "left_semi").select(
+        "path", "name", F.col("sha256").alias("source_file_sha256"))
+    batch_id = uuid.uuid4().hex
+    ledger.reserve(spark, ledger_path, batch_id, accepted)
+    taken = ledger.numbers(spark, ledger_path).groupBy("source_file_sha256").agg(F.min("sequence").alias("sequence"))
     numbered = stage(
-        marked.join(checked.where("error IS NULL").select("path"), "path", "left_semi").select(
-            "path", (F.row_number().over(Window.orderBy(F.lower("name"), "name", "path")) - 1 + first)
-            .cast("bigint").alias("sequence")),
-        "numbers",
-    )
+        accepted.join(taken, "source_file_sha256").join(checked.select("path", "copy"), "path")
+        .select("path", "sequence", "copy"), "numbers")
     written = staging_path(spark, "outcomes")
     spark.createDataFrame([], _OUTCOME).write.parquet(written)
     for layout, of_job in jobs:
-        batch = _collect(of_job.join(numbered, "path"), "sequence")
-        _write(spark, batch, layout, contract, bronze_path, multiline, now)
+        batch = _collect(of_job.join(numbered, "path"), "sequence", "copy")
+        _write(spark, batch, contract, bronze_path, now)
         _record(spark, [f for f in batch if f.error is not None], written)
     failed_late = spark.read.schema(_OUTCOME).parquet(written).select("path", F.col("error").alias("late_error"))
 
@@ -149,7 +181,18 @@ def _ingest(
         results.where(F.col("status") != ledger.SKIPPED)
         .withColumn("processed_at_utc", F.lit(now).cast("timestamp")),
     )
-    return _roll_up(spark, source, results, bronze_path, contract)
+    ledger.finish(spark, ledger_path, batch_id)
+    return results
+
+
+def withdraw_unfinished(spark: SparkSession, bronze_path: str, ledger_path: str) -> None:
+    """Remove bronze rows of batches that broke off before their ledger entry.
+
+    Their files are read again if they are still there. Done before a batch starts, so a
+    bronze table holds what its ledger lists.
+    """
+    for row in ledger.unfinished(spark, ledger_path).toLocalIterator():
+        tables.drop_partition(spark, bronze_path, f"{PARTITION}={row['source_file_sha256']}")
 
 
 def _fingerprinted(spark: SparkSession, found: files.Files) -> DataFrame:
@@ -183,27 +226,63 @@ def _collect(of_job: DataFrame, *more: str) -> list[_File]:
 
 def _record(spark: SparkSession, batch: list[_File], path: str) -> None:
     spark.createDataFrame(
-        [(f.path, f.rows, f.error) for f in batch], _OUTCOME
+        [(f.path, f.rows, f.error, f.copy) for f in batch], _OUTCOME
     ).coalesce(1).write.mode("append").parquet(path)
 
 
-def _isolated(batch: list[_File], job) -> None:
-    """Run a job over files; when it fails, over halves, until the file at fault is alone.
+def is_of_a_file(problem: Exception, writing: bool) -> bool:
+    """Whether a file can be to blame for an error of a job.
+
+    A failure to read names the file, also inside a job that writes. Failed write tasks and
+    words that tell of disk, memory, network or executors are nobody's; so is all else that
+    breaks a job that writes to a table (``writing``), and the file's otherwise.
+    """
+    text = f"{type(problem).__name__}: {problem}"
+    if _READING.search(text):
+        return True
+    return not writing and not _OUTSIDE.search(text)
+
+
+class _Isolation:
+    """Runs a job over files; when a file breaks it, over halves, until that file is alone.
 
-    That file gets the error; all others are worked through.
+    The file gets the error; all others are worked through. A job that breaks for another
+    reason is repeated as it is, and in the end aborts the batch.
     """
-    if not batch:
-        return
-    try:
-        job(batch)
-    except Exception as problem:  # recorded for the file, as the others must go on
-        if len(batch) == 1:
-            lines = str(problem).strip().splitlines() or [""]
-            batch[0].error = f"{type(problem).__name__}: {lines[0]}"[:4000]
+
+    def __init__(self, job, writing: bool) -> None:
+        self.job, self.writing, self.in_a_row = job, writing, 0
+
+    def run(self, batch: list[_File]) -> None:
+        if not batch:
+            return
+        for attempt in range(1, ATTEMPTS + 1):
+            try:
+                self.job(batch)
+            except Exception as error:  # sorted by whose fault it is
+                if is_of_a_file(error, self.writing):
+                    problem = error
+                    break
+                if attempt == ATTEMPTS:
+                    raise IngestAborted(f"The job failed {ATTEMPTS} times: {_first_line(error)}") from error
+            else:
+                self.in_a_row = 0
+                return
+        if len(batch) > 1:
+            middle = len(batch) // 2
+            self.run(batch[:middle])
+            self.run(batch[middle:])
             return
-        middle = len(batch) // 2
-        _isolated(batch[:middle], job)
-        _isolated(batch[middle:], job)
+        self.in_a_row += 1
+        if self.in_a_row >= SUSPECT_FILES:
+            raise IngestAborted(
+                f"{self.in_a_row} files in a row cannot be read any more: {_first_line(problem)}") from problem
+        batch[0].error = _first_line(problem)
+
+
+def _first_line(problem: Exception) -> str:
+    lines = str(problem).strip().splitlines() or [""]
+    return f"{type(problem).__name__}: {lines[0]}"[:4000]
 
 
 def _mark_leaders(listed: DataFrame) -> DataFrame:
@@ -220,17 +299,23 @@ def _mark_leaders(listed: DataFrame) -> DataFrame:
 
 
 def _check_values(spark, batch, layout, contract, strict_types, multiline) -> None:
-    """Check the values of all files of a job; one small row per file comes back."""
+    """Copy the records of a job's files and check the values; one row per file comes back.
+
+    The copy holds every field as text. It is what is checked and what bronze is written
+    from, so landing bytes are read twice in all: hashed and copied.
+    """
     judge = landing.observed_types if strict_types else landing.acceptable_types
     empty = defaultdict(int)
 
     def check(part: list[_File]) -> None:
-        scanned = landing.scan(spark, [file.path for file in part], layout, multiline)
+        copy = staging_path(spark, "landing-copy")
+        landing.scan(spark, [file.path for file in part], layout, multiline).write.parquet(copy)
         profiles = {
             row["_file"]: row.asDict()
-            for row in landing.value_profile(scanned, contract).collect()
+            for row in landing.value_profile(spark.read.parquet(copy), contract).collect()
         }
         for file in part:
+            file.copy = copy
             profile = profiles.get(file.scan_name, empty)
             file.rows = profile["rows"]
             types = contracts.check_types(
@@ -246,11 +331,11 @@ def _check_values(spark, batch, layout, contract, strict_types, multiline) -> No
             elif not types["is_valid"]:
                 file.error = f"TypeError: Data-type validation failed: {types}"
 
-    _isolated(batch, check)
+    _Isolation(check, writing=False).run(batch)
 
 
-def _write(spark, batch, layout, contract, bronze_path, multiline, now) -> None:
-    """Write checked files to their own bronze partitions.
+def _write(spark, batch, contract, bronze_path, now) -> None:
+    """Write checked files from their copies to their own bronze partitions.
 
     The joined table has one row per file of this job (about ``FILES_PER_JOB``).
     """
@@ -260,11 +345,11 @@ def _write(spark, batch, layout, contract, bronze_path, multiline, now) -> None:
             "_scan_name string, _source_file_name string, _source_file_size_bytes bigint, "
             "_source_file_sha256 string, _pipeline_run_id string, _source_sequence bigint",
         )
-        scanned = landing.scan(spark, [file.path for file in part], layout, multiline)
-        rows = scanned.join(
+        copied = spark.read.parquet(*sorted({f.copy for f in part}))
+        rows = copied.join(
             F.broadcast(audit), F.col("_file") == F.col("_scan_name")
         ).select(
-            *landing.typed(scanned, contract),
+            *landing.typed(copied, contract),
             "_source_file_name", "_source_file_size_bytes", "_source_file_sha256",
             F.lit(now).cast("timestamp").alias("_ingestion_timestamp_utc"),
             "_pipeline_run_id", "_source_sequence",
@@ -273,7 +358,7 @@ def _write(spark, batch, layout, contract, bronze_path, multiline, now) -> None:
         )
         tables.append_by_partition(rows, bronze_path, PARTITION)
 
-    _isolated(batch, write)
+    _Isolation(write, writing=True).run(batch)
 
 
 def _results(marked: DataFrame, checked: DataFrame) -> DataFrame:
@@ -302,7 +387,7 @@ def _results(marked: DataFrame, checked: DataFrame) -> DataFrame:
         F.when(read, rows).otherwise(0).cast("bigint").alias("rows_written"),
         error.alias("error_message"),
     )
-    return stage(joined.select(*_RESULT.fieldNames()), "ingest-results")
+    return stage(joined.select(*_RESULT.fieldNames()), "ingest-results", keep=True)
 
 
 def _roll_up(spark, source, results, bronze_path, contract) -> dict:
@@ -374,7 +459,8 @@ def ingest_domains(
             results[name] = {
                 "source_domain": name, "status": "FAILED",
                 "landing_path": paths.landing, "bronze_output_path": paths.bronze,
-                **dict.fromkeys(_TOTALS, 0), "files_failed": 1, "bronze_total_rows": 0,
+                **dict.fromkeys(_TOTALS, 0), "files_failed": int(not isinstance(error, IngestAborted)),
+                "bronze_total_rows": 0,
                 "error_message": f"{type(error).__name__}: {error}",
             }
     statuses = [result["status"] for result in results.values()]

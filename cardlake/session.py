@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -52,20 +53,75 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[application]
 
 
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A path no other run uses, below the shared folder."""
+# Paths handed out inside each open ``staged_tables`` block, the innermost last.
+_OWNERS: list[list[str]] = []
+
+
+def staging_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A path no other run uses, below the shared folder.
+
+    It belongs to the innermost ``staged_tables`` block, with ``keep`` to the one around it.
+    """
     application = spark.sparkContext.applicationId
-    return f"{shared_root(spark)}/cardlake/{application}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/cardlake/{application}/{name}-{uuid.uuid4().hex}"
+    owners = _OWNERS[:-1] if keep else _OWNERS
+    if owners:
+        owners[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Own the tables staged inside the block and drop them at its end.
+
+    Results that read them must have been written or collected by then. Blocks may be nested;
+    each drops its own. Tables staged outside any block stay until ``expire_staged``.
+    """
+    own: list[str] = []
+    _OWNERS.append(own)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(own)
+        for path in own:
+            _delete(spark, path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def expire_staged(spark: SparkSession, days: float = 7.0) -> int:
+    """Drop what other applications staged and have not touched for so many days.
+
+    Returns the number of applications whose folder was dropped. A folder counts by its
+    latest entry, so an application that still stages tables keeps its own.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/cardlake")
+    file_system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.exists(root):
+        return 0
+    oldest = (time.time() - days * 86_400) * 1000
+    dropped = 0
+    for application in file_system.listStatus(root):
+        latest = [application.getModificationTime()]
+        if application.isDirectory():
+            latest += [entry.getModificationTime() for entry in file_system.listStatus(application.getPath())]
+        name = application.getPath().getName()
+        if name != spark.sparkContext.applicationId and max(latest) < oldest:
+            dropped += bool(file_system.delete(application.getPath(), True))
+    return dropped
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts lineage the durable way: later reads see exactly the rows written,
-    whichever executors have been lost since.
+    whichever executors have been lost since. ``keep`` as in ``staging_path``.
     """
     spark = df.sparkSession
-    path = staging_path(spark, name)
+    path = staging_path(spark, name, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -91,16 +91,24 @@ def fingerprints(files: Files, in_memory_bytes: int = IN_MEMORY_BYTES) -> DataFr
     return listed.join(hashed, "path", "left")
 
 
+_HASHED = pa.schema([
+    ("scan_path", pa.string()), ("sha256", pa.string()), ("header", pa.string()), ("is_utf8", pa.bool_())])
+
+
 def _hash_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes runs of pieces of one file each; a line feed stands between two pieces."""
+    """Hashes runs of pieces of one file each; a line feed stands between two pieces.
+
+    Pieces that do not add up to the size of their file give no hash.
+    """
     current, digest, seen, size, header, valid = None, None, 0, 0, "", True
 
     def finished() -> pa.RecordBatch:
-        if seen < size:  # the file ends with a line feed
+        if seen == size - 1:  # the file ends with a line feed
             digest.update(b"\n")
+        whole = seen in (size, size - 1)  # else the read broke off
         return pa.RecordBatch.from_pylist([
-            {"scan_path": current, "sha256": digest.hexdigest(), "header": header, "is_utf8": valid}
-        ])
+            {"scan_path": current, "sha256": digest.hexdigest() if whole else None, "header": header, "is_utf8": valid}
+        ], schema=_HASHED)
 
     for batch in batches:
         for path, length, piece in zip(*[column.to_pylist() for column in batch.columns]):

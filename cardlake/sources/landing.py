@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import csv
-import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cardlake import contracts
@@ -16,6 +13,8 @@ from cardlake.sources import files, tables
 
 _CSV_NAMES = "*.[cC][sS][vV]"
 _CORRUPT = "_corrupt_record"
+# A quoted field, with what follows its last quote, or a plain one.
+_FIELD = r',("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
@@ -74,11 +73,15 @@ def glob_literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def header_columns(header: str | None) -> list[str]:
-    """Column names of a header line."""
-    text = (header or "").removeprefix("\ufeff")
-    csv.field_size_limit(2**31 - 1)
-    return next(csv.reader([text]), [])
+def header_columns(header: Column) -> Column:
+    """Column names of a header line as an array: fields between commas, quotes undone."""
+    text = F.regexp_replace(F.coalesce(header, F.lit("")), "^\ufeff", "")
+    # Every field is found with the comma before it, so that empty ones are found too.
+    fields = F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(_FIELD), F.lit(1))
+    return F.transform(fields, lambda field: F.when(
+        F.startswith(field, F.lit('"')),
+        F.replace(F.regexp_replace(field, '^"|"$', ""), F.lit('""'), F.lit('"')),
+    ).otherwise(field))
 
 
 def layouts(header: Column, contract: T.StructType) -> Column:
@@ -87,23 +90,20 @@ def layouts(header: Column, contract: T.StructType) -> Column:
     Headers are parsed where their files were read: the driver sees one value per layout,
     however many files there are and however long their first lines.
     """
-    names = contract.fieldNames()
-
-    @F.pandas_udf("struct<layout: string, error: string>")
-    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for headers in batches:
-            out = []
-            for text in headers:
-                try:
-                    columns = header_columns(text)
-                    check = contracts.check_columns(columns, names)
-                    error = None if check["is_valid"] else f"ValueError: Column validation failed: {check}"[:4000]
-                except csv.Error as problem:
-                    columns, error = [], f"ValueError: The header cannot be parsed: {problem}"
-                out.append((json.dumps(columns) if error is None else None, error))
-            yield pd.DataFrame(out, columns=["layout", "error"], dtype=object)
-
-    return parse(header)
+    names = header_columns(header)
+    expected = F.array(*[F.lit(name) for name in contract.fieldNames()])
+    missing = F.array_sort(F.array_except(expected, names))
+    unexpected = F.array_sort(F.array_except(names, expected))
+    valid = (F.size(missing) == 0) & (F.size(unexpected) == 0) & (F.size(names) == len(contract))
+    problem = F.substring(F.concat(
+        F.lit("ValueError: Column validation failed: "),
+        F.to_json(F.struct(
+            F.lit(len(contract)).alias("expected_count"), F.size(names).alias("actual_count"),
+            missing.alias("missing_columns"), unexpected.alias("unexpected_columns"),
+        )),
+    ), 1, 4000)
+    return F.struct(
+        F.when(valid, F.to_json(names)).alias("layout"), F.when(~valid, problem).alias("error"))
 
 
 def scan(
@@ -139,7 +139,7 @@ def value_profile(scanned: DataFrame, contract: T.StructType) -> DataFrame:
     file does not matter.
     """
     # What is left of a record without its quoted parts has one comma between two fields.
-    bare = F.regexp_replace(_CORRUPT, r'"(?:[^"]|"")*+"', "")
+    bare = F.regexp_replace(_CORRUPT, r'"[^"]*+(?:""[^"]*+)*+"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     parts = [
         F.count(F.lit(1)).alias("rows"),

@@ -45,8 +45,47 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def drop_partition(spark: SparkSession, path: str, partition: str) -> None:
+    """Remove one directory (``column=value``) of a partitioned table, if it is there."""
+    jvm_path, file_system = hadoop_path(spark, f"{path.rstrip('/')}/{partition}")
+    file_system.delete(jvm_path, True)
+
+
+def overwrite(
+    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), row_group_bytes: int | None = None
+) -> None:
+    """Replace a table; small row groups let filters on a sorted column skip more of a file."""
+    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    if row_group_bytes is not None:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    jvm_path, file_system = hadoop_path(spark, path)
+    if not file_system.rename(jvm_path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{path} cannot be renamed to {target}")
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Replace one file by a few bytes from the driver."""
+    jvm_path, file_system = hadoop_path(spark, path)
+    stream = file_system.create(jvm_path, True)
+    stream.write(bytearray(content))
+    stream.close()
+
+
+def content_stamp(spark: SparkSession, path: str) -> str:
+    """Number of files, bytes and latest change below a path, from file system metadata.
+
+    Any write to the table changes it.
+    """
+    jvm_path, file_system = hadoop_path(spark, path)
+    summary = file_system.getContentSummary(jvm_path)
+    # A write ends with the marker file of its commit.
+    marker = spark._jvm.org.apache.hadoop.fs.Path(jvm_path, "_SUCCESS")
+    done = file_system.getFileStatus(marker if file_system.exists(marker) else jvm_path).getModificationTime()
+    return f"{summary.getFileCount()} files, {summary.getLength()} bytes, {done}"
 
 
 def append_by_partition(df: DataFrame, path: str, partition_by: str) -> None:

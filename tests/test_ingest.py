@@ -421,3 +421,127 @@ def test_a_job_that_fails_is_repeated_without_the_file_at_fault(area, monkeypatc
     monkeypatch.undo()
     assert outcome(area.run())["b.csv"] == "SUCCESS"
     assert area.bronze_rows().count() == 4
+
+
+# ------------------------------------------------------------ faults outside the files, crashes
+
+
+def test_a_full_disk_fails_the_run_and_no_file(area, monkeypatch):
+    for name in ("a.csv", "b.csv", "c.csv", "d.csv"):
+        area.put(name, [[*FIRST_FILE[0][:-2], name, "No"]])
+    tries = []
+
+    def full(*arguments):
+        tries.append(arguments)
+        raise OSError("No space left on device")
+
+    monkeypatch.setattr(ingest.tables, "append_by_partition", full)
+    with pytest.raises(ingest.IngestAborted, match="No space left"):
+        area.run()
+    assert len(tries) == ingest.ATTEMPTS  # the whole batch, not its halves
+    assert ledger.load(area.spark, area.ledger).isEmpty()
+    monkeypatch.undo()
+    assert set(outcome(area.run()).values()) == {"SUCCESS"}
+    assert area.bronze_rows().count() == 4
+
+
+def test_a_target_that_cannot_be_written_fails_the_run_and_no_file(area):
+    area.put("a.csv", FIRST_FILE)
+    area.put("b.csv", SECOND_FILE)
+    with open(area.bronze, "w") as blocking:
+        blocking.write("a file where the table should be")
+    with pytest.raises(ingest.IngestAborted):
+        area.run()
+    assert ledger.load(area.spark, area.ledger).isEmpty()
+
+
+def test_a_passing_fault_is_tried_again(area, monkeypatch):
+    area.put("a.csv", FIRST_FILE)
+    append, tries = ingest.tables.append_by_partition, []
+
+    def flaky(*arguments):
+        tries.append(1)
+        if len(tries) < ingest.ATTEMPTS:
+            raise OSError("Connection reset by peer")
+        append(*arguments)
+
+    monkeypatch.setattr(ingest.tables, "append_by_partition", flaky)
+    assert outcome(area.run()) == {"a.csv": "SUCCESS"} and len(tries) == ingest.ATTEMPTS
+
+
+def test_a_lost_store_is_no_fault_of_many_files(area, monkeypatch):
+    for i in range(40):
+        area.put(f"f{i:02d}.csv", [[*FIRST_FILE[0][:-2], str(i), "No"]])
+    tries = []
+
+    def lost(spark, paths, *rest):
+        tries.append(len(paths))
+        raise OSError("input/output error")
+
+    monkeypatch.setattr(landing_source, "scan", lost)
+    with pytest.raises(ingest.IngestAborted, match="8 files in a row"):
+        area.run()
+    assert len(tries) < 30 and ledger.load(area.spark, area.ledger).isEmpty()
+    monkeypatch.undo()
+    assert area.run()["files_processed"] == 40
+
+
+@pytest.mark.parametrize("text, writing, of_a_file", [
+    ("[FAILED_READ_FILE.NO_HINT] Encountered error while reading file x.csv", True, True),
+    ("[TASK_WRITE_FAILED] ... Caused by: [FAILED_READ_FILE.FILE_NOT_EXIST] x.csv", True, True),
+    ("[TASK_WRITE_FAILED] Task failed while writing rows", True, False),
+    ("something odd", False, True), ("java.lang.OutOfMemoryError: Java heap space", False, False),
+    ("ExecutorLostFailure (executor 3 exited)", False, False),
+])
+def test_faults_are_told_apart(text, writing, of_a_file):
+    assert ingest.is_of_a_file(RuntimeError(text), writing) == of_a_file
+
+
+def sequences(area):
+    return {r[0]: r[1] for r in area.bronze_rows().select("_source_file_name", "_source_sequence").distinct().collect()}
+
+
+def test_a_crash_before_the_ledger_entry_leaves_no_number_twice(area, monkeypatch):
+    area.put("a.csv", FIRST_FILE)
+    assert area.run()["files_processed"] == 1
+    area.put("b.csv", SECOND_FILE)
+
+    def crash(*arguments):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(ingest.ledger, "append", crash)
+    with pytest.raises(KeyboardInterrupt):
+        area.run()
+    assert sequences(area) == {"a.csv": 0, "b.csv": 1}  # written, and not in the ledger
+    monkeypatch.undo()
+    (area.landing / "b.csv").rename(area.landing / "b.away")
+    area.put("c.csv", [[*FIRST_FILE[0][:-2], "later", "No"]])
+    assert area.run()["files_processed"] == 1
+    assert sequences(area) == {"a.csv": 0, "c.csv": 2}  # the rows of the lost batch are withdrawn
+    (area.landing / "b.away").rename(area.landing / "b.csv")
+    assert area.run()["files_processed"] == 1
+    assert sequences(area) == {"a.csv": 0, "b.csv": 1, "c.csv": 2}  # content keeps its number
+    assert area.run()["bronze_total_rows"] == 6
+
+
+def test_finished_rows_stay_when_the_ledger_is_lost(area):
+    import shutil
+
+    area.put("a.csv", FIRST_FILE)
+    area.run()
+    shutil.move(area.ledger, area.ledger + ".away")
+    (area.landing / "a.csv").rename(area.landing / "a.away")
+    area.put("b.csv", SECOND_FILE)
+    area.run()
+    assert sequences(area) == {"a.csv": 0, "b.csv": 1}
+
+
+def test_a_new_batch_numbers_on_after_a_ledger_without_numbers(area):
+    import shutil
+
+    area.put("a.csv", FIRST_FILE)
+    area.run()
+    shutil.move(area.ledger + "_numbers", area.ledger + "_numbers.away")
+    area.put("b.csv", SECOND_FILE)
+    area.run()
+    assert sequences(area) == {"a.csv": 0, "b.csv": 1}
