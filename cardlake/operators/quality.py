@@ -1,7 +1,9 @@
 """Row, key and relationship controls shared by the gold, view and serving layers.
 
-Foreign keys are checked on counts per key, not on rows: counting combines rows
-before the shuffle, so a merchant with a third of all transactions is one row here.
+All controls of the star schema come from one pass: every table is cut into (kind of key,
+key) rows, and one aggregation over both sides of each relationship tells how often a key
+stands in the fact and in its dimension. Rows are combined before the shuffle, so a merchant
+with a third of all transactions is one row per task.
 """
 
 from __future__ import annotations
@@ -10,76 +12,91 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardlake.functions.columns import count_where
 from cardlake.operators.rows import one_row
 
-
-def key_controls(
-    df: DataFrame, key: str, rows: str, suffix: str, missing_repeats: bool = False
-) -> DataFrame:
-    """One row: number of rows, repeated keys and missing keys of a table.
-
-    Grouping by key first keeps the distinct count free of hot keys. Of several
-    missing keys all but the first count as repeated, or all of them with
-    ``missing_repeats``, which is what ``count(*) - count(distinct key)`` gives.
-    """
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    repeats = F.col("n") - 1
-    if missing_repeats:
-        repeats = F.col("n") - F.col(key).isNotNull().cast("bigint")
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias(rows),
-        F.coalesce(F.sum(repeats), F.lit(0)).cast("bigint").alias(f"duplicate_{suffix}"),
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).cast("bigint")
-        .alias(f"missing_{suffix}"),
-    )
+_TRANSACTION, _MERCHANT, _DATE = "t", "m", "d"
 
 
-def orphan_controls(
-    fact: DataFrame, dimension: DataFrame, key: str, name: str,
+def star_controls(
+    merchants: DataFrame, dates: DataFrame, fact: DataFrame,
     totals: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row: fact rows whose key is absent from the dimension.
+    """One row of controls from one scan of each table and one shuffle.
 
-    ``totals`` (sums or counts by name) are taken along in the same pass.
+    Rows, repeated keys and missing keys of every table (of several missing keys all but the
+    first count as repeated), fact rows whose key is absent from a dimension, and the sums of
+    ``totals``, columns of the fact by name.
     """
     totals = totals or {}
-    per_key = fact.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), *[value.alias(total) for total, value in totals.items()]
-    )
-    known = dimension.select(key).distinct().withColumn("_known", F.lit(True))
-    orphan = F.when(F.col("_known").isNull(), F.col("n"))
-    return per_key.join(known, key, "left").agg(
-        F.coalesce(F.sum(orphan), F.lit(0)).cast("bigint").alias(name),
-        *[F.coalesce(F.sum(total), F.lit(0)).alias(total) for total in totals],
+    keys = {_TRANSACTION: "transaction_key", _MERCHANT: "merchant_key", _DATE: "date_key"}
+    values = {f"_total_{i}": column for i, column in enumerate(totals.values())}
+
+    def entry(kind: str, key: Column, in_fact: int, in_dimension: int, carried: list[Column]) -> list[Column]:
+        return [
+            F.lit(kind).alias("kind"), key.cast("bigint").alias("key"), F.lit(in_fact).alias("in_fact"),
+            F.lit(in_dimension).alias("in_dimension"), *carried,
+        ]
+
+    fact = fact.select(*keys.values(), *[column.alias(name) for name, column in values.items()])
+    kinds = {name: fact.schema[name].dataType for name in values}
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]
+    carried = [F.col(name) for name in values]
+    # Every fact row stands once per key; its totals travel with the date, the fewest keys.
+    stacked = fact.select(F.inline(F.array(*[
+        F.struct(*entry(kind, F.col(key), 1, 0, carried if kind == _DATE else nothing))
+        for kind, key in keys.items()
+    ])))
+    for dimension, kind in ((merchants, _MERCHANT), (dates, _DATE)):
+        stacked = stacked.unionByName(dimension.select(*entry(kind, F.col(keys[kind]), 0, 1, nothing)))
+    per_key = stacked.groupBy("kind", "key").agg(
+        F.sum("in_fact").alias("in_fact"), F.sum("in_dimension").alias("in_dimension"),
+        *[F.sum(name).alias(name) for name in values],
     )
 
+    def total(condition: Column, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("bigint")
+
+    parts = []
+    for kind, count, rows, suffix in (
+        (_MERCHANT, "in_dimension", "merchant_rows", "merchant_keys"),
+        (_DATE, "in_dimension", "date_rows", "date_keys"),
+        (_TRANSACTION, "in_fact", "actual_fact_rows", "transaction_keys"),
+    ):
+        own, n = F.col("kind") == kind, F.col(count)
+        parts += [
+            total(own, n).alias(rows),
+            total(own & (n > 0), n - 1).alias(f"duplicate_{suffix}"),
+            total(own & F.col("key").isNull(), n).alias(f"missing_{suffix}"),
+        ]
+    unknown = F.col("key").isNull() | (F.col("in_dimension") == 0)
+    parts += [
+        total((F.col("kind") == kind) & unknown, F.col("in_fact")).alias(name)
+        for kind, name in ((_MERCHANT, "invalid_merchant_foreign_keys"), (_DATE, "invalid_date_foreign_keys"))
+    ]
+    parts += [
+        F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in zip(totals, values)
+    ]
+    return per_key.agg(*parts)
+
+
+_FAULTS = ("duplicate", "missing", "invalid")
+
+
+def _no_faults(row: DataFrame) -> Column:
+    return sum((F.col(name) for name in row.columns if name.startswith(_FAULTS)), F.lit(0)) == 0
+
 
 def gold_controls(
-    merchants: DataFrame,
-    dates: DataFrame,
-    fact: DataFrame,
-    expected: DataFrame | None = None,
-    missing_repeats: bool = False,
+    merchants: DataFrame, dates: DataFrame, fact: DataFrame, expected: DataFrame | None = None,
 ) -> DataFrame:
     """One row with all controls of the star schema."""
-    parts = [
-        key_controls(df, key, rows, suffix, missing_repeats)
-        for df, key, rows, suffix in (
-            (merchants, "merchant_key", "merchant_rows", "merchant_keys"),
-            (dates, "date_key", "date_rows", "date_keys"),
-            (fact, "transaction_key", "actual_fact_rows", "transaction_keys"),
-        )
-    ]
-    parts += [
-        orphan_controls(fact, merchants, "merchant_key", "invalid_merchant_foreign_keys"),
-        orphan_controls(fact, dates, "date_key", "invalid_date_foreign_keys"),
-    ]
-    if expected is not None:
-        parts.append(expected)
-    row = one_row(*parts)
-    faults = [name for name in row.columns if name.startswith(("duplicate", "missing", "invalid"))]
-    valid = sum((F.col(name) for name in faults), F.lit(0)) == 0
+    return with_verdict(star_controls(merchants, dates, fact), expected)
+
+
+def with_verdict(controls: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Controls, those of ``star_controls`` or stored ones, with ``is_valid``."""
+    row = controls if expected is None else one_row(controls, expected)
+    valid = _no_faults(row)
     if expected is not None:
         valid = valid & (F.col("expected_fact_rows") == F.col("actual_fact_rows"))
     return row.withColumn("is_valid", valid)
@@ -101,8 +118,16 @@ def validate_gold(
 
 def analytics_controls(merchants: DataFrame, dates: DataFrame, fact: DataFrame) -> DataFrame:
     """The star-schema controls for readers: tables must also hold rows."""
-    row = gold_controls(merchants, dates, fact, missing_repeats=True).withColumnRenamed(
-        "actual_fact_rows", "transaction_rows"
-    )
+    return for_readers(star_controls(merchants, dates, fact))
+
+
+def for_readers(controls: DataFrame) -> DataFrame:
+    """Controls with the readers' verdict; repeated keys are rows less distinct keys, so that
+    all rows with a missing key count."""
+    row = controls.withColumnsRenamed({"actual_fact_rows": "transaction_rows"}).withColumns({
+        f"duplicate_{suffix}": F.col(f"duplicate_{suffix}")
+        + (F.col(f"missing_{suffix}") > 0).cast("bigint")
+        for suffix in ("merchant_keys", "date_keys", "transaction_keys")
+    })
     filled = F.least("merchant_rows", "date_rows", "transaction_rows") > 0
-    return row.withColumn("is_valid", F.col("is_valid") & filled)
+    return row.withColumn("is_valid", _no_faults(row) & filled)

@@ -52,6 +52,15 @@ class Lakehouse:
     def fact(self) -> DataFrame:
         return gold.read_fact(self.spark, f"{self.root}/fact_transaction")
 
+    @property
+    def gold_paths(self) -> tuple[str, str, str]:
+        return tuple(f"{self.root}/{name}" for name in ("dim_merchant", "dim_date", "fact_transaction"))
+
+    @cached_property
+    def controls(self) -> DataFrame | None:
+        """The controls kept with the gold fact."""
+        return gold.stored_controls(self.spark, *self.gold_paths)
+
     @cached_property
     def serving(self) -> dict[str, DataFrame]:
         """The reporting tables, derived from gold by projection only."""
@@ -91,10 +100,8 @@ def build_sample(spark: SparkSession, sf_dir: str) -> Lakehouse:
             silver.clean_transactions(house.bronze, F.lit(SAMPLE_PROCESSED_AT)),
             f"{house.root}/silver",
         )
-        gold.write_gold(
-            house.silver,
-            *[f"{house.root}/{name}" for name in ("dim_merchant", "dim_date", "fact_transaction")],
-        )
+        gold.write_gold(house.silver, *house.gold_paths)
+        gold.write_controls(spark, *house.gold_paths)
     return house
 
 

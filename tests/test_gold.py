@@ -251,3 +251,175 @@ def test_shuffle_partitions_follow_the_input(spark):
     with shuffles_sized_for(spark, 100 * 1024 ** 4):
         assert spark.conf.get(name) == str(MAX_SHUFFLE_PARTITIONS)
     assert spark.conf.get(name) == before
+
+
+# ------------------------------------------------- clustered files, kept controls, staged tables
+
+
+def scanned_rows(df):
+    """Rows that the scans of a collected frame handed on, after files and row groups were skipped."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plans = [leaves.apply(i) for i in range(leaves.length())]
+    while any(p.nodeName().startswith(("AdaptiveSparkPlan", "ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage"))
+              for p in plans):
+        opened = []
+        for p in plans:
+            if p.nodeName().startswith("AdaptiveSparkPlan"):
+                opened.append(p.executedPlan())
+            elif "QueryStage" in p.nodeName():
+                opened.append(p.plan())
+            else:
+                opened.append(p)
+        plans = []
+        for p in opened:
+            below = p.collectLeaves()
+            plans += [below.apply(i) for i in range(below.length())]
+    return sum(p.metrics().apply("numOutputRows").value() for p in plans if p.nodeName().startswith("Scan"))
+
+
+@pytest.fixture
+def skewed_fact(spark):
+    """Rows of 400 merchants over two years in random order; merchant 7 has a third of them."""
+    merchant = F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(400)))
+    return spark.range(0, 60_000, 1, 6).select(
+        F.col("id").alias("transaction_key"), merchant.cast("bigint").alias("merchant_key"),
+        F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)) == 0, 20230105).otherwise(20240207).cast("bigint").alias("date_key"),
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_error"),
+    ).repartition(6, F.rand(3))
+
+
+def test_a_drill_through_skips_row_groups(spark, skewed_fact, tmp_path):
+    path = str(tmp_path / "fact")
+    gold.write_fact(skewed_fact, path, row_group_bytes=64 * 1024)
+    fact = gold.read_fact(spark, path)
+    assert sorted(rows(fact, *skewed_fact.columns)) == sorted(rows(skewed_fact, *skewed_fact.columns))
+    own = fact.where("merchant_key = 33")
+    assert own.count() == skewed_fact.where("merchant_key = 33").count() > 50
+    assert scanned_rows(own) < 0.1 * 60_000
+    # A plain write keeps every merchant in every row group.
+    skewed_fact.write.option("parquet.block.size", 64 * 1024).parquet(str(tmp_path / "plain"))
+    plain = spark.read.parquet(str(tmp_path / "plain")).where("merchant_key = 33")
+    assert scanned_rows(plain) > 0.5 * 60_000
+
+
+def test_a_large_merchant_is_spread_over_files(spark, skewed_fact, tmp_path, no_coalescing):
+    path = str(tmp_path / "fact")
+    gold.write_fact(skewed_fact, path)
+    sizes = [r["n"] for r in gold.read_fact(spark, path).groupBy(F.input_file_name()).agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) >= 8 and max(sizes) < 60_000 / 3
+
+
+def test_published_fact_keeps_the_clusters(spark, skewed_fact, tmp_path, monkeypatch):
+    from cardlake.operators import serving
+
+    monkeypatch.setattr(gold, "ROW_GROUP_BYTES", 64 * 1024)
+    gold.write_fact(skewed_fact, str(tmp_path / "fact"), 64 * 1024)
+    paths = serving.write_serving({"transaction": gold.read_fact(spark, str(tmp_path / "fact"))}, str(tmp_path / "out"))
+    own = spark.read.parquet(paths["transaction"]).where("merchant_key = 33")
+    assert scanned_rows(own) < 0.1 * 60_000
+
+
+def fact_scans(df):
+    """Scans of a table with transaction keys in a plan."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum("[transaction_key#" in leaves.apply(i).toString() or ",transaction_key#" in leaves.apply(i).toString() for i in range(leaves.length()))
+
+
+def test_controls_scan_the_fact_once(spark, sample, tmp_path):
+    from cardlake.operators import serving
+
+    source, paths = str(tmp_path / "silver"), [str(tmp_path / name) for name in ("m", "d", "f")]
+    sample.withColumn(silver.STATUS, F.lit(silver.VALID)).withColumn(
+        "quarantine_reason", F.lit("")).write.partitionBy(silver.STATUS).parquet(source)
+    gold.build_gold(spark, source, *paths)
+    merchants, dates, fact = (spark.read.parquet(path) for path in paths)
+    assert fact_scans(quality.gold_controls(merchants, dates, fact)) == 1
+    assert fact_scans(quality.analytics_controls(merchants, dates, fact)) == 1
+    frames = serving.serving_frames(merchants, dates, fact)
+    kept = gold.stored_controls(spark, *paths)
+    model_ = {"merchant": merchants, "date": dates, "transaction": fact}
+    assert fact_scans(serving.serving_controls(model_, frames, kept)) == 1
+    assert fact_scans(serving.serving_controls(model_, frames)) == 2
+    assert serving.serving_controls(model_, frames, kept).first() == serving.serving_controls(model_, frames).first()
+
+
+def test_kept_controls_are_dropped_with_their_tables(spark, sample, tmp_path):
+    source, paths = str(tmp_path / "silver"), [str(tmp_path / name) for name in ("m", "d", "f")]
+    sample.withColumn(silver.STATUS, F.lit(silver.VALID)).withColumn(
+        "quarantine_reason", F.lit("")).write.partitionBy(silver.STATUS).parquet(source)
+    assert gold.stored_controls(spark, *paths) is None
+    gold.build_gold(spark, source, *paths)
+    assert gold.stored_controls(spark, *paths).first()["actual_fact_rows"] == 3
+    fact = gold.read_fact(spark, paths[2])
+    fact.limit(1).write.mode("append").partitionBy(gold.FACT_YEAR).parquet(paths[2])
+    assert gold.stored_controls(spark, *paths) is None
+
+
+def test_missing_keys_and_orphans_are_told_apart(spark):
+    merchants = spark.createDataFrame([(1,), (1,), (None,), (None,), (3,)], "merchant_key bigint")
+    dates = spark.createDataFrame([(20240101,)], "date_key bigint")
+    fact = spark.createDataFrame(
+        [(1, 1, 20240101), (1, None, 20240101), (None, 9, None), (None, 3, 20240102)],
+        "transaction_key bigint, merchant_key bigint, date_key bigint")
+    row = quality.star_controls(merchants, dates, fact, {"keys": F.col("transaction_key")}).first().asDict()
+    assert row == {
+        "merchant_rows": 5, "duplicate_merchant_keys": 2, "missing_merchant_keys": 2,
+        "date_rows": 1, "duplicate_date_keys": 0, "missing_date_keys": 0,
+        "actual_fact_rows": 4, "duplicate_transaction_keys": 2, "missing_transaction_keys": 2,
+        "invalid_merchant_foreign_keys": 2, "invalid_date_foreign_keys": 2, "keys": 2}
+    empty = quality.star_controls(merchants.where("false"), dates.where("false"), fact.where("false")).first()
+    assert set(empty.asDict().values()) == {0}
+
+
+def staged(spark):
+    import os
+
+    from cardlake.session import shared_root
+
+    folder = f"{shared_root(spark)}/cardlake/{spark.sparkContext.applicationId}"
+    return set(os.listdir(folder)) if os.path.exists(folder) else set()
+
+
+def test_staged_tables_are_dropped_with_their_block(spark, many):
+    from cardlake.session import stage, staged_tables
+
+    before = staged(spark)
+    with staged_tables(spark):
+        outer = stage(many, "outer")
+        with pytest.raises(KeyError), staged_tables(spark):
+            inner, kept = stage(many, "inner"), stage(many, "kept", keep=True)
+            assert inner.count() == kept.count() == 5000 and len(staged(spark) - before) == 3
+            raise KeyError
+        assert outer.count() == kept.count() == 5000 and len(staged(spark) - before) == 2
+    assert staged(spark) == before
+
+
+def test_gold_and_merchant_risk_leave_no_staged_table(spark, sample, tmp_path):
+    from cardlake.operators import serving
+    from cardlake.plans import measures
+    from cardlake.session import staged_tables
+
+    paths = [str(tmp_path / name) for name in ("m", "d", "f")]
+    before = staged(spark)
+    gold.write_gold(sample, *paths)
+    frames = serving.serving_frames(*(spark.read.parquet(path) for path in paths))
+    with staged_tables(spark):
+        measures.merchant_risk(frames["transaction"], frames["merchant"]).write.parquet(str(tmp_path / "risk"))
+    assert staged(spark) == before and spark.read.parquet(str(tmp_path / "risk")).count() == 2
+
+
+def test_old_staged_tables_of_other_applications_expire(spark):
+    import os
+
+    from cardlake.session import expire_staged, shared_root
+
+    root = f"{shared_root(spark)}/cardlake"
+    for name in ("app-old", "app-new"):
+        os.makedirs(f"{root}/{name}/table")
+    for path in (f"{root}/app-old/table", f"{root}/app-old"):
+        os.utime(path, (1, 1))
+    own = staged(spark)
+    assert expire_staged(spark, 2) == 1
+    assert not os.path.exists(f"{root}/app-old") and os.path.exists(f"{root}/app-new") and staged(spark) == own

@@ -77,3 +77,41 @@ def test_missing_users_stop_before_silver_and_keep_the_published_version(spark,
     row = publication.read_runs(spark, layout.runs).where(
         "run_id = 'bad' AND status <> 'RUNNING'").first()
     assert (row["status"], row["recovery_succeeded"]) == ("FAILED", True)
+
+
+def test_runs_of_lost_drivers_are_ended_by_the_next_run(spark, landing):
+    layout = Layout(str(landing))
+    run_pipeline(spark, str(landing), now=NOW, run_id="good")
+    for run_id in ("lost", "good but unrecorded"):
+        publication.record_run(
+            spark, layout.runs, pipeline="card-transactions", run_id=run_id,
+            status="RUNNING", started=NOW, recorded=NOW)
+    # One of them had published before its driver was lost.
+    version = f"{layout.published}/versions/good"
+    os.rename(version, f"{layout.published}/versions/away")
+    result = publication.recover_broken_runs(spark, layout.runs, layout.published, "card-transactions", NOW)
+    assert result == ["good but unrecorded", "lost"]
+    ends = {r["run_id"]: (r["status"], r["recovery_succeeded"]) for r in publication.read_runs(
+        spark, layout.runs).where("status <> 'RUNNING'").collect()}
+    assert ends["lost"] == ("RECOVERY_FAILED", False)  # the current version is gone
+    os.rename(f"{layout.published}/versions/away", version)
+    publication.record_run(
+        spark, layout.runs, pipeline="card-transactions", run_id="another",
+        status="RUNNING", started=NOW, recorded=NOW)
+    again = run_pipeline(spark, str(landing), run_id="next")
+    assert again["recovered_runs"] == ["another"]
+    ends = {r["run_id"]: (r["status"], r["recovery_succeeded"]) for r in publication.read_runs(
+        spark, layout.runs).where("status <> 'RUNNING'").collect()}
+    assert ends["another"] == ("FAILED", True) and ends["next"] == ("SUCCESS", None)
+
+
+def test_a_run_that_published_before_it_was_lost_is_a_success(spark, landing):
+    layout = Layout(str(landing))
+    run_pipeline(spark, str(landing), now=NOW, run_id="good")
+    later = NOW.replace(year=NOW.year + 1)
+    publication.record_run(
+        spark, layout.runs, pipeline="card-transactions", run_id="good",
+        status="RUNNING", started=later, recorded=later)
+    assert publication.recover_broken_runs(
+        spark, layout.runs, layout.published, "card-transactions", later) == ["good"]
+    assert last_status(spark, layout) == "SUCCESS"
