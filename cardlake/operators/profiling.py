@@ -119,13 +119,57 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
+_HALF = 1_000_000_000
+
+
+def _exact_sums(df: DataFrame, name: str) -> list[Column]:
+    """Sums over the halves of a column's values, exact whatever the order of rows.
+
+    A value, in millionths where its type has decimals, is ``high * 10**9 + low``. Sums of
+    the halves and of their products give the sum of squares without rounding.
+    """
+    whole = isinstance(df.schema[name].dataType, T.IntegralType)
+    scaled = F.col(f"`{name}`").cast("decimal(38,6)") * (1 if whole else 1_000_000)
+    value = F.round(scaled, 0).try_cast("decimal(22,0)")
+    low = (value % _HALF).cast("decimal(9,0)")
+    high = ((value - low) / _HALF).cast("decimal(13,0)")
+    return [
+        F.sum(high).cast("decimal(25,0)").alias("high"), F.sum(low).cast("decimal(25,0)").alias("low"),
+        F.try_sum(high * high).alias("high_high"), F.try_sum(high * low).alias("high_low"),
+        F.try_sum(low * low).alias("low_low"), F.count(value).alias("summed"),
+        F.lit(1.0 if whole else 1e6).alias("unit"),
+    ]
+
+
+def _deviation(sums: Column, count: Column) -> Column:
+    """Sample standard deviation from exact sums, each step rounded once.
+
+    ``n`` times the sum of squares less the square of the sum splits into the same three
+    parts as the values; each part is a whole number of 38 digits at most, or null.
+    """
+    n = count.cast("decimal(12,0)")
+
+    def part(products: Column, a: Column, b: Column) -> Column:
+        return F.try_subtract(F.try_multiply(n, products), F.try_multiply(a, b)).cast("double")
+
+    high, low = sums["high"].cast("decimal(19,0)"), sums["low"].cast("decimal(19,0)")
+    parts = (
+        part(sums["high_high"], high, high) * float(_HALF) * float(_HALF)
+        + part(sums["high_low"], high, low) * 2.0 * float(_HALF)
+        + part(sums["low_low"], low, low)
+    )
+    pairs = (n * (n - 1)).cast("double")
+    return F.when((count > 1) & (sums["summed"] == count), F.sqrt(parts / pairs) / sums["unit"])
+
+
 def numeric_summary(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
     """Count, mean, standard deviation, minimum, exact quartiles and maximum per column.
 
-    Means come from exact decimal sums, so they do not depend on the order of rows.
-    Quartiles are interpolated between neighbouring ranks.
+    Means and deviations come from exact sums, so they do not depend on the order of rows
+    (values with decimals count with six of them). Where sums outgrow 38 digits, deviations
+    are those of double arithmetic. Quartiles are interpolated between neighbouring ranks.
     """
     exact = "decimal(38,6)"
     moments = df.agg(*[
@@ -135,8 +179,8 @@ def numeric_summary(
             F.try_divide(
                 F.sum(_quoted(name).cast(exact)).cast("double"), F.count(_quoted(name))
             ).alias("mean"),
-            # Nine digits: behind them the order in which rows are added shows.
-            F.format_string("%.8e", F.stddev_samp(_quoted(name).cast("double"))).cast("double").alias("std"),
+            F.struct(*_exact_sums(df, name)).alias("sums"),
+            F.stddev_samp(_quoted(name).cast("double")).alias("rounded_std"),
             F.min(_quoted(name)).cast("double").alias("min"),
             F.max(_quoted(name)).cast("double").alias("max"),
         ).alias(f"c{i}")
@@ -144,7 +188,7 @@ def numeric_summary(
     ])
     rows = moments.select(
         F.inline(F.array(*[F.col(f"c{i}") for i in range(len(columns))]))
-    )
+    ).withColumn("std", F.coalesce(_deviation(F.col("sums"), F.col("count")), "rounded_std"))
     quantiles = keys.exact_quantiles(df, columns, probabilities)
     labels = [f"p{round(p * 100)}" for p in probabilities]
     return rows.join(quantiles, "column_name", "left").select(

@@ -223,6 +223,22 @@ _FRAUD_BPS = "(frauds / n - pfrauds / pn) * 10000"
 _ERROR_BPS = "(errors / n - perrors / pn) * 10000"
 
 
+def _deviation(name: str, kind: str) -> str:
+    """Sample standard deviation from exact whole numbers; text parses to the nearest double."""
+    unit = 1 if kind == "bigint" else 1_000_000
+    value = f'CAST(round(CAST("{name}" AS DECIMAL(38, 6)) * {unit}) AS HUGEINT)'
+    low, n = f"{value} % 1000000000", f'CAST(count("{name}") AS HUGEINT)'
+    high = f"({value} - {low}) // 1000000000"
+
+    def part(a: str, b: str) -> str:
+        exact = f"{n} * sum(({a}) * ({b}))::HUGEINT - sum({a})::HUGEINT * sum({b})::HUGEINT"
+        return f"CAST(CAST({exact} AS VARCHAR) AS DOUBLE)"
+
+    return (
+        f"sqrt(({part(high, high)} * 1e9 * 1e9 + {part(high, low)} * 2.0::DOUBLE * 1e9 + {part(low, low)}) "
+        f"/ CAST({n} * ({n} - 1) AS DOUBLE)) / {unit}.0::DOUBLE")
+
+
 def statements() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -608,7 +624,7 @@ FROM (SELECT count(*) AS n FROM landed GROUP BY {every}) AS groups"""
     sql["numeric_summary"] = landed + " UNION ALL ".join(
         f"""SELECT '{name}' AS column_name, CAST(count("{name}") AS BIGINT) AS count,
   CAST(sum(CAST("{name}" AS DECIMAL(38, 6))) AS DOUBLE) / count("{name}") AS mean,
-  CAST(format('{{:.8e}}', stddev_samp(CAST("{name}" AS DOUBLE))) AS DOUBLE) AS std,
+  {_deviation(name, types[name])} AS std,
   CAST(min("{name}") AS DOUBLE) AS min, quantile_cont(CAST("{name}" AS DOUBLE), 0.25) AS p25,
   quantile_cont(CAST("{name}" AS DOUBLE), 0.5) AS p50,
   quantile_cont(CAST("{name}" AS DOUBLE), 0.75) AS p75, CAST(max("{name}") AS DOUBLE) AS max
@@ -635,12 +651,55 @@ SELECT strftime(o_orderdate, '%Y-%m') AS month,
   arg_min(o_orderkey || ',' || o_orderstatus, o_orderkey) AS first_line, TRUE AS is_utf8
 FROM orders GROUP BY 1"""
     sql["ingest_outcomes"] = """
-WITH card AS (SELECT count(*) AS n FROM lineitem WHERE l_linenumber = 3)
-SELECT label AS "case", status, CAST(CASE WHEN status = 'SUCCESS' THEN n + more ELSE 0 END AS BIGINT) AS rows_written
-FROM card CROSS JOIN (VALUES ('good', 'SUCCESS', 0), ('again', 'SKIPPED', 0), ('legacy', 'SKIPPED', 0),
-  ('bad_header', 'FAILED', 0), ('bad_type', 'FAILED', 0), ('surplus_field', 'FAILED', 0),
-  ('bad_bytes', 'FAILED', 0), ('unclosed_quote', 'FAILED', 0), ('short_record', 'SUCCESS', 1),
-  ('header_only', 'FAILED', 0)) AS cases(label, status, more)"""
+WITH card AS (SELECT count(*) AS n FROM lineitem)
+SELECT label AS "case", status,
+  CAST(CASE WHEN status = 'SUCCESS' THEN n + more ELSE 0 END AS BIGINT) AS rows_written, failed > 0 AS has_failed,
+  CAST(failed AS BIGINT) AS files_failed
+FROM card CROSS JOIN (VALUES ('good', 'SUCCESS', 0, 0), ('again', 'SKIPPED', 0, 0), ('legacy', 'SKIPPED', 0, 0),
+  ('bad_header', 'SUCCESS', 0, 1), ('bad_type', 'SUCCESS', 0, 1), ('surplus_field', 'SUCCESS', 0, 1),
+  ('bad_bytes', 'SUCCESS', 0, 1), ('unclosed_quote', 'SUCCESS', 0, 1), ('short_record', 'SUCCESS', 1, 0),
+  ('header_only', 'SUCCESS', 0, 1), ('copies', 'SUCCESS', 0, 0)) AS cases(label, status, more, failed)"""
+    sql["ledger_upgrade"] = """
+SELECT o_orderstatus = 'F' AS succeeded, o_orderkey % 2 = 0 AS same_size,
+  o_orderstatus = 'F' AND o_orderkey % 2 = 0 AS already_processed, CAST(count(*) AS BIGINT) AS files,
+  CAST(count(*) AS BIGINT) AS files_without_hash
+FROM orders GROUP BY ALL"""
+    sql["silver_audit"] = _with() + f"""
+SELECT '2026-01-02 00:00:00' AS processed_at, {_N} AS rows FROM valid"""
+    sql["kpi_scalars"] = _with() + f"""
+SELECT unnest(['average_transaction_amount', 'fraud_transaction_rate_percent', 'fraudulent_transactions',
+    'total_transaction_amount', 'total_transactions']) AS name,
+  unnest([{_AVERAGE.split(' AS average')[0]}, {_RATE.split(' AS fraud')[0]}, CAST({_FRAUDS} AS DOUBLE),
+    {_TOTAL.split(' AS total')[0]}, CAST(count(*) AS DOUBLE)]) AS value
+FROM valid"""
+    sql["layer_builds"] = everything + """,
+sizes AS (SELECT (SELECT count(*) FROM dim_m) AS m, (SELECT count(*) FROM dim_d) AS d, (SELECT count(*) FROM fact) AS t)
+SELECT layer, 'SUCCESS' AS status, CAST(m AS BIGINT) AS merchant_rows, CAST(d AS BIGINT) AS date_rows,
+  CAST(t AS BIGINT) AS transaction_rows, views, TRUE AS is_valid
+FROM sizes CROSS JOIN (VALUES ('gold', ''), ('views', 'dim_date,dim_merchant,fact_transaction,'
+  || 'vw_annual_transaction_summary,vw_platform_kpis,vw_transaction_method_summary'), ('serving', '')) AS layers(layer, views)"""
+    sql["model_faults"] = everything + """,
+facts AS (
+  SELECT 'orphans' AS fault, transaction_key AS k, CASE WHEN is_fraud THEN -merchant_key ELSE merchant_key END AS m, date_key AS d FROM fact
+  UNION ALL SELECT 'repeated', transaction_key, merchant_key, date_key FROM fact
+  UNION ALL SELECT 'repeated', transaction_key, merchant_key, date_key FROM fact WHERE has_error
+  UNION ALL SELECT 'missing', CASE WHEN NOT has_error THEN transaction_key END, CASE WHEN NOT is_fraud THEN merchant_key END, date_key FROM fact
+  UNION ALL SELECT 'lost days', transaction_key, merchant_key, date_key FROM fact
+)
+SELECT fault, (SELECT CAST(count(*) AS BIGINT) FROM dim_m) AS merchant_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM dim_d WHERE fault <> 'lost days' OR NOT is_weekend) AS date_rows,
+  CAST(count(*) AS BIGINT) AS actual_fact_rows,
+  CAST(count(*) - count(DISTINCT k) - CAST(count(k) < count(*) AS INTEGER) AS BIGINT) AS duplicate_transaction_keys,
+  CAST(count(*) - count(k) AS BIGINT) AS missing_transaction_keys,
+  CAST(count(*) FILTER (m IS NULL OR m < 0) AS BIGINT) AS invalid_merchant_foreign_keys,
+  CAST(count(*) FILTER (fault = 'lost days' AND d IN (SELECT date_key FROM dim_d WHERE is_weekend)) AS BIGINT) AS invalid_date_foreign_keys,
+  FALSE AS is_valid
+FROM facts GROUP BY fault"""
+    sql["staged_job"] = _with() + """
+SELECT run_id, status, recovery_succeeded, published_version, CAST((SELECT count(*) FROM valid) AS BIGINT) AS published_rows
+FROM (VALUES ('1 good', 'SUCCESS', NULL, '1 good'), ('2 gate', 'FAILED', TRUE, '1 good'),
+  ('3 lost driver', 'FAILED', TRUE, '1 good'), ('4 good', 'SUCCESS', NULL, '4 good'))
+  AS runs(run_id, status, recovery_succeeded, published_version)"""
     sql["publication_rollback"] = _with() + """,
 sizes AS (SELECT count(*) AS n_all, count(*) FILTER (is_fraud) AS n_fraud FROM valid)
 SELECT step, version, CAST(CASE WHEN version = 'third' THEN n_fraud ELSE n_all END AS BIGINT) AS rows, problem
@@ -676,10 +735,11 @@ GROUP BY domain, open_columns"""
 
     # -------------------------------------------------- publication and runs
     sql["publication_check"] = everything + """
-SELECT 'date' AS table_name, CAST(count(*) AS BIGINT) AS published_rows,
-  TRUE AS files_not_empty FROM dim_d
-UNION ALL SELECT 'merchant', CAST(count(*) AS BIGINT), TRUE FROM dim_m
-UNION ALL SELECT 'transaction', CAST(count(*) AS BIGINT), TRUE FROM valid"""
+SELECT table_name, CAST(n AS BIGINT) AS published_rows, CAST(n AS BIGINT) AS rows_in_listed_files, TRUE AS sizes_agree,
+  TRUE AS hashes_agree, CAST(changed AS BIGINT) AS changed_files, TRUE AS intact_before, FALSE AS intact_after
+FROM (
+  SELECT 'date' AS table_name, count(*) AS n, 0 AS changed FROM dim_d
+  UNION ALL SELECT 'merchant', count(*), 1 FROM dim_m UNION ALL SELECT 'transaction', count(*), 0 FROM valid) AS sizes"""
     sql["run_freshness"] = """
 WITH clock AS (
   SELECT max(ts) AS now_, date_trunc('day', max(ts)) AS today FROM events

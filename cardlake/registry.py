@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,10 +12,10 @@ from cardlake.functions import columns as C
 from cardlake.operators import (
     gold, ingest, profiling, publication, quality, serving, silver,
 )
-from cardlake.plans import measures, reports, views
+from cardlake.plans import measures, pipeline, reports, views
 from cardlake.plans.lakehouse import SAMPLE_PROCESSED_AT, Lakehouse, lakehouse
-from cardlake.session import staging_path
-from cardlake.sources import files, landing, ledger
+from cardlake.session import stage, staging_path
+from cardlake.sources import files, landing, ledger, sample_landing, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -79,6 +80,14 @@ def silver_reconciliation(house):
     return silver.reconcile(house.bronze, house.silver, house.quarantine)
 
 
+@query
+def silver_audit(house):
+    """Rows by the moment that silver was processed."""
+    stored = silver.read_silver(house.spark, f"{house.root}/silver")
+    return stored.groupBy(F.col("_silver_processed_at_utc").alias("processed_at")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 # ------------------------------------------------------------------------ gold
 
 
@@ -108,9 +117,67 @@ def analytics_validation(house):
     return quality.analytics_controls(house.merchants, house.dates, house.fact)
 
 
+@query
+def model_faults(house):
+    """The controls of models with one fault each: fraud rows of unknown merchants, rows with
+    an error twice, keys left out, and a calendar without weekends."""
+    fact = house.fact.select("transaction_key", "merchant_key", "date_key", "is_fraud", "transaction_error")
+    has_error = C.has_error(F.col("transaction_error"))
+    faulty = {
+        "orphans": fact.withColumn("merchant_key", F.when(F.col("is_fraud"), -F.col("merchant_key"))
+                                   .otherwise(F.col("merchant_key"))),
+        "repeated": fact.union(fact.where(has_error)),
+        "missing": fact.withColumn("transaction_key", F.when(~has_error, F.col("transaction_key")))
+        .withColumn("merchant_key", F.when(~F.col("is_fraud"), F.col("merchant_key"))),
+        "lost days": fact,
+    }
+    parts = []
+    for fault, df in faulty.items():
+        dates = house.dates.where("NOT is_weekend") if fault == "lost days" else house.dates
+        parts.append(quality.gold_controls(house.merchants, dates, df).select(
+            F.lit(fault).alias("fault"), "merchant_rows", "date_rows", "actual_fact_rows",
+            "duplicate_transaction_keys", "missing_transaction_keys", "invalid_merchant_foreign_keys",
+            "invalid_date_foreign_keys", "is_valid"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+@query
+def layer_builds(house):
+    """What the builds of gold, views and reporting tables report, each from stored tables."""
+    spark, place = house.spark, staging_path(house.spark, "builds")
+    paths = [f"{place}/{name}" for name in ("dim_merchant", "dim_date", "fact_transaction")]
+    built = gold.build_gold(spark, f"{house.root}/silver", *paths)
+    viewed = views.build_views(spark, *paths)
+    served = serving.build_serving(spark, *paths, f"{place}/serving")
+    rows = [
+        ("gold", built["status"], built["merchant_rows_written"], built["date_rows_written"],
+         built["transaction_rows_written"], "", built["persisted_validation"]["is_valid"]),
+        ("views", viewed["status"], *[viewed["validation"][f"{n}_rows"] for n in ("merchant", "date", "transaction")],
+         ",".join(sorted(viewed["views_created"])), viewed["validation"]["is_valid"]),
+        ("serving", served["status"],
+         *[served["persisted_validation"][f"{n}_rows"] for n in ("merchant", "date", "transaction")],
+         "", served["validation"]["is_valid"]),
+    ]
+    return spark.createDataFrame(
+        rows, "layer string, status string, merchant_rows bigint, date_rows bigint, transaction_rows bigint, "
+        "views string, is_valid boolean")
+
+
 # ----------------------------------------------------------------------- views
 
 
+@query
+def kpi_scalars(house):
+    """The platform KPIs as plain numbers by name."""
+    _view("vw_platform_kpis")(house)
+    found = views.read_platform_kpis(house.spark)
+    return house.spark.createDataFrame(
+        [(name, float(value)) for name, value in sorted(found.items())], "name string, value double")
+
+
 def _view(name: str):
     def run(house):
         views.create_views(
@@ -162,7 +229,7 @@ def bi_fact(house):
 @query
 def bi_controls(house):
     source = {"merchant": house.merchants, "date": house.dates, "transaction": house.fact}
-    return serving.serving_controls(source, house.serving)
+    return serving.serving_controls(source, house.serving, house.controls)
 
 
 # ------------------------------------------------------------------- dashboard
@@ -522,39 +589,44 @@ def ingest_idempotency(house):
 
 @query
 def ingest_outcomes(house):
-    """Status and rows of files that are good or broken in one way each.
+    """Status and rows of folders whose files are good, but for one that is broken in one way.
 
-    Every file holds the sample transactions of one card; the broken ones have one more
-    record (or another header) with the fault. ``again`` ingests the good file a second
-    time, ``legacy`` with a ledger that knows it by name and size only.
+    Every folder holds all sample transactions as written by Spark's tasks, and one more file
+    of one record, or header, with the fault. ``again`` ingests the good folder a second time,
+    ``legacy`` with a ledger that knows it by name and size only. ``copies`` holds every file
+    twice in one batch: one of the two is read.
     """
     spark, contract = house.spark, contracts.TRANSACTIONS
     names = contract.fieldNames()
-    rows = house.bronze.where("`Card` = 3")
     quoted = [F.concat(F.lit('"'), F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")), F.lit('"')) for n in names]
-    lines = rows.select(F.concat_ws(",", *quoted).alias("line"))
+    lines = house.bronze.select(F.concat_ws(",", *quoted).alias("line"))
     head = ",".join(names)
     record = ",".join(["1", "3", "1999", "1", "2", "10:00", "$1.00", "Chip Transaction", "5", "{}", "ON", "1.0", "5411", "", "{}"])
     cases = {
-        "good": (head, None), "bad_header": (head.replace("MCC", "Code"), None),
+        "good": None, "bad_header": (head.replace("MCC", "Code"), record.format("Town", "No")),
         "bad_type": (head, record.format("Town", "No").replace("1999", "now")),
         "surplus_field": (head, record.format("Town", "No") + ",,more"),
         "bad_bytes": (head, record.format("Montr\u00e9al", "No")),
         "unclosed_quote": (head, record.format('"Town', "No")),
-        "short_record": (head, "1,3,1999,1,2"), "header_only": (head, ""),
+        "short_record": (head, "1,3,1999,1,2"), "header_only": (head, None), "copies": None,
     }
-    parts = []
-    for case, (header, extra) in cases.items():
-        folder = staging_path(spark, f"outcome-{case}")
-        body = lines if extra != "" else lines.where("false")
-        if extra:
-            body = body.unionByName(lines.limit(1).select(F.lit(extra).alias("line")))
-        # One file: the header first. Without quoting the lines are written as they are.
+
+    def write(rows: DataFrame, header: str, folder: str) -> None:
+        # Without quoting the lines are written as they are.
         (
-            body.coalesce(1).withColumnRenamed("line", header).write.option("header", True)
-            .option("sep", "\u0001").option("quote", "\u0000").option("encoding", "ISO-8859-1").csv(folder)
+            rows.toDF(header).write.mode("append").option("header", True).option("sep", "\u0001")
+            .option("quote", "\u0000").option("encoding", "ISO-8859-1").csv(folder)
         )
-        place = staging_path(spark, f"outcome-bronze-{case}")
+
+    parts = []
+    for case, fault in cases.items():
+        folder, place = staging_path(spark, f"outcome-{case}"), staging_path(spark, f"outcome-bronze-{case}")
+        write(lines, head, folder)
+        if case == "copies":
+            write(lines, head, folder)
+        if fault:
+            records = [(fault[1],)] if fault[1] else []
+            write(spark.createDataFrame(records, "line string").coalesce(1), fault[0], folder)
         runs = [ingest.ingest_directory(spark, folder, f"{place}/bronze", f"{place}/ledger", contract)]
         if case == "good":
             runs.append(ingest.ingest_directory(spark, folder, f"{place}/bronze", f"{place}/ledger", contract))
@@ -562,11 +634,42 @@ def ingest_outcomes(house):
             old.write.parquet(f"{place}/old_ledger")
             runs.append(ingest.ingest_directory(spark, folder, f"{place}/old_bronze", f"{place}/old_ledger", contract))
         for label, run in zip((case, "again", "legacy"), runs):
-            parts.append(run["file_results"].select(F.lit(label).alias("case"), "status", "rows_written"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+            whole = run["files_discovered"] - run["files_failed"]
+            read = whole // 2 if label == "copies" else whole
+            # All other files share one outcome, or the number of those read is not as it should be.
+            status = (
+                ledger.SUCCESS if run["files_processed"] == read and run["files_skipped"] == whole - read
+                else ledger.SKIPPED if run["files_skipped"] == whole else "MIXED"
+            )
+            parts.append((label, status, run["rows_written"], run["status"] == "PARTIAL_SUCCESS", run["files_failed"]))
+    return spark.createDataFrame(
+        parts, "case string, status string, rows_written bigint, has_failed boolean, files_failed bigint")
+
+
+@query
+def ledger_upgrade(house):
+    """A ledger from before hashing, one row per order, brought to today's columns and asked
+    about files of the same names, every second one of the same size."""
+    spark = house.spark
+    orders = spark.read.parquet(f"{house.sf_dir}/orders.parquet")
+    name, size = F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")), F.col("o_orderkey") + 100
+    path = staging_path(spark, "old-ledger")
+    orders.select(
+        name.alias("source_file_name"), size.alias("source_file_size_bytes"),
+        F.when(F.col("o_orderstatus") == "F", ledger.SUCCESS).otherwise(ledger.FAILED).alias("status"),
+    ).write.parquet(path)
+    upgraded = ledger.load(spark, path)
+    listed = orders.select(
+        name.alias("name"), (size + F.col("o_orderkey") % 2).alias("size"), F.sha2(name, 256).alias("sha256"))
+    asked = ledger.mark_processed(listed, upgraded).join(
+        upgraded.select(
+            F.col("source_file_name").alias("name"), "status", "source_file_sha256",
+            F.col("source_file_size_bytes").alias("known_size")),
+        "name")
+    return asked.groupBy(
+        (F.col("status") == ledger.SUCCESS).alias("succeeded"), (F.col("size") == F.col("known_size")).alias("same_size"),
+        "already_processed",
+    ).agg(F.count(F.lit(1)).alias("files"), C.count_where(F.col("source_file_sha256").isNull()).alias("files_without_hash"))
 
 
 @query
@@ -649,20 +752,80 @@ def domain_bronze_open(house):
 
 @query
 def publication_check(house):
-    """Rows of each table of a published version beside its source and manifest."""
+    """A published version beside its manifest, before and after one file is changed.
+
+    Rows of each table, rows in the files that the manifest lists, whether listed sizes and
+    hashes are those of the stored bytes, and the files found changed once a merchant file
+    has been overwritten.
+    """
+    spark = house.spark
     source = {"merchant": house.merchants, "date": house.dates, "transaction": house.fact}
-    root = staging_path(house.spark, "published")
-    result = publication.publish(house.spark, source, root, "first", SAMPLE_PROCESSED_AT)
-    listed = house.spark.read.parquet(result["manifest_path"]).groupBy("table_name").agg(
-        (F.min("size") > 0).alias("files_not_empty")
-    )
-    published = publication.read_published(house.spark, root)
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("published_rows"))
-        .select(F.lit(name).alias("table_name"), "published_rows")
-        for name, df in published.items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).join(listed, "table_name")
+    root = staging_path(spark, "published")
+    result = publication.publish(
+        spark, source, root, "first", SAMPLE_PROCESSED_AT, house.controls)
+    listed = spark.read.parquet(result["manifest_path"])
+    paths = result["output_paths"]
+    stored = None
+    for name, path in paths.items():
+        part = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+            "pathGlobFilter", "*.parquet").load(path).select(
+                F.lit(name).alias("table_name"), "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("hash"))
+        rows = spark.read.parquet(path).groupBy(F.input_file_name().alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+        part = part.join(rows.select(F.regexp_replace("path", "^file:/+", "file:/").alias("row_path"), "rows"),
+                         F.regexp_replace("path", "^file:/+", "file:/") == F.col("row_path"), "left")
+        stored = part if stored is None else stored.unionByName(part)
+    compared = listed.join(stored, ["table_name", "path"], "full").groupBy("table_name").agg(
+        F.sum("rows").alias("rows_in_listed_files"), F.min(F.col("size") == F.col("bytes")).alias("sizes_agree"),
+        F.min(F.col("sha256") == F.col("hash")).alias("hashes_agree"))
+    published = publication.read_published(spark, root)
+    counts = None
+    for name, df in published.items():
+        part = df.agg(F.count(F.lit(1)).alias("published_rows")).select(F.lit(name).alias("table_name"), "published_rows")
+        counts = part if counts is None else counts.unionByName(part)
+    before = stage(counts.join(compared, "table_name"), "manifest-check")
+    intact_before = publication.verify_version(spark, root, "first")
+    # One data file is overwritten in place.
+    victim = listed.where("table_name = 'merchant'").orderBy("path").first()
+    tables.write_bytes(spark, victim["path"], b"changed")
+    changed = publication.changed_files(listed, publication.manifest(spark, paths)).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("changed_files"))
+    return before.join(changed, "table_name", "left").select(
+        "*", F.lit(intact_before).alias("intact_before"),
+        F.lit(publication.verify_version(spark, root, "first")).alias("intact_after"),
+    ).fillna(0, ["changed_files"])
+
+
+@query
+def staged_job(house):
+    """The run ledger after a good run, one stopped by a gate, one whose driver was lost, and
+    another good one, with the rows of the version each left published."""
+    spark, root = house.spark, staging_path(house.spark, "job")
+    layout = pipeline.Layout(root)
+    users = f"{root}/landing/users"
+    sample_landing.write(sample_landing.transactions(house.bronze), f"{root}/landing/transactions")
+    sample_landing.write(sample_landing.cards(spark, house.sf_dir), f"{root}/landing/cards")
+    sample_landing.write(sample_landing.users(spark, house.sf_dir), users)
+    pipeline.run_pipeline(spark, root, run_id="1 good")
+    tables.rename(spark, users, f"{root}/landing/away")
+    try:
+        pipeline.run_pipeline(spark, root, run_id="2 gate")
+    except RuntimeError:
+        pass  # the gate after the ingest of the domains
+    started = datetime.now(timezone.utc)
+    publication.record_run(
+        spark, layout.runs, pipeline=pipeline.PIPELINE_NAME, run_id="3 lost driver",
+        status=publication.RUNNING, started=started, recorded=started)
+    tables.rename(spark, f"{root}/landing/away", users)
+    pipeline.run_pipeline(spark, root, run_id="4 good")
+    ends = publication.read_runs(spark, layout.runs).where(F.col("status") != publication.RUNNING)
+    versions = None
+    for version in ("1 good", "4 good"):
+        table = f"{layout.published}/versions/{version}/{serving.TABLE_NAMES['transaction']}.parquet"
+        part = spark.read.parquet(table).agg(F.count(F.lit(1)).alias("published_rows")).withColumn(
+            "published_version", F.lit(version))
+        versions = part if versions is None else versions.unionByName(part)
+    return ends.join(versions, "published_version").select(
+        "run_id", "status", "recovery_succeeded", "published_version", "published_rows")
 
 
 @query
