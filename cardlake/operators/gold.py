@@ -107,9 +107,14 @@ def create_transaction_fact(silver_df: DataFrame, merchants: DataFrame) -> DataF
 
     lineage = contracts.LINEAGE.fieldNames()
     if set(lineage) <= set(silver_df.columns):
-        numbered = keys.sequence_key(
-            keyed, lineage[:2], lineage[2], "transaction_key", population=silver_df
-        )
+        numbered = None
+        if set(silver.POSITION) <= set(silver_df.columns):
+            numbered = keys.position_key(
+                keyed, silver_df, lineage[:2], lineage[2], *silver.POSITION, "transaction_key")
+        if numbered is None:
+            numbered = keys.sequence_key(
+                keyed, lineage[:2], lineage[2], "transaction_key", population=silver_df
+            )
     else:
         # Copies of a row are told apart, so that they spread over partitions.
         order = [F.col(name).asc_nulls_last() for name in (*silver_df.columns, "_copy")]
@@ -157,7 +162,7 @@ def build_gold(
     will see and avoids computing the model a second time.
     """
     tables.require_paths(spark, {"Silver transactions": silver_path}, "The gold model")
-    silver_df = silver.read_silver(spark, silver_path)
+    silver_df = silver.read_positioned(spark, silver_path)
     with shuffles_sized_for(spark, tables.stored_bytes(spark, silver_path)):
         write_gold(silver_df, merchant_path, date_path, fact_path)
 

@@ -80,6 +80,39 @@ def sequence_key(
     )
 
 
+# So many pieces of files, about 200 bytes each, are broadcast at most.
+MAX_PIECES = 500_000
+
+
+def position_key(
+    df: DataFrame, population: DataFrame, block: Sequence[str], row: str, file: str, place: str, key: str
+) -> DataFrame | None:
+    """``sequence_key`` for rows whose places in ordered files are known, without a shuffle of rows.
+
+    A piece is what one stored file has of one block. Rows of a piece lie side by side, in
+    order, so a row's number is that of the piece's first row plus its distance to it. Only
+    ``population``, the narrow columns of the stored rows, is aggregated, to one row per piece.
+
+    None where that does not hold: pieces with gaps, pieces of a block that overlap, or more
+    than ``MAX_PIECES`` of them.
+    """
+    pieces = stage(population.groupBy(file, *block).agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("_first"), F.max(place).alias("_last"),
+        F.min(row).alias("_low"), F.max(row).alias("_high")), "pieces")
+    before = Window.partitionBy(*block).orderBy("_low", "_high")
+    sound = pieces.select(
+        (F.col("_last") - F.col("_first") + 1 == F.col("n")).alias("whole"),
+        F.coalesce(F.lag("_high").over(before) < F.col("_low"), F.lit(True)).alias("apart"))
+    found = sound.agg(F.count(F.lit(1)).alias("pieces"), F.min(F.col("whole") & F.col("apart")).alias("sound")).first()
+    if not found["sound"] or found["pieces"] > MAX_PIECES:
+        return None
+    numbered = Window.orderBy(*block, "_low").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select(
+        file, *block, (F.coalesce(F.sum("n").over(numbered), F.lit(0)) - F.col("_first")).alias("_offset"))
+    return df.join(F.broadcast(offsets), [file, *block]).withColumn(
+        key, (F.col("_offset") + F.col(place) + 1).cast("bigint")).drop("_offset")
+
+
 def competition_rank(df: DataFrame, value: str, rank: str) -> DataFrame:
     """``rank()`` over all rows by ``value`` descending; null values get no rank.
 

@@ -102,6 +102,10 @@ def clean_transactions(bronze: DataFrame, processed_at: datetime | Column) -> Da
     return cleaned.withColumn("quarantine_reason", quarantine_reason())
 
 
+# Where a stored row lies: its file and its place there, counted from 0.
+POSITION = ("_silver_file", "_silver_row")
+
+
 def silver_rows(cleaned: DataFrame) -> DataFrame:
     """Rows without a reason, in the published columns plus lineage where present."""
     lineage = [name for name in contracts.LINEAGE.fieldNames() if name in cleaned.columns]
@@ -118,15 +122,33 @@ def write_silver(cleaned: DataFrame, path: str) -> None:
     Both tables share one dataset partitioned by record status, so the source is
     read and parsed once and nothing is cached. Raw inputs are blanked on valid
     rows, where they are not part of the published table.
+
+    Rows with lineage are written in its order within each file, and a note beside the
+    table says so: gold then numbers them by their places in the files.
     """
     broken = F.col("quarantine_reason") != ""
-    (
-        cleaned.withColumns({
-            name: F.when(broken, F.col(name)) for name in _RAW_COLUMNS
-        })
-        .withColumn(STATUS, F.when(broken, QUARANTINED).otherwise(VALID))
-        .write.mode("overwrite").partitionBy(STATUS).parquet(path)
-    )
+    lineage = [name for name in contracts.LINEAGE.fieldNames() if name in cleaned.columns]
+    rows = cleaned.withColumns({
+        name: F.when(broken, F.col(name)) for name in _RAW_COLUMNS
+    }).withColumn(STATUS, F.when(broken, QUARANTINED).otherwise(VALID))
+    if lineage:
+        rows = rows.sortWithinPartitions(STATUS, *lineage)
+    tables.overwrite(rows, path, (STATUS,))
+    spark = cleaned.sparkSession
+    stamp = tables.content_stamp(spark, path) if len(lineage) == len(contracts.LINEAGE) else ""
+    spark.createDataFrame([(stamp,)], "stamp string").coalesce(1).write.mode("overwrite").parquet(_order_path(path))
+
+
+def _order_path(path: str) -> str:
+    return f"{path.rstrip('/')}_order"
+
+
+def is_ordered(spark: SparkSession, path: str) -> bool:
+    """Whether the rows of every file are in the order of their lineage, as last written."""
+    if not tables.exists(spark, _order_path(path)):
+        return False
+    noted = spark.read.parquet(_order_path(path)).first()
+    return noted is not None and noted["stamp"] == tables.content_stamp(spark, path)
 
 
 def _read_status(
@@ -146,6 +168,18 @@ def read_silver(
     return silver_rows(_read_status(spark, path, VALID, schema))
 
 
+def read_positioned(spark: SparkSession, path: str) -> DataFrame:
+    """Valid rows with the file and the place in it where each is stored, if files are ordered."""
+    if not is_ordered(spark, path):
+        return read_silver(spark, path)
+    stored = spark.read.parquet(path)
+    rows = stored.where(F.col(STATUS) == VALID).select(
+        *[F.col(name) for name in stored.columns if name != STATUS],
+        F.col("_metadata.file_name").alias(POSITION[0]), F.col("_metadata.row_index").alias(POSITION[1]))
+    lineage = [name for name in contracts.LINEAGE.fieldNames() if name in stored.columns]
+    return rows.where(F.col("quarantine_reason") == "").select(*SILVER_COLUMNS, *lineage, *POSITION)
+
+
 def read_quarantine(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:

@@ -100,7 +100,7 @@ def build_sample(spark: SparkSession, sf_dir: str) -> Lakehouse:
             silver.clean_transactions(house.bronze, F.lit(SAMPLE_PROCESSED_AT)),
             f"{house.root}/silver",
         )
-        gold.write_gold(house.silver, *house.gold_paths)
+        gold.write_gold(silver.read_positioned(spark, f"{house.root}/silver"), *house.gold_paths)
         gold.write_controls(spark, *house.gold_paths)
     return house
 

@@ -90,3 +90,51 @@ def test_fact_is_the_same_when_merchants_are_too_many_to_broadcast(house, monkey
     columns = list(gold.FACT_COLUMNS)
     assert fact.select(columns).exceptAll(house.fact.select(columns)).isEmpty()
     assert fact.count() == house.fact.count()
+
+
+def test_stored_places_give_the_keys_of_a_window_without_its_shuffle(spark, house):
+    from cardlake import contracts
+    from cardlake.operators import gold, keys, silver
+
+    placed = silver.read_positioned(spark, f"{house.root}/silver")
+    assert set(silver.POSITION) <= set(placed.columns)
+    lineage = contracts.LINEAGE.fieldNames()
+    wanted = keys.sequence_key(placed, lineage[:2], lineage[2], "k").select(*lineage, "k")
+    found = keys.position_key(placed, placed, lineage[:2], lineage[2], *silver.POSITION, "k").select(*lineage, "k")
+    assert found.count() == wanted.count() == house.fact.count()
+    assert found.exceptAll(wanted).isEmpty()
+    plan = gold.create_transaction_fact(placed, gold.merchant_index(placed))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_source_sequence" not in plan
+    slow = gold.create_transaction_fact(house.silver, gold.merchant_index(house.silver))
+    assert "hashpartitioning(_source_sequence" in slow._jdf.queryExecution().executedPlan().toString()
+
+
+def test_places_are_not_trusted_where_they_prove_nothing(spark, house, monkeypatch):
+    from cardlake import contracts
+    from cardlake.operators import keys, silver
+
+    lineage = contracts.LINEAGE.fieldNames()
+    placed = silver.read_positioned(spark, f"{house.root}/silver")
+
+    def key(df):
+        return keys.position_key(df, df, lineage[:2], lineage[2], *silver.POSITION, "k")
+
+    assert key(placed.where("_silver_row % 2 = 0")) is None  # gaps
+    halves = placed.withColumn("_silver_file", F.concat("_silver_file", F.col("_source_row") % 2)).withColumn(
+        "_silver_row", F.floor(F.col("_silver_row") / 2))
+    assert key(halves) is None  # pieces that overlap
+    monkeypatch.setattr(keys, "MAX_PIECES", 0)
+    assert key(placed) is None
+
+
+def test_a_silver_table_changed_later_is_not_taken_as_ordered(spark, house, tmp_path):
+    from cardlake.operators import silver
+
+    path = str(tmp_path / "silver")
+    cleaned = silver.clean_transactions(house.bronze, F.lit("2026-01-02").cast("timestamp"))
+    silver.write_silver(cleaned, path)
+    assert silver.is_ordered(spark, path)
+    cleaned.limit(0).withColumn(silver.STATUS, F.lit(silver.VALID)).write.mode("append").partitionBy(
+        silver.STATUS).parquet(path)
+    assert not silver.is_ordered(spark, path)
+    assert not set(silver.POSITION) & set(silver.read_positioned(spark, path).columns)
