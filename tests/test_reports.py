@@ -89,12 +89,12 @@ def test_direction_and_basis_points(spark):
 
 def test_profile_text_and_prompt(spark):
     dates = calendar(spark, date(2020, 1, 1), date(2020, 1, 2))
-    merchants = [(1, -8566951830324093739, "Graz", "ST", "8010", 5977),
+    merchants = [(1, -6100200300400500607, "Graz", "ST", "8010", 5977),
                  (2, 200, None, None, None, 5812)]
     frames = published(spark, [(date(2020, 1, 1), 1, "1", True, None)], dates, merchants)
     texts = dict(rows(measures.merchant_profiles(frames["merchant"])))
     assert texts["MRC-000001"] == (
-        "MRC-000001  |  Source ID -8566951830324093739  |  Graz, ST 8010  |  Category 5977")
+        "MRC-000001  |  Source ID -6100200300400500607  |  Graz, ST 8010  |  Category 5977")
     assert texts["MRC-000002"] == "MRC-000002  |  Source ID 200  |  ONLINE  |  Category 5812"
     one = frames["merchant"].where("merchant_key = 2")
     assert measures.selected_merchant_profile(one).first()[0] == texts["MRC-000002"]

@@ -21,8 +21,8 @@ AUDIT = ("sample.csv", NOW, "run-1")
 GOOD = [
     (0, 0, 2026, 8, 1, "10:00", "$31.90", "Chip Transaction", 1, " Brno ", "JM", 60200.0,
      5411, None, "No", *AUDIT),
-    (1, 1, 2026, 8, 1, "11:30", "$100.00", "Online Transaction", 2, "Vancouver", "BC", None,
-     5812, "Technical Glitch", "Yes", *AUDIT),
+    (7, 2, 2026, 8, 3, "6:45", "$2,048.16", "Online Transaction", 44, "Gent", "VOV", None,
+     5977, "Bad CVV", "Yes", *AUDIT),
 ]
 BAD = (None, 0, 2026, 8, 1, "99:99", "UNKNOWN", "Chip Transaction", 1, "Brno", "JM", 60200.0,
        5411, None, "Maybe", *AUDIT)
