@@ -62,12 +62,12 @@ def percent_text(part: Column, total: Column) -> Column:
     return F.concat(C.quotient2(100 * C.whole(part), C.whole(total)).cast("string"), F.lit("%"))
 
 
-def _change_text(part: Column, total: Column, prior_part: Column, prior_total: Column) -> Column:
-    """Change of a share of counts in basis points, rounded once."""
+def _change(part: Column, total: Column, prior_part: Column, prior_total: Column) -> tuple[Column, Column]:
+    """Change of a share of counts in basis points, as a quotient of two whole numbers."""
     counts = [c.cast("decimal(18,0)") for c in (part, total, prior_part, prior_total)]
     part, total, prior_part, prior_total = counts
     change = (part * prior_total - prior_part * total).cast("decimal(32,0)") * 10000
-    return C.quotient2(change, (total * prior_total).cast("decimal(36,0)")).cast("string")
+    return change, (total * prior_total).cast("decimal(36,0)")
 
 
 def _two_digits(amount: Column) -> Column:
@@ -240,36 +240,46 @@ def data_coverage(fact: DataFrame, dates: DataFrame) -> DataFrame:
 def executive_briefs(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Per year: the decision summary and the risk brief as text, with their inputs."""
     both = _year_over_year(daily(fact, dates), dates)
-    fraud, error = (C.ratio(F.col(name), F.col("n")) for name in ("frauds", "errors"))
+    fraud = C.ratio(F.col("frauds"), F.col("n"))
     fraud_change = (fraud - C.ratio(F.col("prior_frauds"), F.col("prior_n"))) * 10000
-    error_change = (error - C.ratio(F.col("prior_errors"), F.col("prior_n"))) * 10000
-    growth = F.col("amount") - F.col("prior_amount"), F.col("prior_amount")
-    fraud_text, error_text = (
-        _change_text(*[F.col(c) for c in (name, "n", f"prior_{name}", "prior_n")])
-        for name in ("frauds", "errors")
-    )
     risk = F.coalesce(direction(fraud_change), F.lit("No prior year"))
 
     def or_none(text: Column) -> Column:
         return F.coalesce(text, F.lit("n/a"))
 
+    # Dividends, then quotients, are columns of their own: each is computed once, however
+    # often the texts name it.
+    quotients = {
+        name: _change(*[F.col(c) for c in (name, "n", f"prior_{name}", "prior_n")])
+        for name in ("frauds", "errors")
+    }
+    both = both.withColumns({
+        "_risk": risk, "_growth": F.col("amount") - F.col("prior_amount"),
+        **{f"_{name}_change": above for name, (above, _) in quotients.items()},
+        **{f"_{name}_base": below for name, (_, below) in quotients.items()},
+    }).withColumns({
+        f"_{name}_text": or_none(C.quotient2(F.col(f"_{name}_change"), F.col(f"_{name}_base")).cast("string"))
+        for name in quotients
+    })
+    risk, fraud_text, error_text = (F.col(c) for c in ("_risk", "_frauds_text", "_errors_text"))
+
     return both.select(
         "calendar_year",
         risk.alias("risk_direction"),
         F.concat(
             F.lit("Risk "), risk,
-            F.lit(" | Amount growth "), or_none(percent_text(*growth)),
-            F.lit(" | Fraud rate "), or_none(fraud_text),
-            F.lit(" bps | Error rate "), or_none(error_text),
+            F.lit(" | Amount growth "), or_none(percent_text(F.col("_growth"), F.col("prior_amount"))),
+            F.lit(" | Fraud rate "), fraud_text,
+            F.lit(" bps | Error rate "), error_text,
             F.lit(" bps | Data through "), F.date_format("covered", "yyyy-MM-dd"),
         ).alias("executive_decision_summary"),
         F.concat(
             F.lit("Risk "), risk,
             F.lit(" | Fraud rate "), percent_text(F.col("frauds"), F.col("n")),
-            F.lit(" ("), or_none(fraud_text),
+            F.lit(" ("), fraud_text,
             F.lit(" bps) | Exposure $"), or_none(_two_digits(F.col("exposure"))),
             F.lit(" | Error rate "), percent_text(F.col("errors"), F.col("n")),
-            F.lit(" ("), or_none(error_text), F.lit(" bps)"),
+            F.lit(" ("), error_text, F.lit(" bps)"),
         ).alias("risk_exceptions_brief"),
     ).orderBy("calendar_year")
 
