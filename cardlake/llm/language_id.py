@@ -17,9 +17,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlake.llm import hashing
+from cardlake.llm.naming import unused
 from cardlake.llm.shipping import ship_package
 
 FEATURES = 1 << 13
@@ -30,7 +32,6 @@ PIECE_WORDS = (1, 2, 4, 8, 16, 32, 64, 128)
 CLASS_EDGES = np.append(0.0, 2.0 ** np.arange(4.0, 13.5, 0.5))
 CLASS_PIECES = 20
 
-_LETTER = re.compile(r"[^\W\d_]")
 _GAPS = re.compile(r"[\W\d_]+")
 
 
@@ -40,7 +41,7 @@ def text_vector(text: str) -> np.ndarray | None:
     Case, digits and punctuation do not matter; word borders count as a character.
     """
     letters = _GAPS.sub(" ", text.lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):  # numerals such as fractions are no letters
         return None
     counts = np.zeros(FEATURES, dtype=np.int64)
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -102,16 +103,61 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-9)
 
 
-def _clusters(vectors: np.ndarray, wanted: int, rounds: int = 12) -> np.ndarray:
+@dataclass
+class _Sparse:
+    """Rows of weights of length one: the slots they use, and where each row starts.
+
+    No row is empty. Dense copies of a sample would not fit a driver; these are a few
+    thousand entries a row.
+    """
+
+    slots: np.ndarray
+    weights: np.ndarray
+    starts: np.ndarray
+
+    @classmethod
+    def weighed(cls, slots: np.ndarray, logarithms: np.ndarray, starts: np.ndarray, idf: np.ndarray) -> _Sparse:
+        weights = logarithms * idf[slots]
+        norms = np.sqrt(np.add.reduceat(weights * weights, starts)) if len(starts) else np.zeros(0)
+        sizes = np.diff(starts, append=len(slots))
+        return cls(slots, weights / np.repeat(np.maximum(norms, 1e-9), sizes).astype(np.float32), starts)
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.starts, append=len(self.slots))
+
+    def rows(self, chosen: np.ndarray) -> _Sparse:
+        """The rows for which ``chosen`` (one truth value a row) holds."""
+        sizes = self.sizes
+        inside = np.repeat(chosen, sizes)
+        return _Sparse(self.slots[inside], self.weights[inside], np.cumsum(sizes[chosen]) - sizes[chosen])
+
+    def times(self, vector: np.ndarray) -> np.ndarray:
+        """Products of every row with a dense vector."""
+        return np.add.reduceat(self.weights * vector[self.slots], self.starts)
+
+    def cosines(self, centres: np.ndarray) -> np.ndarray:
+        return np.stack([self.times(c) for c in centres], axis=1)
+
+    def total(self, chosen: np.ndarray) -> np.ndarray:
+        inside = np.repeat(chosen, self.sizes)
+        return np.bincount(self.slots[inside], self.weights[inside], FEATURES)
+
+    def dense(self, row: int) -> np.ndarray:
+        part = slice(self.starts[row], self.starts[row] + self.sizes[row])
+        return np.bincount(self.slots[part], self.weights[part], FEATURES).astype(np.float32)
+
+
+def _clusters(vectors: _Sparse, wanted: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means from spread-out first centres; empty clusters vanish."""
-    centres = vectors[:1]
-    while len(centres) < min(wanted, len(vectors)):
-        nearest = (vectors @ centres.T).max(axis=1)
-        centres = np.vstack([centres, vectors[nearest.argmin()]])
+    centres = vectors.dense(0)[None, :]
+    while len(centres) < min(wanted, len(vectors.starts)):
+        nearest = vectors.cosines(centres).max(axis=1)
+        centres = np.vstack([centres, vectors.dense(int(nearest.argmin()))])
     for _ in range(rounds):
-        owner = (vectors @ centres.T).argmax(axis=1)
-        sums = np.stack([vectors[owner == k].sum(axis=0) for k in range(len(centres)) if (owner == k).any()])
-        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+        owner = vectors.cosines(centres).argmax(axis=1)
+        sums = np.stack([vectors.total(owner == k) for k in range(len(centres)) if (owner == k).any()])
+        centres = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
     return centres
 
 
@@ -143,6 +189,8 @@ def fit(
     id_column: str = "doc_id",
     text_column: str = "text",
     language_column: str = "lang",
+    sample_texts: int = 4000,
+    max_languages: int = 500,
 ) -> LanguageModel:
     """Fits centroids on at most about ``per_language`` labelled texts of each language.
 
@@ -150,72 +198,76 @@ def fit(
     letterless text or null language take no part. The limits of a language are ``reject_share``
     times the median cosine of its training texts and of runs of their words, per class of
     distinct n-grams. Either half of the texts is measured with centroids of the other half,
-    so that limits hold for unseen texts. Memory on the driver: ``per_language`` sparse vectors
-    of ``FEATURES`` counts per language (32 KB each at most), and those of their runs.
+    so that limits hold for unseen texts.
+
+    Bounds of the driver: of many languages the ``max_languages`` with the most texts are learned
+    (equal numbers in order of name), from about ``sample_texts`` texts together. A text and its
+    runs bring up to ``FEATURES`` entries of 6 bytes each, and one language at a time is clustered.
     """
     ship_package(labelled.sparkSession)
     rows = labelled.where(F.col(text_column).isNotNull() & F.col(language_column).isNotNull()).select(
         F.xxhash64(F.col(id_column).cast("string")).alias("place"),
-        F.col(text_column).cast("string").alias("text"), F.col(language_column).alias("lang"))
-    totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        F.col(text_column).cast("string").alias("text"), F.col(language_column).cast("string").alias("lang"))
+    totals = {
+        r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
+        .orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    }
     if not totals:
         return LanguageModel(np.zeros(FEATURES, np.float32), np.zeros((0, FEATURES), np.float32), [], [])
-    share = F.lit(1.0)
-    for language, n in totals.items():
-        share = F.when(F.col("lang") == language, min(1.0, per_language / n)).otherwise(share)
-    drawn = rows.where(F.pmod("place", F.lit(1 << 20)) < share * (1 << 20))
+    wanted = min(per_language, sample_texts / len(totals))
+    shares = F.create_map(*[F.lit(x) for language, n in totals.items() for x in (language, min(1.0, wanted / n))])
+    drawn = rows.where(F.pmod("place", F.lit(1 << 20)) < F.coalesce(shares[F.col("lang")], F.lit(0.0)) * (1 << 20))
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, spoken, whole, slots, counts = [], [], [], [], []
+            places, spoken, whole, slots, logarithms = [], [], [], [], []
             for place, text, language in zip(*(c.to_pylist() for c in batch.columns)):
                 for number, part in enumerate([text, *pieces(text, place)]):
                     vector = text_vector(part)
-                    used = np.flatnonzero(vector) if vector is not None else np.zeros(0, dtype=np.int64)
+                    if vector is None:
+                        continue
+                    used = np.flatnonzero(vector)
                     places.append(place)
                     spoken.append(language)
                     whole.append(number == 0)
-                    slots.append(used.astype(np.int32).tobytes())
-                    counts.append(vector[used].astype(np.int32).tobytes() if len(used) else b"")
+                    slots.append(used.astype(np.uint16).tobytes())
+                    logarithms.append(np.log1p(vector[used]).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(places, pa.int64()), pa.array(spoken, pa.string()), pa.array(whole, pa.bool_()),
-                 pa.array(slots, pa.binary()), pa.array(counts, pa.binary())],
-                names=["place", "lang", "whole", "slots", "counts"])
-
-    def dense(rows: list) -> np.ndarray:
-        vectors = np.zeros((len(rows), FEATURES), dtype=np.int32)
-        for row, r in zip(vectors, rows):
-            row[np.frombuffer(r["slots"], dtype=np.int32)] = np.frombuffer(r["counts"], dtype=np.int32)
-        return vectors
-
-    found = drawn.select("place", "text", F.col("lang").cast("string")).mapInArrow(
-        vectorise, "place long, lang string, whole boolean, slots binary, counts binary").collect()
-    found = sorted((r for r in found if r["slots"]), key=lambda r: (r["place"], r["lang"], r["slots"], r["counts"]))
-    sample, parts = [r for r in found if r["whole"]], [r for r in found if not r["whole"]]
-    vectors = dense(sample)
-    spoken = np.array([r["lang"] for r in sample], dtype=object)
-    present = (vectors > 0).sum(axis=0)
-    idf = np.log((1 + len(vectors)) / (1 + present)).astype(np.float32) + np.float32(1)
-    weighted = weigh(vectors, idf)
-    kept, languages, limits = [], [], []
-    for language in sorted(set(spoken)):
-        own = weighted[spoken == language]
+                 pa.array(slots, pa.binary()), pa.array(logarithms, pa.binary())],
+                names=["place", "lang", "whole", "slots", "logarithms"])
+
+    found = drawn.select("place", "text", "lang").mapInArrow(
+        vectorise, "place long, lang string, whole boolean, slots binary, logarithms binary").toArrow()
+    found = found.sort_by([(name, "ascending") for name in ("lang", "place", "whole", "slots", "logarithms")])
+
+    def entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        slots, logarithms = (table.column(name).to_pylist() for name in ("slots", "logarithms"))
+        sizes = np.array([len(x) // 2 for x in slots], dtype=np.int64)
+        return (np.frombuffer(b"".join(slots), dtype=np.uint16), np.frombuffer(b"".join(logarithms), dtype=np.float32),
+                np.cumsum(sizes) - sizes)
+
+    sample = found.filter(found.column("whole"))
+    present = np.zeros(FEATURES, dtype=np.int64)
+    for part in sample.column("slots"):
+        present += np.bincount(np.frombuffer(part.as_py(), dtype=np.uint16), minlength=FEATURES)
+    idf = np.log((1 + len(sample)) / (1 + present)).astype(np.float32) + np.float32(1)
+    kept, languages, limits, measured = [], [], [], None
+    for language in sorted(set(sample.column("lang").to_pylist())):
+        measured = found.filter(pc.equal(found.column("lang"), language))
+        vectors = _Sparse.weighed(*entries(measured), idf)
+        whole = measured.column("whole").to_numpy(zero_copy_only=False)
+        odd = (measured.column("place").to_numpy() & 1).astype(bool)
+        own, half = vectors.rows(whole), odd[whole]
         centres = _clusters(own, centroids)
-        places = np.array([r["place"] for r in sample])[spoken == language]
-        half = (places & 1).astype(bool)
-        others = [_clusters(own[half != side], centroids) if (half != side).any() else centres for side in (False, True)]
-        measured = [r for r in sample + parts if r["lang"] == language]
-        sizes, reached = [], []
-        for low in range(0, len(measured), 256):
-            some = measured[low:low + 256]
-            counts = dense(some)
-            cosines = [(weigh(counts, idf) @ c.T).max(axis=1) for c in others]
-            sizes.append(np.count_nonzero(counts, axis=1))
-            reached.append(np.where([r["place"] & 1 for r in some], cosines[1], cosines[0]))
-        at, medians = _medians(np.concatenate(sizes), np.concatenate(reached))
+        others = [_clusters(own.rows(half != side), centroids) if (half != side).any() else centres for side in (False, True)]
+        even_reach, odd_reach = (vectors.cosines(c).max(axis=1) for c in others)
+        at, medians = _medians(vectors.sizes, np.where(odd, odd_reach, even_reach))
         kept.append(centres)
         languages += [language] * len(centres)
         limits += [(at, reject_share * medians)] * len(centres)
+    del found, sample, measured
+    pa.default_memory_pool().release_unused()  # the driver needs the memory for later stages
     return LanguageModel(
         idf, np.concatenate(kept) if kept else np.zeros((0, FEATURES), np.float32), languages, limits)
 
@@ -246,11 +298,13 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
                     out[i] = known.languages[k], s, s < known.limit(k, v)
             yield pd.DataFrame(out, columns=["language", "score", "rejected"])
 
-    result = docs.withColumn("_language", predict(F.col(text_column).cast("string")))
+    name = unused(docs.columns, "language")
+    # Called nondeterministic, it is not run a second time for a filter on its result.
+    result = docs.withColumn(name, predict.asNondeterministic()(F.col(text_column).cast("string")))
     return result.withColumns({
-        "lang_nearest": F.col("_language.language"), "lang_score": F.col("_language.score"),
-        "lang_rejected": F.col("_language.rejected"),
-    }).drop("_language")
+        "lang_nearest": F.col(name)["language"], "lang_score": F.col(name)["score"],
+        "lang_rejected": F.col(name)["rejected"],
+    }).drop(name)
 
 
 def held_out(id_column: Column, folds: int, fold: int) -> Column:
