@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cardlake.llm import hashing
 from cardlake.llm.shipping import ship_package
+from cardlake.session import stage
 
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 8
@@ -71,9 +72,13 @@ def _numeric(text: str) -> bool:
 
 @dataclass
 class ItemIndex:
-    """Postings of one shard of items: term -> blocks with maxima -> items with weights."""
+    """Postings of one shard of items: term -> blocks with maxima -> items with weights.
 
-    items: np.ndarray
+    ``numbers`` tell the items apart; ``items`` are their ids, which may repeat or be null.
+    """
+
+    numbers: list[int]
+    items: list[int | None]
     stride: int
     terms: np.ndarray
     likely: np.ndarray
@@ -88,12 +93,18 @@ class ItemIndex:
     numeric: list[bool]
 
 
-def build_index(items: list[tuple[int, str]], frequencies: dict[int, int], total: int, mean_length: float) -> ItemIndex:
-    """Index of a bounded list of (id, text); frequencies count the items of all shards."""
-    rows = [(i, text, _words(text)) for i, text in items]
-    rows = sorted((r for r in rows if len(r[2])), key=lambda r: (len(r[2]), r[0]))
+def build_index(
+    items: list[tuple[int, str]], frequencies: dict[int, int], total: int, mean_length: float,
+    ids: dict[int, int | None] | None = None,
+) -> ItemIndex:
+    """Index of a bounded list of (number, text); frequencies count the items of all shards.
+
+    ``ids`` has the id of each number, where that is not the number itself.
+    """
+    rows = [(ids[number] if ids else number, text, _words(text), number) for number, text in items]
+    rows = sorted((r for r in rows if len(r[2])), key=lambda r: (len(r[2]), r[0] is None, r[0] or 0, r[1]))
     owner, term, weight = [], [], []
-    for place, (_, _, words) in enumerate(rows):
+    for place, (_, _, words, _) in enumerate(rows):
         unique, counts = np.unique(words, return_counts=True)
         known = np.array([frequencies.get(t, 1) for t in unique.tolist()], dtype=np.float64)
         idf = np.log1p((total - known + 0.5) / (known + 0.5))
@@ -114,9 +125,9 @@ def build_index(items: list[tuple[int, str]], frequencies: dict[int, int], total
     heads = posting_start[:-1]
     likely = np.zeros(1 << 20, dtype=bool)
     likely[(terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-    split = [split_item(text) for _, text, _ in rows]
+    split = [split_item(r[1]) for r in rows]
     return ItemIndex(
-        items=np.array([r[0] for r in rows], dtype=np.int64),
+        numbers=[r[3] for r in rows], items=[r[0] for r in rows],
         stride=max([LEAST_STRIDE, *(len(r[2]) for r in rows)]),
         terms=terms, likely=likely,
         term_max=np.maximum.reduceat(weight, first) if len(term) else weight,
@@ -124,7 +135,7 @@ def build_index(items: list[tuple[int, str]], frequencies: dict[int, int], total
         block_of=owner[heads] // BLOCK_ITEMS,
         block_max=np.maximum.reduceat(weight, heads) if len(term) else weight,
         posting_start=posting_start, posting_item=owner, posting_weight=weight,
-        grams=[(_grams(_words(q)), _grams(_words(a)), _grams(w)) for (q, a), (_, _, w) in zip(split, rows)],
+        grams=[(_grams(_words(q)), _grams(_words(a)), _grams(w)) for (q, a), (_, _, w, _) in zip(split, rows)],
         numeric=[_numeric(a) for _, a in split],
     )
 
@@ -169,7 +180,7 @@ def _share(grams: np.ndarray, size: int, passage: np.ndarray) -> float:
 
 
 def search(index: ItemIndex, texts: list, threshold: float, overlap: float) -> list[list[tuple]]:
-    """Per text the verified items: (item_id, first word, score, question and answer share)."""
+    """Per text the verified items: (place in the index, first word, score, question and answer share)."""
     out: list[list[tuple]] = [[] for _ in texts]
     if not len(index.items):
         return out
@@ -200,7 +211,7 @@ def search(index: ItemIndex, texts: list, threshold: float, overlap: float) -> l
             if index.numeric[item] and answer < 1.0:
                 continue
             if (question >= overlap and answer >= overlap) or whole >= (1 + overlap) / 2:
-                out[first + text].append((int(index.items[item]), begin - int(bounds[text]), score, question, answer))
+                out[first + text].append((item, begin - int(bounds[text]), score, question, answer))
     return out
 
 
@@ -217,7 +228,8 @@ def find_leaks(
 
     Each leak has ``item_id``, ``first_word`` (where the passage starts, in words), ``score``
     (the best BM25 share), ``question_overlap`` and ``answer_overlap`` (shares of word
-    4-grams). An item is verified where both overlaps reach ``overlap``, or where the whole
+    4-grams). Every distinct row of id and text is an item, rows without an id too; rows of one
+    id that are found in a text are leaks of their own. An item is verified where both overlaps reach ``overlap``, or where the whole
     item's reaches halfway from there to 1; a question or answer without words has overlap 0,
     so there the whole item counts. An answer of numbers alone has to be in the passage
     whole in any case, as texts of one template differ in their numbers. Words are runs of letters
@@ -229,9 +241,9 @@ def find_leaks(
     broadcast and one narrow pass over ``docs`` each, with document frequencies of all items.
     """
     ship_package(docs.sparkSession)
-    items = benchmark.where(F.col(item_column).isNotNull() & F.col(item_text_column).isNotNull()).select(
+    items = stage(benchmark.where(F.col(item_text_column).isNotNull()).select(
         F.col(item_column).cast("long").alias("item_id"), F.col(item_text_column).cast("string").alias("text")
-    ).groupBy("item_id").agg(F.min("text").alias("text"))
+    ).distinct().withColumn("number", F.monotonically_increasing_id()), "items")
     sizes = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     shards = max(1, math.ceil(sizes[0] / SHARD_ITEMS), math.ceil(sizes[1] / SHARD_BYTES))
 
@@ -246,19 +258,21 @@ def find_leaks(
                 lengths += [len(words)] + [0] * (len(unique) - 1) if unique else []
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(lengths, pa.int64())],
-                names=["item_id", "term", "length"])
+                names=["number", "term", "length"])
 
-    listed = items.select("item_id", "text").mapInArrow(terms, "item_id long, term long, length long")
+    listed = items.select("number", "text").mapInArrow(terms, "number long, term long, length long")
     total, length = listed.agg(F.count_if(F.col("length") > 0), F.coalesce(F.sum("length"), F.lit(0))).first()
     frequency = listed.groupBy("term").agg(F.count("*").alias("n"))
-    shard = F.pmod(F.xxhash64("item_id"), F.lit(shards))
+    shard = F.pmod(F.xxhash64("number"), F.lit(shards))
     result = docs.withColumn("leaks", F.expr(
         "cast(array() as array<struct<item_id:bigint,first_word:bigint,score:double,question_overlap:double,answer_overlap:double>>)"))
     for number in range(shards):
         own = items.where(shard == number).collect()
         needed = listed.where(shard == number).select("term").distinct()
         counts = {r["term"] & (2**64 - 1): r["n"] for r in frequency.join(needed, "term").collect()}
-        index = build_index([(r["item_id"], r["text"]) for r in own], counts, total, max(1.0, length / max(1, total)))
+        index = build_index(
+            [(r["number"], r["text"]) for r in own], counts, total, max(1.0, length / max(1, total)),
+            {r["number"]: r["item_id"] for r in own})
         result = result.withColumn("leaks", F.concat("leaks", _searcher(result, index, threshold, overlap)(
             F.col(text_column).cast("string"))))
     return result
@@ -278,7 +292,9 @@ def _searcher(docs: DataFrame, index: ItemIndex, threshold: float, overlap: floa
                 for row in rows:
                     if row[0] not in kept or (row[2], -row[1]) > (kept[row[0]][2], -kept[row[0]][1]):
                         kept[row[0]] = row
-                best.append([dict(zip(names, kept[i])) for i in sorted(kept)])
+                ids = shared.value.items
+                order = sorted(kept, key=lambda i: (ids[i] is None, ids[i] or 0, i))
+                best.append([dict(zip(names, (ids[i], *kept[i][1:]))) for i in order])
             yield pd.Series(best, dtype=object)
 
-    return run
+    return run.asNondeterministic()  # else it runs a second time for a filter on the leaks
