@@ -10,6 +10,7 @@ key can go back. No value is its own pseudonym.
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from cardlake.llm.naming import unused
 from cardlake.llm.shipping import ship_package
 
 ROUNDS = 8
@@ -85,7 +87,7 @@ def _iban_check(country: str, account: str) -> str:
 
 # Patterns of candidates; what they find is validated before it is replaced (fixed values).
 PATTERNS = {
-    "email": r"(?<![\w.+-])[^\W_][\w.%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}\b",
+    "email": r"(?<![\w.%+-])%*[^\W_][\w.%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}\b",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "date": r"(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![\w-]|[./][0-9])",
     "ip": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])",
@@ -103,11 +105,41 @@ _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2099, 12, 31).toordinal() - _FIRST_DAY + 1
 
 
+def _written(a: int, b: int, style: str) -> str:
+    """Two numbers before a year: each padded to two digits (``2``) or as it is (``1``)."""
+    return "/".join(f"{x:02d}" if width == "2" else str(x) for x, width in zip((a, b), style))
+
+
+def date_style(a: str, b: str) -> str:
+    """How the two numbers of a date are written: ``22`` both in two digits, ``11`` neither
+    padded and one of them a single digit, ``12`` and ``21`` one padded beside a single digit."""
+    if len(a) == len(b) == 2:
+        return "22"
+    return f"{2 if a[0] == '0' else 1}{2 if b[0] == '0' else 1}"
+
+
+@functools.cache
+def _days_written(day_first: bool, style: str) -> tuple[list[int], dict[int, int]]:
+    """The days that have a text of this form, and the place of each.
+
+    A text is taken as day first wherever that is a date, so month first is left with days
+    after the twelfth. Every text belongs to one form only.
+    """
+    days = []
+    for number in range(_DAYS):
+        day = datetime.date.fromordinal(number + _FIRST_DAY)
+        pair = (day.day, day.month) if day_first else (day.month, day.day)
+        a, b = _written(*pair, style).split("/")
+        if (day_first or day.day > 12) and date_style(a, b) == style:
+            days.append(number)
+    return days, {number: place for place, number in enumerate(days)}
+
+
 class Pseudonymiser:
-    """Finds, validates and replaces values in texts under one key."""
+    """Finds, validates and replaces values in texts under one key, or restores them (``back``)."""
 
-    def __init__(self, key: bytes) -> None:
-        self.key = key
+    def __init__(self, key: bytes, back: bool = False) -> None:
+        self.key, self.back = key, back
         self.known: dict[tuple[str, int], Feistel] = {}
 
     def _permuted(self, name: str, value: int, size: int) -> int:
@@ -115,7 +147,8 @@ class Pseudonymiser:
             if len(self.known) > 10_000:
                 self.known.clear()
             self.known[name, size] = Feistel(self.key, name, size)
-        return self.known[name, size].replace(value)
+        permutation = self.known[name, size]
+        return permutation.restore(value) if self.back else permutation.replace(value)
 
     def _digits(self, name: str, digits: str) -> str:
         return f"{self._permuted(name, int(digits), 10 ** len(digits)):0{len(digits)}d}"
@@ -144,6 +177,10 @@ class Pseudonymiser:
 
     def email(self, value: str) -> str | None:
         local, _, domain = value.rpartition("@")
+        if local.startswith("%"):  # no part of the address
+            rest = value.lstrip("%")
+            new = self.email(rest)
+            return None if new is None else value[:len(value) - len(rest)] + new
         if not any(c.isascii() and c.isalnum() for c in local):
             return None
         return f"{self._characters('email:' + domain.lower(), local)}@{domain}"
@@ -189,24 +226,38 @@ class Pseudonymiser:
         return ".".join(map(str, number.to_bytes(4, "big")))
 
     def date(self, value: str) -> str | None:
-        """Day and month as in the text; day first, month first where only that is valid."""
+        """Another day in the same form: separator, order and padding stay.
+
+        The day is taken to come first, the month only where nothing else is a date. Every
+        form has a permutation of its own days, so no two texts get one pseudonym.
+        """
         mark = "-" if "-" in value else "/" if "/" in value else "."
-        a, b, c = map(int, value.split(mark))
-        orders = [(a, b, c)] if mark == "-" else [(c, b, a), (c, a, b)]
-        for place, (year, month, day) in enumerate(orders):
-            try:
-                ordinal = datetime.date(year, month, day).toordinal() - _FIRST_DAY
-            except ValueError:
+        first, second, third = value.split(mark)
+        if mark == "-":
+            number = self._ordinal(first, second, third)
+            return None if number is None else datetime.date.fromordinal(
+                self._permuted("date", number, _DAYS) + _FIRST_DAY).isoformat()
+        style = date_style(first, second)
+        for day_first in (True, False):
+            number = self._ordinal(third, second, first) if day_first else self._ordinal(third, first, second)
+            if number is None:
                 continue
-            if not 0 <= ordinal < _DAYS:
-                return None
-            new = datetime.date.fromordinal(self._permuted("date", ordinal, _DAYS) + _FIRST_DAY)
-            if mark == "-":
-                return new.isoformat()
-            pair = (new.day, new.month) if place == 0 else (new.month, new.day)
-            return mark.join([f"{pair[0]:02d}", f"{pair[1]:02d}", f"{new.year:04d}"])
+            days, places = _days_written(day_first, style)
+            name = f"date {'dm' if day_first else 'md'}{style}{mark}"
+            new = datetime.date.fromordinal(days[self._permuted(name, places[number], len(days))] + _FIRST_DAY)
+            pair = (new.day, new.month) if day_first else (new.month, new.day)
+            return _written(*pair, style).replace("/", mark) + f"{mark}{new.year:04d}"
         return None
 
+    @staticmethod
+    def _ordinal(year: str, month: str, day: str) -> int | None:
+        """Days since the first one, null for no date and for years out of range."""
+        try:
+            number = datetime.date(int(year), int(month), int(day)).toordinal() - _FIRST_DAY
+        except ValueError:
+            return None
+        return number if 0 <= number < _DAYS else None
+
     def apply(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with pseudonyms and how many values of each kind were replaced."""
         counts: dict[str, int] = {}
@@ -226,16 +277,16 @@ class Pseudonymiser:
         return _FINDER.sub(replace, text), counts
 
 
-_WORKERS: dict[bytes, Pseudonymiser] = {}
+_WORKERS: dict[tuple[bytes, bool], Pseudonymiser] = {}
 
 
-def _worker(key: bytes) -> Pseudonymiser:
-    if key not in _WORKERS:
-        _WORKERS[key] = Pseudonymiser(key)
-    return _WORKERS[key]
+def _worker(key: bytes, back: bool) -> Pseudonymiser:
+    if (key, back) not in _WORKERS:
+        _WORKERS[key, back] = Pseudonymiser(key, back)
+    return _WORKERS[key, back]
 
 
-def pseudonymise(docs: DataFrame, key: bytes, text_column: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: bytes, text_column: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with pseudonyms in ``text_column`` and the columns ``pii_<kind>`` (counts).
 
     Texts without valid values stay as they are, byte for byte; null stays null with counts of
@@ -244,14 +295,15 @@ def pseudonymise(docs: DataFrame, key: bytes, text_column: str = "text") -> Data
     to run, destroy it to make pseudonyms final. One narrow pass without a shuffle.
 
     Dates between 1900 and 2099 are moved within those years; others and impossible ones
-    stay. Where day and month could be either, the day is taken to come first.
+    stay. Where day and month could be either, the day is taken to come first. With ``back``
+    pseudonyms become the values they stand for again.
     """
     ship_package(docs.sparkSession)
     fields = ", ".join(f"{kind}: int" for kind in KINDS)
 
     @F.pandas_udf(f"struct<text: string, {fields}>")
     def replace(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        worker = _worker(key)
+        worker = _worker(key, back)
         for batch in texts:
             found = [worker.apply(t) if isinstance(t, str) else (None, {}) for t in batch]
             out = {"text": pd.Series([t for t, _ in found], dtype=object)}
@@ -259,7 +311,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_column: str = "text") -> Data
                 out[kind] = pd.Series([c.get(kind, 0) for _, c in found], dtype="int32")
             yield pd.DataFrame(out)
 
-    result = docs.withColumn("_pii", replace(F.col(text_column).cast("string")))
-    for kind in KINDS:
-        result = result.withColumn(f"pii_{kind}", F.col(f"_pii.{kind}"))
-    return result.withColumn(text_column, F.col("_pii.text")).drop("_pii")
+    name = unused(docs.columns, "pseudonyms")
+    return docs.withColumn(name, replace(F.col(text_column).cast("string"))).withColumns({
+        text_column: F.col(name)["text"], **{f"pii_{kind}": F.col(name)[kind] for kind in KINDS},
+    }).drop(name)
