@@ -263,8 +263,8 @@ WITH p AS (
   FROM p
 ), keys AS (
   SELECT DISTINCT page_id, host, fetched_at, unnest(
-    [host] || [array_to_string(list_slice(string_split(host, '.'), -n, -1), '.') for n in range(2, 9)]
-    || [host || '/' || array_to_string(segments[1:n], '/') for n in range(1, 5) if n <= len(segments)]) AS key
+    [host] || [array_to_string(list_slice(string_split(host, '.'), -n, -1), '.') for n in range(2, len(string_split(host, '.')) + 1)]
+    || [host || '/' || array_to_string(segments[1:n], '/') for n in range(1, len(segments) + 1)]) AS key
   FROM c WHERE host IS NOT NULL
 ), h AS (
   SELECT DISTINCT host AS entry, ('0x' || substr(md5(host), 1, 4))::INTEGER AS x FROM c WHERE host IS NOT NULL

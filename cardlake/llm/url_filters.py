@@ -44,8 +44,8 @@ def lookup_keys(url: Column, host: Column, max_labels: int, max_segments: int) -
     """What an entry may be called to match a URL.
 
     The host and its parent domains down to two labels, and the host followed by each
-    leading run of path segments. Entries hold at most ``max_labels`` labels and
-    ``max_segments`` segments, which bounds the number of keys and loses none.
+    leading run of path segments; domains of more than ``max_labels`` labels and runs of more
+    than ``max_segments`` segments are left out.
     """
     labels = F.split(host, r"\.")
     tails = F.transform(
@@ -67,8 +67,6 @@ def filter_captures(
     id_column: str = "page_id",
     url_column: str = "url",
     time_column: str = "fetched_at",
-    max_labels: int = 8,
-    max_segments: int = 4,
 ) -> DataFrame:
     """Judges every capture by the list entries that were valid when it was fetched.
 
@@ -78,13 +76,18 @@ def filter_captures(
     once each and stay.
 
     Keys of distinct (URL, time) pairs are joined, so repeated captures cost no more, and
-    matches are combined per pair; a hot host meets only its own few entries.
+    matches are combined per pair; a hot host meets only its own few entries. Keys are made no
+    longer than the longest entries of the list, whatever their length.
     """
     rows = captures.select(
         F.col(id_column).alias("capture_id"), F.col(url_column).cast("string").alias("url"),
         F.col(time_column).alias("fetched"),
     )
     intervals = validity_intervals(changes)
+    parts = F.split("entry", "/")
+    longest = changes.where(F.col("entry").isNotNull()).agg(
+        F.max(F.size(F.split(parts[0], r"\."))).alias("labels"), F.max(F.size(parts) - 1).alias("segments")).first()
+    max_labels, max_segments = longest["labels"] or 0, longest["segments"] or 0
     asked = rows.select("url", "fetched").distinct().withColumn("host", url_host(F.col("url")))
     keyed = asked.where(F.col("host").isNotNull() & F.col("fetched").isNotNull()).select(
         "url", "fetched", F.explode(lookup_keys(F.col("url"), F.col("host"), max_labels, max_segments)).alias("key"))
