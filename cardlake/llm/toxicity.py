@@ -3,9 +3,14 @@
 The terms of a text are its distinct words and leading parts of its longer words. Beside a
 weight per term the machine learns a short vector per term; the products of the vectors of
 two terms that occur together, such as an insult and the mention of a group, add what no
-sum of single weights can.
+sum of single weights can. In a text of n terms a product counts 1/n, so that long texts do
+not drown in products.
 
-    score = sigmoid(w0 + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2))
+    score = sigmoid(w0 + sum w_i + 1/(2n) sum_f ((sum v_if)^2 - sum v_if^2))
+
+Every term with minimal support is a feature of both parts. Weights are fitted first, under a
+penalty that follows each term's frequency; then weights and vectors together, for as long as
+texts held back from that fit gain by it.
 """
 
 from __future__ import annotations
@@ -44,64 +49,185 @@ def _lowered(texts: list) -> list[str]:
 
 @dataclass
 class FactorizationMachine:
-    """Parameters of the selected terms; ``feature`` maps a slot to its row or to -1."""
+    """Parameters of the known terms; ``feature`` maps a slot to its row or to -1."""
 
     feature: np.ndarray
     bias: float
     weights: np.ndarray
     factors: np.ndarray
 
-    def score(self, rows: np.ndarray, features: np.ndarray, count: int) -> np.ndarray:
-        """Probabilities of ``count`` texts from (text, feature) pairs sorted by text."""
-        linear = np.bincount(rows, weights=self.weights[features], minlength=count)
-        sums = _row_sums(self.factors[features], rows, count)
-        squares = np.bincount(rows, weights=(self.factors[features] ** 2).sum(axis=1), minlength=count)
-        margin = self.bias + linear + 0.5 * ((sums**2).sum(axis=1) - squares)
-        return 1.0 / (1.0 + np.exp(-np.clip(margin, -60.0, 60.0)))
+    def margins(self, starts: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """Log-odds of texts from their features, those of text i from ``starts[i]`` on."""
+        count = len(starts) - 1
+        out = np.full(count, self.bias)
+        for low, high in _blocks(starts):
+            own = features[starts[low]:starts[high]]
+            rows = np.repeat(np.arange(high - low), np.diff(starts[low:high + 1]))
+            sizes = np.maximum(1, np.diff(starts[low:high + 1]))
+            linear = np.bincount(rows, weights=self.weights[own], minlength=high - low)
+            squares = np.zeros(high - low)
+            for column in self.factors.T:
+                values = column[own].astype(np.float64)
+                squares += np.bincount(rows, weights=values, minlength=high - low) ** 2
+                squares -= np.bincount(rows, weights=values**2, minlength=high - low)
+            out[low:high] += linear + 0.5 * squares / sizes
+        return out
 
     def score_texts(self, texts: list) -> np.ndarray:
         """Scores of whole texts; null and empty ones get the score of a text without terms."""
         out = np.empty(len(texts))
+        size = max(1, len(self.weights))
         for first, group in hashing.chunks(_lowered(texts)):
             slots, owner = _terms(group)
             features = self.feature[slots]
             used = features >= 0
-            pairs = np.unique(owner[used] * len(self.weights) + features[used]) if used.any() else np.zeros(0, np.int64)
-            size = max(1, len(self.weights))
-            out[first:first + len(group)] = self.score(pairs // size, pairs % size, len(group))
+            pairs = np.unique(owner[used] * size + features[used]) if used.any() else np.zeros(0, np.int64)
+            starts = np.searchsorted(pairs, np.arange(len(group) + 1) * size)
+            out[first:first + len(group)] = _sigmoid(self.margins(starts, pairs % size))
         return out
 
 
-def _row_sums(values: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
-    """Sums of the lines of ``values`` per row number."""
-    return np.stack([np.bincount(rows, weights=column, minlength=count) for column in values.T], axis=1) \
-        if values.shape[1] else np.zeros((count, 0))
+# So many entries (text, feature) are worked on at a time.
+BLOCK_ENTRIES = 1 << 18
+
+
+def _blocks(starts: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of texts with about ``BLOCK_ENTRIES`` entries; a longer text is a run of its own."""
+    bounds, count = [0], len(starts) - 1
+    while bounds[-1] < count:
+        wanted = int(np.searchsorted(starts, starts[bounds[-1]] + BLOCK_ENTRIES, side="right")) - 1
+        bounds.append(min(count, max(wanted, bounds[-1] + 1)))
+    return list(zip(bounds, bounds[1:]))
+
+
+def _sigmoid(margins: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(margins, -60.0, 60.0)))
+
+
+@dataclass
+class _Sample:
+    """Labelled texts as rows of features, and what each counts in the loss."""
+
+    starts: np.ndarray
+    features: np.ndarray
+    labels: np.ndarray
+    balance: np.ndarray
+
+    @classmethod
+    def of(cls, sizes: np.ndarray, features: np.ndarray, labels: np.ndarray) -> _Sample:
+        """Either label counts half, whatever its share."""
+        ones = max(1.0, labels.sum())
+        balance = np.where(labels == 1, 0.5 / ones, 0.5 / max(1.0, len(labels) - ones))
+        return cls(np.concatenate([[0], np.cumsum(sizes)]), features, labels, balance)
+
+    def rows(self, chosen: np.ndarray) -> _Sample:
+        sizes = np.diff(self.starts)
+        return _Sample.of(sizes[chosen], self.features[np.repeat(chosen, sizes)], self.labels[chosen])
+
+    def loss(self, margins: np.ndarray) -> float:
+        return float((self.balance * np.logaddexp(0.0, np.where(self.labels == 1, -margins, margins))).sum())
+
 
+RELAXED = 0.1
 
-def _select(positive: np.ndarray, negative: np.ndarray, totals: tuple[int, int], wanted: int) -> np.ndarray:
-    """The slots whose presence tells most about the label, by the G statistic."""
-    both, total = positive + negative, sum(totals)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = sum(
-            np.nan_to_num(seen * np.log(seen * total / (group * size)))
-            for seen, group, size in (
-                (positive, both, totals[0]), (negative, both, totals[1]),
-                (totals[0] - positive, total - both, totals[0]), (totals[1] - negative, total - both, totals[1]),
-            )
-        )
-    order = np.argsort(-gain, kind="stable")[:wanted]
-    return order[(gain[order] > 5.0) & (both[order] >= 4)]
+
+def _fit_weights(sample: _Sample, count: int, strength: float, rounds: int = 400) -> tuple[float, np.ndarray]:
+    """Bias and weights under a penalty on each weight's size.
+
+    The penalty of a term is ``strength`` times the slope that chance alone would show for
+    a term of its frequency. Most weights stay at zero; a set of terms whose slopes exceed
+    their penalties grows until none is left out, and only that set is fitted. In the end the
+    set is fitted again under ``RELAXED`` of the penalty, which shrinks what it keeps.
+    """
+    sizes = np.diff(sample.starts)
+    entries = np.repeat(np.arange(len(sizes)), sizes)
+    support = np.bincount(sample.features, minlength=count)
+    chance = 0.5 * np.sqrt(support * np.mean(sample.balance**2))
+    penalty = strength * chance
+    bias, weights, active, settled = 0.0, np.zeros(count), np.zeros(count, dtype=bool), False
+    while not settled:
+        margins = bias + np.bincount(entries, weights=weights[sample.features], minlength=len(sizes))
+        error = (_sigmoid(margins) - sample.labels) * sample.balance
+        slope = np.bincount(sample.features, weights=error[entries], minlength=count)
+        beyond = (np.abs(slope) > penalty * 1.01) & ~active
+        settled = not beyond.any()
+        if settled:
+            active, penalty = weights != 0, RELAXED * penalty
+        active |= beyond
+        inside = active[sample.features]
+        rows, own = entries[inside], sample.features[inside]
+        # Steps by a bound of the curvature: a term meets the other active terms of its texts.
+        together = 1.0 + np.bincount(rows, minlength=len(sizes))
+        bound = 0.25 * np.bincount(own, weights=(sample.balance * together)[rows], minlength=count) + 1e-12
+        bias_bound = 0.25 * (sample.balance * together).sum()
+        ahead, ahead_bias, momentum = weights.copy(), bias, 1.0
+        for _ in range(rounds):
+            margins = ahead_bias + np.bincount(rows, weights=ahead[own], minlength=len(sizes))
+            error = (_sigmoid(margins) - sample.labels) * sample.balance
+            stepped = ahead - np.bincount(own, weights=error[rows], minlength=count) / bound
+            stepped = np.sign(stepped) * np.maximum(np.abs(stepped) - penalty / bound, 0.0) * active
+            stepped_bias = ahead_bias - error.sum() / bias_bound
+            following = (1.0 + np.sqrt(1.0 + 4.0 * momentum**2)) / 2.0
+            ahead = stepped + (momentum - 1.0) / following * (stepped - weights)
+            ahead_bias = stepped_bias + (momentum - 1.0) / following * (stepped_bias - bias)
+            moved = max(abs(stepped_bias - bias), float(np.abs(stepped - weights).max(initial=0.0)))
+            weights, bias, momentum = stepped, stepped_bias, following
+            if moved < 1e-5:
+                break
+    return float(bias), weights
+
+
+def _fit_together(
+    machine: FactorizationMachine, sample: _Sample, rounds: int, rate: float, patience: int,
+    held_back: _Sample | None = None,
+) -> tuple[int, float, FactorizationMachine]:
+    """Weights and vectors by gradient steps (Adam) from a given machine.
+
+    Returns the number of rounds after which the loss on ``held_back`` was least, that loss, and
+    the machine then; without texts held back, all rounds are made.
+    """
+    count, sizes = len(machine.weights), np.diff(sample.starts)
+    parameters = [np.array([machine.bias]), machine.weights.copy(), machine.factors.copy()]
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
+    current = lambda: FactorizationMachine(machine.feature, float(parameters[0][0]), *[p.copy() for p in parameters[1:]])
+    best = (0, held_back.loss(machine.margins(held_back.starts, held_back.features)), machine) if held_back else None
+    for step in range(1, rounds + 1):
+        now = FactorizationMachine(machine.feature, float(parameters[0][0]), parameters[1], parameters[2])
+        error = (_sigmoid(now.margins(sample.starts, sample.features)) - sample.labels) * sample.balance
+        slopes = [np.array([error.sum()]), np.zeros(count), np.zeros_like(parameters[2])]
+        for low, high in _blocks(sample.starts):
+            own = sample.features[sample.starts[low]:sample.starts[high]]
+            rows = np.repeat(np.arange(high - low), sizes[low:high])
+            pull = error[low:high][rows]
+            slopes[1] += np.bincount(own, weights=pull, minlength=count)
+            pull = pull / sizes[low:high][rows]
+            for f in range(parameters[2].shape[1]):
+                values = parameters[2][:, f][own]
+                sums = np.bincount(rows, weights=values, minlength=high - low)
+                slopes[2][:, f] += np.bincount(own, weights=pull * (sums[rows] - values), minlength=count)
+        for parameter, (first, second), slope in zip(parameters, moments, slopes):
+            first += 0.1 * (slope - first)
+            second += 0.001 * (slope**2 - second)
+            parameter -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        if held_back is not None:
+            loss = held_back.loss(now.margins(held_back.starts, held_back.features))
+            if loss < best[1]:
+                best = step, loss, current()
+            elif step - best[0] >= patience:
+                break
+    return best if held_back is not None else (rounds, 0.0, current())
 
 
 def fit(
     labelled: DataFrame,
     docs: DataFrame,
     per_label: int = 6000,
-    terms: int = 4000,
+    support: int = 4,
     factors: int = 6,
     rounds: int = 120,
     rate: float = 0.05,
-    penalty: float = 0.02,
+    strength: float = 4.0,
+    patience: int = 25,
     seed: int = 11,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -110,11 +236,13 @@ def fit(
     """Fits a machine on at most ``per_label`` labelled rows of either label.
 
     ``labelled`` has ids and labels (0 or 1; others and null take no part). The sample is
-    drawn by a hash of the id, so it is the same at every run; the bias is corrected for
-    the different shares of the two labels. Terms are selected by how much their presence
-    tells on the sample. The sampled ids (at most ``2 * per_label``) are broadcast; texts
-    come back as slots of distinct terms. Without both labels the machine knows no terms
-    and scores all texts alike.
+    drawn by a hash of the id, so it is the same at every run. Either label counts half in the
+    loss; the bias then gets the log-odds of the labels in all rows. All slots that ``support`` sampled texts have are features; none is selected by what
+    it tells alone. A fifth of the sample is held back to find after how many rounds the
+    vectors stop to help; where they never do, only the weights are kept and the vectors stay
+    close to zero. The sampled ids (at most ``2 * per_label``) are broadcast; texts come back as
+    slots of distinct terms, 4 bytes each, and are worked on in blocks. Without both labels the
+    machine knows no terms and scores all texts alike.
     """
     ship_package(docs.sparkSession)
     known = labelled.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull()).groupBy(id_column).agg(
@@ -148,45 +276,39 @@ def fit(
         .join(F.broadcast(drawn), id_column)
         .select(place.alias("place"), "text", F.col("label").cast("int"))
         .mapInArrow(extract, "place long, label int, slots binary")
-        .collect()
+        .toArrow().sort_by([("place", "ascending"), ("label", "ascending"), ("slots", "ascending")])
     )
-    sample.sort(key=lambda r: (r["place"], r["slots"]))
-    labels = np.array([r["label"] for r in sample], dtype=np.float64)
-    seen = np.zeros((2, SLOTS))
-    for r in sample:  # the slots of a text are distinct
-        seen[r["label"], np.frombuffer(r["slots"], dtype=np.int32)] += 1
-    chosen = _select(seen[1], seen[0], (int(labels.sum()), int((1 - labels).sum())), terms)
+    labels = sample.column("label").to_numpy().astype(np.float64)
+    places = sample.column("place").to_numpy()
+    found = [np.frombuffer(x, dtype=np.int32) for x in sample.column("slots").to_pylist()]
+    seen = np.zeros(SLOTS, dtype=np.int64)
+    for slots in found:  # the slots of a text are distinct
+        seen[slots] += 1
+    # With fewer texts than ``support`` every slot that all texts of a label have is a feature.
+    chosen = np.flatnonzero(seen >= min(support, max(1, min(labels.sum(), len(labels) - labels.sum()))))
     feature[chosen] = np.arange(len(chosen), dtype=np.int32)
-    found = [feature[np.frombuffer(r["slots"], dtype=np.int32)] for r in sample]
-    found = [f[f >= 0].astype(np.int64) for f in found]
-    rows = np.repeat(np.arange(len(labels)), [len(f) for f in found])
-    features = np.concatenate(found) if found else np.zeros(0, np.int64)
+    found = [f[f >= 0] for f in (feature[slots] for slots in found)]
+    sizes = np.array([len(f) for f in found], dtype=np.int64)
+    whole = _Sample.of(sizes, np.concatenate(found) if found else np.zeros(0, np.int32), labels)
     del sample, seen, found
+    pa.default_memory_pool().release_unused()
 
     random = np.random.default_rng(seed)
-    machine = FactorizationMachine(
-        feature, float(np.log(labels.sum() / (1 - labels).sum())), np.zeros(len(chosen)),
-        random.normal(0.0, 0.05, (len(chosen), factors)))
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (np.zeros(1), machine.weights, machine.factors)]
-    balance = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
-    for step in range(1, rounds + 1):
-        error = (machine.score(rows, features, len(labels)) - labels) * balance
-        sums = _row_sums(machine.factors[features], rows, len(labels))
-        pull = error[rows]
-        slope_factors = _row_sums(pull[:, None] * (sums[rows] - machine.factors[features]), features, len(chosen))
-        slopes = [
-            np.array([error.sum()]),
-            np.bincount(features, weights=pull, minlength=len(chosen)) + penalty / len(labels) * machine.weights,
-            slope_factors + penalty / len(labels) * machine.factors,
-        ]
-        moved = []
-        for (first, second), slope in zip(moments, slopes):  # Adam
-            first += 0.1 * (slope - first)
-            second += 0.001 * (slope**2 - second)
-            moved.append(rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-10))
-        machine.bias -= float(moved[0][0])
-        machine.weights -= moved[1]
-        machine.factors -= moved[2]
+    small = random.normal(0.0, 0.1, (len(chosen), factors)).astype(np.float32)
+    held_back = (places % 5) == 0
+    bias, weights = _fit_weights(whole, len(chosen), strength)
+    machine = FactorizationMachine(feature, bias, weights, small * np.float32(0.01))
+    parts = [whole.rows(rows) for rows in (~held_back, held_back)]
+    prior = float(np.log(counts[1] / counts[0]))  # of all labelled rows, not of the sample
+    if all(0 < p.labels.sum() < len(p.labels) for p in parts):
+        start = FactorizationMachine(feature, *_fit_weights(parts[0], len(chosen), strength), small)
+        alone = parts[1].loss(FactorizationMachine(
+            feature, start.bias, start.weights, small * np.float32(0.01)).margins(parts[1].starts, parts[1].features))
+        steps, loss, _ = _fit_together(start, parts[0], rounds, rate, patience, parts[1])
+        if steps and loss < 0.9 * alone:
+            _, _, machine = _fit_together(
+                FactorizationMachine(feature, bias, weights, small), whole, steps, rate, patience)
+    machine.bias += prior
     return machine
 
 
@@ -194,7 +316,7 @@ def score(docs: DataFrame, machine: FactorizationMachine, text_column: str = "te
     """``docs`` with ``toxicity`` (0 to 1), from the whole text; null counts as empty.
 
     All columns pass through; one called ``toxicity`` is replaced. One narrow pass without a
-    shuffle; the machine (``SLOTS`` numbers and the selected terms, about 5 MB) is broadcast.
+    shuffle; the machine (``SLOTS`` numbers and 36 bytes per known term) is broadcast.
     """
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
