@@ -42,7 +42,7 @@ def test_clean_rows(spark):
     assert (first["is_fraud"], second["is_fraud"]) == (False, True)
     assert (first["merchant_zip_code"], second["merchant_zip_code"]) == ("60200", None)
     assert (first["transaction_error"], second["transaction_error"]) == (
-        "NO_ERROR", "Technical Glitch")
+        "NO_ERROR", "Bad CVV")
     assert first["merchant_city"] == "Brno"
 
 
