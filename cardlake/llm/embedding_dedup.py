@@ -8,9 +8,13 @@ quantised). The length of the quantisation error, stored with the code, bounds h
 estimate can be off, so only probes can lose a link, never the estimate. What may reach the
 threshold is computed exactly in double precision.
 
+A pair may be found from one side only, where the other does not ask its partner's list. Members
+carry the lists that they ask, so the link is then counted for both, and once for each.
+
 Equal vectors are represented by one. Long lists are split into blocks, which an asking
 vector visits one after the other; a block returns one row per asking vector (how many it
-links to and one node that it is connected with), never the pairs.
+links to and one node that it is connected with) and one per member with links found from
+the other side only, never the pairs.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from cardlake.session import stage
 
 MAX_LISTS = 1024
 SAMPLE_PER_LIST = 40
+SAMPLE_BYTES = 128 << 20
+ASKED_BYTES = 32 << 20
 SUBSPACES = 8
 CODEWORDS = 256
 BLOCK_VECTORS = 2048
@@ -118,26 +124,49 @@ def _prepared(vectors: DataFrame) -> DataFrame:
 def _dealt(heads: DataFrame, quantiser: Quantiser) -> DataFrame:
     """A row for each vector in its list, and one for each list that it asks."""
     shared = heads.sparkSession.sparkContext.broadcast(quantiser)
-    names = ("list", "asks", "vec_id", "weight", "unit", "codes", "missed")
+    schema = pa.schema(
+        [("list", pa.int32()), ("asks", pa.bool_()), ("vec_id", pa.int64()), ("weight", pa.int64()), ("unit", pa.binary()),
+         ("codes", pa.binary()), ("missed", pa.float64()), ("own", pa.int32()), ("asked", pa.binary())])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, weights, data = (batch.column(k).to_pylist() for k in range(3))
-            units = np.frombuffer(b"".join(data)).reshape(len(data), -1)
+            ids, weights, data = batch.columns
+            units = np.frombuffer(b"".join(data.to_pylist())).reshape(len(data), -1)
             own, asked = known.lists(units)
             codes, missed = known.encode(units, own)
-            rows = [(int(own[i]), False, ids[i], weights[i], data[i], codes[i].tobytes(), float(missed[i]))
-                    for i in range(len(ids))]
-            rows += [(int(k), True, ids[i], weights[i], data[i], None, None) for i, k in zip(*np.nonzero(asked))]
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=pa.schema(
-                [("list", pa.int32()), ("asks", pa.bool_()), ("vec_id", pa.int64()), ("weight", pa.int64()),
-                 ("unit", pa.binary()), ("codes", pa.binary()), ("missed", pa.float64())]))
+            home = pa.array(own, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [home, pa.array([False] * len(ids)), ids, weights, data, pa.array([c.tobytes() for c in codes], pa.binary()),
+                 pa.array(missed), home, pa.array([np.flatnonzero(a).astype(np.int32).tobytes() for a in asked], pa.binary())],
+                schema=schema)
+            asking, numbers = np.nonzero(asked)
+            step = max(1, ASKED_BYTES // units[0].nbytes)
+            for low in range(0, len(asking), step):
+                rows = pa.array(asking[low:low + step])
+                none = [pa.nulls(len(rows), t) for t in (pa.binary(), pa.float64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(numbers[low:low + step], pa.int32()), pa.array([True] * len(rows)), ids.take(rows),
+                     weights.take(rows), data.take(rows), none[0], none[1], home.take(rows), none[2]],
+                    schema=schema)
 
     return heads.select("vec_id", "weight", "unit").mapInArrow(
-        deal, "list int, asks boolean, vec_id long, weight long, unit binary, codes binary, missed double")
+        deal, "list int, asks boolean, vec_id long, weight long, unit binary, codes binary, missed double, own int, asked binary")
+
+
+def _sample(heads: DataFrame, rows: int, wanted: int) -> DataFrame:
+    """The ``wanted`` unit vectors whose ids hash lowest.
+
+    Only rows below a bound that about twice as many pass are sorted, so what tasks hand to the
+    last one does not grow with the table. Fewer than ``wanted`` of them have a negligible chance.
+    """
+    placed = heads.select("unit", F.xxhash64("vec_id").alias("place"))
+    bound = -(2**63) + 2**64 * 2 * wanted // rows
+    if bound < 2**63:
+        placed = placed.where(F.col("place") < F.lit(bound))
+    return placed.orderBy("place").limit(wanted).select("unit")
 
 
 class _Block:
@@ -152,9 +181,20 @@ class _Block:
         self.codes = np.frombuffer(b"".join(r[6] for r in rows), dtype=np.uint8).reshape(len(rows), -1) if rows else None
         self.missed = np.array([r[7] for r in rows])
         self.root = np.arange(len(rows))
+        # Which lists each member asks, as sorted numbers of member and list.
+        asked = [np.frombuffer(r[9], dtype=np.int32) for r in rows]
+        members = np.repeat(np.arange(len(rows)), [len(a) for a in asked])
+        self.asked = members * len(quantiser.centroids) + np.concatenate(asked) if rows else members
+
+    def _asks_back(self, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Whether members ask the given lists."""
+        wanted = x * len(self.quantiser.centroids) + own
+        place = np.minimum(np.searchsorted(self.asked, wanted), len(self.asked) - 1)
+        return self.asked[place] == wanted
 
     def ask(self, rows: list[tuple]) -> list[tuple[int, int, int]]:
-        """(vector, connected vector, links) per asking vector, and rows that join members."""
+        """(vector, connected vector, links) per asking vector, rows that join members, and the
+        same for members whose own search does not come upon vectors that have found them."""
         out: list[tuple[int, int, int]] = []
         if not len(self.ids) or not rows:
             return out
@@ -175,6 +215,14 @@ class _Block:
         if not len(q):
             return out
         count = np.bincount(q, weights=self.weights[x], minlength=len(ids)).astype(np.int64)
+        own = np.array([r[8] for r in rows], dtype=np.int64)
+        unasked = ~self._asks_back(x, own[q])
+        weights = np.array([r[4] for r in rows], dtype=np.int64)
+        credit = np.bincount(x[unasked], weights=weights[q[unasked]], minlength=len(self.ids)).astype(np.int64)
+        partner = np.zeros(len(self.ids), dtype=np.int64)
+        partner[x[unasked]] = ids[q[unasked]]
+        credited = np.flatnonzero(credit)
+        out += zip(self.ids[credited].tolist(), partner[credited].tolist(), credit[credited].tolist())
         lowest = np.full(len(ids), len(self.ids))
         np.minimum.at(lowest, q, self.root[x])
         apart = np.unique(np.stack([self.root[x], lowest[q]]), axis=1).T
@@ -224,7 +272,7 @@ def _search(dealt: DataFrame, quantiser: Quantiser, limit: float) -> DataFrame:
     partitions = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         dealt.repartition(partitions, "list", "block").sortWithinPartitions("list", "block", "asks")
-        .select("list", "block", "asks", "vec_id", "weight", "unit", "codes", "missed")
+        .select("list", "block", "asks", "vec_id", "weight", "unit", "codes", "missed", "own", "asked")
         .mapInArrow(search, "a long, b long, links long")
     )
 
@@ -245,8 +293,8 @@ def near_duplicates(
     a null id keeps its row and links with nothing.
 
     The quantiser of each vector length is fitted on at most ``SAMPLE_PER_LIST`` vectors per
-    list, with about the square root of the number of distinct vectors as lists, ``MAX_LISTS``
-    at most. Beyond that lists grow and are split into blocks of about ``BLOCK_VECTORS``.
+    list and ``SAMPLE_BYTES`` in all, with about the square root of the number of distinct vectors
+    as lists, ``MAX_LISTS`` at most. Beyond that lists grow and are split into blocks of about ``BLOCK_VECTORS``.
     """
     ship_package(vectors.sparkSession)
     rows = vectors.select(
@@ -260,7 +308,8 @@ def near_duplicates(
     for found in heads.groupBy("size").agg(F.count("*").alias("n")).orderBy("size").collect():
         own = heads.where(F.col("size") == found["size"])
         lists = min(MAX_LISTS, math.ceil(math.sqrt(found["n"])))
-        sample = own.select("unit", F.xxhash64("vec_id").alias("place")).orderBy("place").limit(lists * SAMPLE_PER_LIST)
+        wanted = min(lists * SAMPLE_PER_LIST, max(1, SAMPLE_BYTES // (8 * found["size"])))
+        sample = _sample(own, found["n"], wanted)
         units = np.frombuffer(b"".join(r["unit"] for r in sample.collect())).reshape(-1, found["size"])
         quantiser = fit(units, lists, margin)
         dealt = stage(_dealt(own, quantiser), "lists")

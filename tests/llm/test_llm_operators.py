@@ -153,6 +153,48 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.where("vec_id = 900")).collect()[0]["n_links"] == 0
 
 
+def test_links_found_from_one_side_count_on_both(spark, monkeypatch):
+    """With next to no margin a link is often found from one side; both ends count it, once."""
+    fitted = []
+
+    def fit(*arguments):
+        fitted.append(embedding_dedup_fit(*arguments))
+        return fitted[-1]
+
+    embedding_dedup_fit = embedding_dedup.fit
+    monkeypatch.setattr(embedding_dedup, "fit", fit)
+    monkeypatch.setattr(embedding_dedup, "BLOCK_VECTORS", 30)
+    monkeypatch.setattr(embedding_dedup, "QUERY_CHUNK", 7)
+    monkeypatch.setattr(embedding_dedup, "ASKED_BYTES", 1000)
+    random_ = np.random.default_rng(8)
+    base = random_.normal(size=(400, 16))
+    vectors = np.concatenate([base, base + random_.normal(scale=0.4, size=base.shape), base[:40]])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df, 0.9, margin=0.05).collect()}
+
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    own, asked = fitted[0].lists(units)
+    linked = units @ units.T >= 0.9
+    np.fill_diagonal(linked, False)
+    seen = linked & asked[:, own]
+    equal = (vectors[:, None, :] == vectors[None, :, :]).all(axis=2)
+    # Enough links are found from one side only.
+    assert (seen != seen.T).sum() > 20
+    both = seen | seen.T | (equal & linked)
+    assert {i: found[i][0] for i in found} == dict(enumerate(both.sum(axis=1).tolist()))
+    component = list(range(len(vectors)))
+    for _ in component:
+        component = [min([component[i], *(component[j] for j in np.flatnonzero(both[i]))]) for i in range(len(component))]
+    assert [found[i][1] for i in range(len(vectors))] == component
+
+
+def test_the_sample_is_the_lowest_hashes_however_it_is_cut(spark):
+    heads = spark.range(5000).select(F.col("id").alias("vec_id"), F.col("id").cast("string").cast("binary").alias("unit"))
+    whole = heads.select("unit", F.xxhash64("vec_id").alias("place")).orderBy("place").limit(300).collect()
+    for rows in (5000, 400):
+        assert [r["unit"] for r in embedding_dedup._sample(heads, rows, 300).collect()] == [r["unit"] for r in whole]
+
+
 def test_recall_on_the_whole_sample_table(spark):
     rows = queries.table(spark, "/root/testdata/sf0.1", "embeddings").collect()
     units = np.array([r["embedding"] for r in rows], dtype=np.float64)
