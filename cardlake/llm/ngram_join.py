@@ -43,6 +43,7 @@ RANGES = 128
 SHORT_LIST = 64
 ID_BUCKETS = 1 << 20
 BROADCAST_ROWS = 500_000
+HOT_DIGESTS = 10_000
 
 
 def ngram_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
@@ -258,12 +259,15 @@ def jaccard_components(
     described = stage(_prefixes(rows, sketch, size, percent), "prefixes")
 
     heads = stage(
-        described.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("head")),
+        described.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
+            F.min("doc_id").alias("head"), F.count("*").alias("copies")),
         "heads")
+    documents = heads.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     # Prefixes stay where they are: the fewer ids of copies are sent to them, if few enough.
     copies = stage(
-        described.where("doc_id IS NOT NULL").select("doc_id", "digest").join(heads, "digest")
-        .where("doc_id <> head").select("doc_id").distinct(), "copies")
+        _by_digest(described.select("doc_id", "digest"), heads, documents).where("doc_id <> head")
+        .select("doc_id").distinct(),
+        "copies")
     known = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     postings = described.where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").select(
         "doc_id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("position", "ngram"))
@@ -288,13 +292,29 @@ def jaccard_components(
         links = part if links is None else links.union(part)
     classes = connected_components(links)
 
-    return (
-        described.select("doc_id", "n", "digest")
-        .join(heads, "digest", "left")
-        .join(classes.withColumnRenamed("node", "head"), "head", "left")
-        .select(F.col("doc_id").alias(id_column), F.col("n").alias("n_ngrams"),
-                F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "head", "doc_id")).alias("component_id"))
-    )
+    # Classes meet the heads, one row per set, before they meet the documents.
+    classed = heads.join(classes.withColumnRenamed("node", "head"), "head", "left").select(
+        "digest", "copies", F.coalesce("component", "head").alias("component"))
+    return _by_digest(described.select("doc_id", "n", "digest"), classed, documents).select(
+        F.col("doc_id").alias(id_column), F.col("n").alias("n_ngrams"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def _by_digest(rows: DataFrame, values: DataFrame, documents: int) -> DataFrame:
+    """Documents with what ``values`` holds for their digest, one row each; nulls where nothing.
+
+    Digests with more than one in ``HOT_DIGESTS`` of all ``documents``, fewer than that in number, are
+    broadcast, so the copies of a text never meet on one key. Rows without a set or an id, which
+    have no entry, are not shuffled either.
+    """
+    hot = F.col("copies") * HOT_DIGESTS > documents
+    none = F.col("digest").isNull() | F.col("doc_id").isNull()
+    few = F.broadcast(values.where(hot))
+    known = rows.where(~none)
+    found = known.join(few, "digest").union(
+        known.join(few.select("digest"), "digest", "left_anti").join(values.where(~hot), "digest"))
+    rest = [F.lit(None).cast(values.schema[c].dataType).alias(c) for c in values.columns if c != "digest"]
+    return found.union(rows.where(none).select("digest", *[c for c in rows.columns if c != "digest"], *rest))
 
 
 def _blocks(shared: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -459,6 +459,20 @@ def test_join_of_odd_rows(spark):
     assert ngram_join.jaccard_components(docs.where("false"), 4, 85).count() == 0
 
 
+@pytest.mark.parametrize("hot", [0, 4, 10_000])
+def test_copies_of_frequent_texts_find_their_class(spark, monkeypatch, hot):
+    """No, some or all digests are broadcast; the classes are the same."""
+    monkeypatch.setattr(ngram_join, "HOT_DIGESTS", hot)
+    near = " ".join(f"w{i}" for i in range(60))
+    texts = 40 * [near] + [near + " x"] + 3 * ["a b c d e f"] + 5 * [None] + 3 * [" "] + ["only one of this"]
+    rows = [(100 - i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, (None, near), (None, None), (None, near)], "doc_id long, text string")
+    found = ngram_join.jaccard_components(docs, 4, 85).collect()
+    assert {r["doc_id"]: (r["n_ngrams"], r["component_id"]) for r in found if r["doc_id"]} == brute_classes(rows, 4, 85)
+    assert sorted((r["n_ngrams"], r["component_id"]) for r in found if not r["doc_id"]) == [(0, None), (57, None), (57, None)]
+    assert len(found) == len(rows) + 3
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(200, 200), (None, 3), (3, 2), (2, 3)]
     found = {r["node"]: r["component"] for r in components.connected_components(
