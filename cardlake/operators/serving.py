@@ -86,7 +86,7 @@ def serving_controls(
     compared = ("date_rows", "merchant_rows", "transaction_rows", *gold.FACT_TOTALS)
     # Text identifiers are compared per merchant key, both sides being one row per key.
     texts = merchants.select("merchant_key", "merchant_id_text").join(
-        source["merchant"].select("merchant_key", "merchant_id"), "merchant_key", "left"
+        source["merchant"].select("merchant_key", "merchant_id").hint("merge"), "merchant_key", "left"
     )
     labels = merchants.groupBy("merchant_display_label").agg(F.count(F.lit(1)).alias("n"))
     row = one_row(

@@ -48,6 +48,16 @@ def rollup(fact: DataFrame, key: str) -> DataFrame:
     return fact.groupBy(key).agg(*_basics())
 
 
+def _by_key(merchants: DataFrame, column: str) -> DataFrame:
+    """One column of each merchant, to be joined with a rollup by merchant.
+
+    Both sides grow with the merchants, and the rollup is dealt out by key already. Stored
+    keys pack so well that Spark would take millions of them for small enough to broadcast,
+    which the driver has to hold.
+    """
+    return merchants.select("merchant_key", column).hint("merge")
+
+
 def daily(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Rollup per calendar day, with the calendar columns (one row per day at any scale)."""
     return rollup(fact, "date_key").join(dates, "date_key")
@@ -345,9 +355,7 @@ def fraud_by_category(fact: DataFrame, merchants: DataFrame) -> DataFrame:
     """Fraud per merchant category; the category comes from the merchant table."""
     per_merchant = rollup(fact.where(F.col("is_fraud")), "merchant_key")
     return (
-        per_merchant.join(
-            merchants.select("merchant_key", "merchant_category_code"), "merchant_key"
-        )
+        per_merchant.join(_by_key(merchants, "merchant_category_code"), "merchant_key")
         .groupBy("merchant_category_code").agg(*_sums())
         .select(
             "merchant_category_code",
@@ -455,7 +463,7 @@ def merchant_risk(fact: DataFrame, merchants: DataFrame) -> DataFrame:
         ),
     ).otherwise("No fraud recorded")
     return (
-        scored.join(merchants.select("merchant_key", "merchant_display_label"), "merchant_key")
+        scored.join(_by_key(merchants, "merchant_display_label"), "merchant_key")
         .withColumn("risk_insight", insight)
         .drop("merchant_key", "share_text")
     )
@@ -474,7 +482,7 @@ def merchant_vs_portfolio(
         own = own.where(F.col("merchant_key") == serving.merchant_key_of(label))
     return (
         rollup(own, "merchant_key")
-        .join(merchants.select("merchant_key", "merchant_display_label"), "merchant_key")
+        .join(_by_key(merchants, "merchant_display_label"), "merchant_key")
         .select(
             "merchant_display_label",
             C.ratio(F.col("frauds"), F.col("n")).alias("selected_merchant_fraud_rate"),

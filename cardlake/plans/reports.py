@@ -141,7 +141,7 @@ def top_states(
         F.nullif(C.strip_text(F.col("merchant_state")), F.lit("")), F.lit("UNKNOWN")
     )
     return (
-        per_merchant.join(merchants.select("merchant_key", "merchant_state"), "merchant_key")
+        per_merchant.join(merchants.select("merchant_key", "merchant_state").hint("merge"), "merchant_key")
         .groupBy(state.alias("merchant_state"))
         .agg(
             F.sum("n").alias("transaction_count"),
