@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake import contracts
+from cardlake.sources import tables
 
 
 def write(df: DataFrame, path: str) -> None:
-    """CSV files with a header, keeping blanks at the ends of values."""
+    """CSV files with a header, keeping blanks at the ends of values.
+
+    Spark's first task leaves a file even if it has no rows, as when it scans a piece of a
+    file in which no row group begins. A header alone is a broken file, so it is dropped.
+    """
     (
         df.write.option("header", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    tables.drop_files_up_to(df.sparkSession, path, "*.csv", len(",".join(df.columns).encode()) + 1)
 
 
 def transactions(bronze: DataFrame) -> DataFrame:

@@ -75,6 +75,17 @@ def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     stream.close()
 
 
+def drop_files_up_to(spark: SparkSession, path: str, names: str, size: int) -> None:
+    """Remove files of so few bytes, unless all files of the folder are that small."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{names}")
+    file_system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = list(file_system.globStatus(pattern) or [])
+    small = [status for status in found if status.getLen() <= size]
+    if len(small) < len(found):
+        for status in small:
+            file_system.delete(status.getPath(), False)
+
+
 def content_stamp(spark: SparkSession, path: str) -> str:
     """Number of files, bytes and latest change below a path, from file system metadata.
 

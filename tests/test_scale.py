@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardlake import contracts
-from cardlake.sources import landing
+from cardlake.plans import measures
+from cardlake.sources import landing, sample_landing
 
 
 def _plan(df) -> str:
@@ -41,3 +42,31 @@ def test_whole_numbers_are_counted_as_before(spark):
         .select(F.col("value").try_cast("bigint").isNotNull().cast("int").alias("whole")).collect())
     found = landing.value_profile(_scanned(spark, texts), contracts.TRANSACTIONS).first()
     assert {found[f"integers_{i}"] for i in range(len(contracts.TRANSACTIONS))} == {wanted}
+
+
+def test_merchants_are_not_broadcast(spark):
+    """They grow with the tables; the driver would have to hold them."""
+    fact = spark.range(50).selectExpr(
+        "id % 7 + 1 AS merchant_key", "1 AS date_key", "CAST(id AS decimal(18,4)) AS transaction_amount",
+        "id % 3 = 0 AS is_fraud", "id % 5 = 0 AS has_error", "'CHIP' AS transaction_method")
+    merchants = spark.range(1, 8).selectExpr(
+        "id AS merchant_key", "concat('MRC-', id) AS merchant_display_label", "id % 2 AS merchant_category_code")
+    found = measures.merchant_vs_portfolio(fact, merchants)
+    assert found.count() == 7
+    for df in (found, measures.merchant_risk(fact, merchants), measures.fraud_by_category(fact, merchants)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [merchant_key" in plan and "BroadcastHashJoin [merchant_key" not in plan
+
+
+def test_landing_files_hold_records(spark, tmp_path):
+    """A first task without rows leaves a header alone, which no ingest accepts."""
+    rows = spark.createDataFrame([("", i) for i in range(40)], "a string, b bigint")
+    path = str(tmp_path / "landing")
+    parts = rows.rdd.mapPartitionsWithIndex(lambda i, part: part if i else iter(())).toDF(rows.schema)
+    sample_landing.write(parts, path)
+    sizes = [file.stat().st_size for file in (tmp_path / "landing").glob("*.csv")]
+    assert sizes and min(sizes) > len("a,b\n")
+    assert spark.read.option("header", True).csv(path).count() == parts.count() > 0
+
+    sample_landing.write(rows.where("b < 0"), str(tmp_path / "empty"))
+    assert len(list((tmp_path / "empty").glob("*.csv"))) == 1
