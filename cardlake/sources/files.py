@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Files up to this size are read as one value; larger ones line by line. Both ways go
-# through Spark's own readers and give the same result.
-IN_MEMORY_BYTES = 256 * 1024 * 1024
+# through Spark's own readers and give the same result. A value takes a task several times
+# its size: what was read, the row, and the growing buffers of both.
+IN_MEMORY_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)

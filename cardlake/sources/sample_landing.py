@@ -8,6 +8,10 @@ from cardlake import contracts
 from cardlake.sources import tables
 
 
+# About 30 MB of transactions. More rows make more files, not larger ones, as with real deliveries.
+RECORDS_PER_FILE = 250_000
+
+
 def write(df: DataFrame, path: str) -> None:
     """CSV files with a header, keeping blanks at the ends of values.
 
@@ -15,7 +19,7 @@ def write(df: DataFrame, path: str) -> None:
     file in which no row group begins. A header alone is a broken file, so it is dropped.
     """
     (
-        df.write.option("header", True).option("escape", '"')
+        df.write.option("header", True).option("escape", '"').option("maxRecordsPerFile", RECORDS_PER_FILE)
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )

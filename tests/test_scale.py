@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cardlake import contracts, registry, session
 from cardlake.operators import gold
 from cardlake.plans import lakehouse as lakehouse_module, measures
-from cardlake.sources import landing, sample_landing, tables
+from cardlake.sources import files, landing, sample_landing, tables
 
 
 def _plan(df) -> str:
@@ -114,3 +114,12 @@ def test_controls_are_computed_with_small_scans(spark, monkeypatch):
     for query in ("gold_validation", "analytics_validation", "bi_controls", "duplicate_rows", "model_faults"):
         assert registry.queries()[query](spark, "/root/testdata/sf0.001").count() > 0
     assert seen == [str(session.SCAN_BYTES)] * 5
+
+
+def test_landing_files_grow_in_number_and_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sample_landing, "RECORDS_PER_FILE", 10)
+    path = str(tmp_path / "landing")
+    sample_landing.write(spark.range(95).coalesce(1), path)
+    assert len(list((tmp_path / "landing").glob("*.csv"))) == 10
+    assert spark.read.option("header", True).csv(path).count() == 95
+    assert files.IN_MEMORY_BYTES <= 64 * 1024 * 1024
