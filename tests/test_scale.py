@@ -123,3 +123,19 @@ def test_landing_files_grow_in_number_and_not_in_size(spark, tmp_path, monkeypat
     assert len(list((tmp_path / "landing").glob("*.csv"))) == 10
     assert spark.read.option("header", True).csv(path).count() == 95
     assert files.IN_MEMORY_BYTES <= 64 * 1024 * 1024
+
+
+def test_shuffle_partitions_are_small_and_stay_small(spark):
+    """Merged to 64 MB, partitions of keys and counts take a task most of a gigabyte."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(name) for name in names]
+    with session.small_shuffles(spark, 1024 ** 3):
+        assert int(spark.conf.get(names[0])) >= 256
+        assert int(spark.conf.get(names[1])) <= 8 * 1024 * 1024
+    assert [spark.conf.get(name) for name in names] == before
+    spark.conf.set(names[1], "1000000b")
+    try:
+        with session.small_shuffles(spark, 1024 ** 3):
+            assert spark.conf.get(names[1]) == "1000000b"
+    finally:
+        spark.conf.set(names[1], before[1])
