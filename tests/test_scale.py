@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardlake import contracts, registry, session
-from cardlake.operators import gold
+from cardlake.operators import gold, publication
 from cardlake.plans import lakehouse as lakehouse_module, measures
 from cardlake.sources import files, landing, sample_landing, tables
 
@@ -139,3 +140,16 @@ def test_shuffle_partitions_are_small_and_stay_small(spark):
             assert spark.conf.get(names[1]) == "1000000b"
     finally:
         spark.conf.set(names[1], before[1])
+
+
+@pytest.mark.parametrize("query, versions", [("publication_check", 1)])
+def test_publication_shuffles_suit_the_tables(spark, monkeypatch, query, versions):
+    """The controls group every key of the fact, with the configured partitions however many keys there are."""
+    seen = []
+    publish = publication.publish
+    monkeypatch.setattr(tables, "stored_bytes", lambda *_: 1024 ** 3)
+    monkeypatch.setattr(publication, "publish", lambda *args: seen.append(
+        (int(spark.conf.get("spark.sql.shuffle.partitions")) >= 256,
+         spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))) or publish(*args))
+    assert registry.queries()[query](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen == [(True, str(session.MERGED_PARTITION_BYTES))] * versions
