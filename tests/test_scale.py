@@ -142,7 +142,7 @@ def test_shuffle_partitions_are_small_and_stay_small(spark):
         spark.conf.set(names[1], before[1])
 
 
-@pytest.mark.parametrize("query, versions", [("publication_check", 1)])
+@pytest.mark.parametrize("query, versions", [("publication_rollback", 4), ("publication_check", 1)])
 def test_publication_shuffles_suit_the_tables(spark, monkeypatch, query, versions):
     """The controls group every key of the fact, with the configured partitions however many keys there are."""
     seen = []
