@@ -153,3 +153,18 @@ def test_publication_shuffles_suit_the_tables(spark, monkeypatch, query, version
          spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))) or publish(*args))
     assert registry.queries()[query](spark, "/root/testdata/sf0.001").count() > 0
     assert seen == [(True, str(session.MERGED_PARTITION_BYTES))] * versions
+
+
+def test_large_sides_are_not_sorted_for_a_join(spark):
+    """Line items were sorted by order, and transactions by five merchant columns, twice each."""
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, -1)
+    try:
+        with session.shuffles_sized_for(spark, 0):
+            joined = spark.range(1000).join(spark.range(500).withColumn("x", F.col("id") * 2), "id", "left")
+            assert joined.where("x >= 0").count() == 500 and len(joined.collect()) == 1000
+            plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set(broadcast, before)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
