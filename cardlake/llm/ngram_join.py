@@ -293,8 +293,11 @@ def jaccard_components(
     classes = connected_components(links)
 
     # Classes meet the heads, one row per set, before they meet the documents.
-    classed = heads.join(classes.withColumnRenamed("node", "head"), "head", "left").select(
-        "digest", "copies", F.coalesce("component", "head").alias("component"))
+    # They are stored, as the lookup of documents takes them in three places.
+    classed = stage(
+        heads.join(classes.withColumnRenamed("node", "head"), "head", "left").select(
+            "digest", "copies", F.coalesce("component", "head").alias("component")),
+        "classed")
     return _by_digest(described.select("doc_id", "n", "digest"), classed, documents).select(
         F.col("doc_id").alias(id_column), F.col("n").alias("n_ngrams"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

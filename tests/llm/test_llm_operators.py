@@ -480,6 +480,38 @@ def test_components_of_chains_and_stars(spark):
     assert found == {i: 0 for i in range(51)} | {i: 100 for i in range(100, 140)} | {200: 200}
 
 
+def test_components_of_a_long_chain_take_few_jobs(spark):
+    edges = [(i * 8 % 301, (i + 1) * 8 % 301) for i in range(300)]
+    graph, context = spark.createDataFrame(edges, "a long, b long"), spark.sparkContext
+    context.setJobGroup("chain", "components of a chain")
+    try:
+        found = components.connected_components(graph)
+        jobs = len(context.statusTracker().getJobIdsForGroup("chain"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    assert {(r["node"], r["component"]) for r in found.collect()} == {(i, 0) for i in range(301)}
+    assert jobs <= 8  # each round of star operations takes about nine
+
+
+def test_components_of_edges_in_many_partitions(spark):
+    generator = random.Random(5)
+    edges = [(generator.randrange(-400, 400), generator.randrange(-400, 400)) for _ in range(380)]
+    edges += [(1000 + i, 1001 + i) for i in range(60)]
+    least = {n: n for e in edges for n in e}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        found = components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(found) == len(least) and {r["node"]: r["component"] for r in found} == least
+
+
 # --- 10 pseudonyms --------------------------------------------------------------------
 
 @pytest.mark.parametrize("size", [2, 3, 10, 97, 1000, 4096])
