@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from cardlake import contracts, registry, session
-from cardlake.operators import gold, publication
+from cardlake.operators import gold, ingest, publication
 from cardlake.plans import lakehouse as lakehouse_module, measures
 from cardlake.sources import files, landing, sample_landing, tables
 
@@ -168,3 +171,25 @@ def test_large_sides_are_not_sorted_for_a_join(spark):
     finally:
         spark.conf.set(broadcast, before)
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_cases_of_outcomes_do_not_lie_side_by_side(spark, monkeypatch):
+    """Each holds all sample rows as landing files and as bronze."""
+    seen = []
+    root = f"{session.shared_root(spark)}/cardlake/{spark.sparkContext.applicationId}"
+
+    def cases(start="outcome-"):
+        return [name for name in os.listdir(root) if name.startswith(start)]
+
+    def read(spark, folder, *_):
+        seen.append((set(cases()) - set(cases("outcome-bronze-")), os.path.basename(folder)))
+        n = len([name for name in os.listdir(folder) if name.endswith(".csv")])
+        return {"files_discovered": n, "files_failed": 0, "files_processed": n, "files_skipped": 0,
+                "rows_written": n, "status": "SUCCESS"}
+
+    monkeypatch.setattr(ingest, "ingest_directory", read)
+    names = contracts.TRANSACTIONS.fieldNames()
+    rows = spark.createDataFrame([tuple("x" for _ in names)] * 4, [f"c{i}" for i in range(len(names))]).toDF(*names)
+    found = registry.ingest_outcomes(SimpleNamespace(spark=spark, bronze=rows))
+    assert found.count() == 11 and len(seen) == 11
+    assert all(there == {folder} for there, folder in seen) and not cases()
