@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -193,3 +194,24 @@ def test_cases_of_outcomes_do_not_lie_side_by_side(spark, monkeypatch):
     found = registry.ingest_outcomes(SimpleNamespace(spark=spark, bronze=rows))
     assert found.count() == 11 and len(seen) == 11
     assert all(there == {folder} for there, folder in seen) and not cases()
+
+
+SHORT_LIVED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def test_shuffles_of_a_build_end_with_their_job(spark, tmp_path):
+    """Else those of all jobs of a build lie on disk until the driver collects its garbage."""
+    def stored():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for name in disk.getAllFiles().mkString("\n").split() if "shuffle_" in name}
+
+    before = stored()
+    with session.shuffles_sized_for(spark, 0):
+        counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        tables.overwrite(counts.repartitionByRange("k"), str(tmp_path / "t"))
+        deadline = time.time() + 20  # files are removed a moment later
+        while stored() - before and time.time() < deadline:
+            time.sleep(0.1)
+    assert not stored() - before and spark.read.parquet(str(tmp_path / "t")).count() == 7
+    with session.short_lived_shuffles(spark):
+        assert counts.collect() and sorted(counts.collect()) == sorted(counts.collect())
