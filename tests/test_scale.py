@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cardlake import contracts, registry, session
 from cardlake.operators import gold, ingest, publication
-from cardlake.plans import lakehouse as lakehouse_module, measures
+from cardlake.plans import lakehouse as lakehouse_module, measures, pipeline
 from cardlake.sources import files, landing, sample_landing, tables
 
 
@@ -215,3 +215,29 @@ def test_shuffles_of_a_build_end_with_their_job(spark, tmp_path):
     assert not stored() - before and spark.read.parquet(str(tmp_path / "t")).count() == 7
     with session.short_lived_shuffles(spark):
         assert counts.collect() and sorted(counts.collect()) == sorted(counts.collect())
+
+
+def test_ingest_and_the_staged_job_drop_shuffles(spark, tmp_path, monkeypatch):
+    seen, before = [], spark.conf.get(SHORT_LIVED)
+
+    def noted(*_):
+        seen.append(spark.conf.get(SHORT_LIVED))
+        return spark.createDataFrame([], ingest._RESULT)
+
+    monkeypatch.setattr(ingest, "_ingest_new", noted)
+    monkeypatch.setattr(pipeline, "_stages", noted)
+    path = str(tmp_path / "landing")
+    sample_landing.write(spark.range(3), path)
+    ingest.ingest_directory(spark, path, str(tmp_path / "bronze"), str(tmp_path / "ledger"), contracts.CARDS)
+    pipeline.run_pipeline(spark, str(tmp_path), run_id="one")
+    assert seen == ["true", "true"] and spark.conf.get(SHORT_LIVED) == before
+
+
+def test_layers_are_stored_compressed_for_size(spark, tmp_path):
+    """Landing, all layers and two published versions of the staged job are on disk at once."""
+    rows = spark.range(100).selectExpr("id", "CAST(id % 5 AS string) AS part")
+    tables.overwrite(rows, str(tmp_path / "a"), ("part",))
+    tables.append_by_partition(rows, str(tmp_path / "b"), "part")
+    stored = [str(file) for file in tmp_path.rglob("*.parquet")]
+    assert stored and all(".zstd." in name for name in stored)
+    assert all(spark.read.parquet(str(tmp_path / name)).count() == 100 for name in "ab")
